@@ -7,8 +7,8 @@ value over a document's shingles. Bands of coordinates are the buckets.
 Documents with equal shingle sets become one node. In each bucket nodes are compared with
 its least node only (a star, not all pairs), links are confirmed on full sets of word
 tuples, and buckets whose nodes are all in one component are done. The next rounds compare the others
-with a second and third node; whatever pairs are then left between different components
-are compared in full. So the components are those of all candidate pairs, while a group of
+with a second node, a third and so on; once few pairs are left between different
+components of a bucket, or after ``star_rounds``, those are compared in full. So the components are those of all candidate pairs, while a group of
 n near copies costs about n comparisons. With 40 bands of 6 a pair at similarity 0.8
 shares no bucket with probability 5e-6, one at 0.9 with 1e-13.
 """
@@ -179,15 +179,19 @@ def near_duplicates(
     links: DataFrame | None = None
     labels: DataFrame | None = None
     live = members
+    last = False
     for turn in range(star_rounds + 1):
         if turn:
             # what is left: buckets that still hold nodes of several components
             told = live.join(labels.withColumnRenamed("label", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
             several = told.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min("node").alias("leader")).where("x <> y").select("key", "leader")
             live = written(told.drop("leader").join(several, "key"), "members")
-            if live.isEmpty():
+            sizes = live.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n").alias("nodes"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs")).first()
+            if not sizes["nodes"]:
                 break
-        if turn < star_rounds:
+            # few pairs are left: compare them all; else another round of stars, which joins most nodes to some group
+            last = turn == star_rounds or sizes["pairs"] <= 2 * sizes["nodes"]
+        if not last:
             heads = live.where("node = leader").select("key", F.col("n").alias("m"), *(["part"] if turn else [])).withColumnsRenamed({"part": "head_part"})
             pairs = live.where("node <> leader").join(heads, "key").where(similar + (" AND part <> head_part" if turn else ""))
             pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
@@ -197,6 +201,8 @@ def near_duplicates(
         new = written(_verified(pairs.distinct(), texts, shingle, percent), "links")
         links = new if links is None else links.unionByName(new)
         labels = connected_components(links)
+        if last:
+            break
         # this round's leaders have met every other node of their buckets
         live = live.where("node <> leader").select("key", "node", "n", "leader")
     parts = docs.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("part", F.coalesce("label", "node"))
