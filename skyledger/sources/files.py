@@ -8,7 +8,10 @@ from ..functions.exprs import basename, extension
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "", recursive: bool = False, exclude: str = "") -> DataFrame:
-    """``path, length, modification_time`` of files whose name ends in ``pattern`` and not in ``exclude``; contents aren't read."""
+    """``path, length, modification_time`` of files whose name ends in ``pattern`` and not in ``exclude``; contents aren't read.
+
+    Spark's reader leaves out files of no bytes; those come from a listing table.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{pattern}").option("recursiveFileLookup", recursive).load(root)
     rows = files.select("path", "length", F.col("modificationTime").alias("modification_time"))
     return (rows.where(~basename(F.col("path")).endswith(exclude)) if exclude else rows).orderBy("path")
