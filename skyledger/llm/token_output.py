@@ -65,7 +65,7 @@ def unshuffle_planes(payload: bytes, index: list[int], n_ids: int, width: int, b
     for k in range(len(index) - 1):
         b, plane = divmod(k, planes)
         raw = np.frombuffer(zstd.decompress(payload[index[k] : index[k + 1]]), np.uint8)
-        one = np.unpackbits(raw, bitorder="little").astype("<u4") if bits else raw.astype("<u4")
+        one = np.unpackbits(raw, count=block, bitorder="little").astype("<u4") if bits else raw.astype("<u4")
         out[b * block : (b + 1) * block] |= one << np.uint32(plane if bits else 8 * plane)
     return out[:n_ids]
 
