@@ -8,7 +8,8 @@ Documents with equal shingle sets become one node. In each bucket nodes are comp
 its least node only (a star, not all pairs), links are confirmed on full sets of word
 tuples, and buckets whose nodes are all in one component are done. The next rounds compare the others
 with a second node, a third and so on; once few pairs are left between different
-components of a bucket, or after ``star_rounds``, those are compared in full. So the components are those of all candidate pairs, while a group of
+components of a bucket, or after ``star_rounds``, those are compared in full, in blocks
+of nodes where a bucket is large. So the components are those of all candidate pairs, while a group of
 n near copies costs about n comparisons. With 40 bands of 6 a pair at similarity 0.8
 shares no bucket with probability 5e-6, one at 0.9 with 1e-13.
 """
@@ -24,8 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .common import connected_components, discard, small_batches, written
+from .embed_dedup import spanning_forest
 
 MAX_REMEMBERED = 600_000
+#: Buckets of at most so many nodes are compared pair by pair in the end, others in blocks.
+SMALL_BUCKET = 16
+BLOCK_NODES = 128
 #: Shingles times coordinates worked on at once, in 4-byte numbers.
 TILE = 1 << 20
 
@@ -147,6 +152,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
+def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different parts of large buckets, block by block: a spanning forest of each two blocks' links.
+
+    Nodes of a bucket are dealt into blocks of about ``BLOCK_NODES`` by hash, and each two blocks are one group, so
+    a bucket of n nodes makes n^2 / BLOCK_NODES rows and no task holds more than two blocks.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes, parts, block = group["node"].to_pylist(), group["part"].to_pylist(), np.array(group["block"])
+        hasher, raw = ShingleHasher(shingle), group["text"].to_pylist()
+        sets = [hasher(t) for t in raw]
+        size = np.array([len(x) for x in sets])
+        values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sets)), size)
+        # a shingle of one node alone is in no intersection
+        shared = times[at] > 1
+        column = (np.cumsum(times > 1) - 1)[at[shared]]
+        owner, both = owner[shared], np.zeros((len(sets), len(sets)), np.float32)
+        for first in range(0, int((times > 1).sum()), 8192):
+            here = (column >= first) & (column < first + 8192)
+            has = np.zeros((len(sets), 8192), np.float32)
+            has[owner[here], column[here] - first] = 1
+            both += has @ has.T
+        union = size[:, None] + size[None, :] - both
+        label = np.unique(np.array([p.hex() for p in parts]), return_inverse=True)[1]
+        ok = (100 * both.astype(np.float64) >= percent * union) & (label[:, None] < label[None, :])
+        if group["lo"][0].as_py() != group["hi"][0].as_py():
+            ok &= block[:, None] != block[None, :]
+        # nodes of one part are joined already
+        parent = list(range(len(sets)))
+        for p in np.unique(label):
+            same = np.nonzero(label == p)[0]
+            spanning_forest(np.full(len(same), same[0]), same, parent)
+        edges = spanning_forest(*np.nonzero(ok), parent)
+        full = {i: shingle_set(words_of(raw[i]), shingle) for e in edges for i in e}
+        sure = [(i, j) for i, j in edges if 100 * len(full[i] & full[j]) >= percent * len(full[i] | full[j])]
+        return pa.table({"a": pa.array([nodes[i] for i, _ in sure], pa.binary()), "b": pa.array([nodes[j] for _, j in sure], pa.binary())})
+
+    counts = live.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+    rows = live.select("key", "node", "part").join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "part")
+    return rows.join(texts, "node").groupBy("key", "lo", "hi").applyInArrow(run, "a binary, b binary")
+
+
 def near_duplicates(
     df: DataFrame,
     *,
@@ -197,8 +247,12 @@ def near_duplicates(
             pairs = pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
         else:
             other = live.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("part").alias("other_part"))
-            pairs = live.withColumnRenamed("node", "a").join(other, "key").where(f"a < b AND part <> other_part AND {similar}").select("a", "b")
+            few = live.join(live.groupBy("key").count().where(F.col("count") <= SMALL_BUCKET).select("key"), "key", "left_semi")
+            pairs = few.withColumnRenamed("node", "a").join(other, "key").where(f"a < b AND part <> other_part AND {similar}").select("a", "b")
         new = written(_verified(pairs.distinct(), texts, shingle, percent), "links")
+        if last:
+            many = live.join(live.groupBy("key").count().where(F.col("count") > SMALL_BUCKET).select("key"), "key", "left_semi")
+            new = new.unionByName(written(_linked_in_blocks(many, texts, shingle, percent), "links"))
         links = new if links is None else links.unionByName(new)
         labels = connected_components(links)
         if last:

@@ -175,7 +175,11 @@ def test_winnowing(spark):
             assert (r.n_words, r.n_hit, r.items) == (len(w), len(hit), sorted(found))
 
 
-def test_minhash(spark):
+@pytest.mark.parametrize("small", [None, 1])
+def test_minhash(spark, monkeypatch, small):
+    if small:  # all buckets are large, and blocks small
+        monkeypatch.setattr(minhash, "SMALL_BUCKET", small)
+        monkeypatch.setattr(minhash, "BLOCK_NODES", 8)
     rng = random.Random(6)
     base = words(rng, 120, 5000)
     texts = [*ODD, "only", "ONLY", "two words"]
@@ -192,7 +196,7 @@ def test_minhash(spark):
     for _ in texts:
         for i, j in pairs:
             label[i] = label[j] = min(label[i], label[j])
-    got = minhash.op8(df).collect()
+    got = minhash.near_duplicates(df, shingle=2, star_rounds=1 if small else 3).collect()
     assert len(got) == len(texts) + 1
     assert all((r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), label[r.doc_id], label[r.doc_id] == r.doc_id) for r in got)
     assert minhash.op8(df.where("false")).count() == 0
