@@ -30,7 +30,7 @@ from .embed_dedup import spanning_forest
 MAX_REMEMBERED = 600_000
 #: Buckets of at most so many nodes are compared pair by pair in the end, others in blocks.
 SMALL_BUCKET = 16
-BLOCK_NODES = 128
+BLOCK_NODES = 512
 #: Shingles times coordinates worked on at once, in 4-byte numbers.
 TILE = 1 << 20
 
@@ -170,9 +170,9 @@ def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent:
         shared = times[at] > 1
         column = (np.cumsum(times > 1) - 1)[at[shared]]
         owner, both = owner[shared], np.zeros((len(sets), len(sets)), np.float32)
-        for first in range(0, int((times > 1).sum()), 8192):
-            here = (column >= first) & (column < first + 8192)
-            has = np.zeros((len(sets), 8192), np.float32)
+        for first in range(0, int((times > 1).sum()), 4096):
+            here = (column >= first) & (column < first + 4096)
+            has = np.zeros((len(sets), 4096), np.float32)
             has[owner[here], column[here] - first] = 1
             both += has @ has.T
         union = size[:, None] + size[None, :] - both
