@@ -101,7 +101,7 @@ def unix_to_gps(seconds: Column) -> Column:
 
 
 def bucket_of(obs_id: Column) -> Column:
-    """The store's bucket, and the ledger's partition key, of an observation."""
+    """The store's bucket (its prefix is a fixed value), and the ledger's partition key, of an observation."""
     return F.concat(F.lit("mwaingest-"), F.substring(obs_id.cast("string"), 1, 5))
 
 

@@ -25,7 +25,7 @@ def unrequested_cal_obs(observations: DataFrame, schedule: DataFrame, data_files
 
 def open_requests(requests: DataFrame) -> DataFrame:
     """Requests not yet submitted for computing: realtime ones, and downloads neither complete nor failed; plain before bulk, then oldest first."""
-    free = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_mwa_asvo_job_submitted_error_datetime IS NULL))"
+    free = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
     return requests.where(free).orderBy(F.col("bulk_request").asc_nulls_last(), F.col("request_added_datetime").asc_nulls_last(), "id")
 
 

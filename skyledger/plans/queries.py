@@ -149,7 +149,7 @@ def _(attempts):
 
 
 # requests and jobs
-_OPEN = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_mwa_asvo_job_submitted_error_datetime IS NULL))"
+_OPEN = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
 
 
 def _jobs(rows: DataFrame) -> DataFrame:

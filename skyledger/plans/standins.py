@@ -34,7 +34,7 @@ FROM {lineitem} WHERE l_suppkey % 5 <> 0""",
     "requests": """
 SELECT o_orderkey AS id, 1244973688 + o_custkey * 8 AS cal_id, o_orderkey % 5 = 0 AS realtime, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 3 = 0 END AS bulk_request, o_orderdate AS request_added_datetime,
   CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS slurm_job_id, CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate END AS download_completed_datetime,
-  CASE WHEN o_orderkey % 10 = 1 THEN o_orderdate END AS download_error_datetime, CASE WHEN o_orderkey % 21 = 1 THEN o_orderdate END AS download_mwa_asvo_job_submitted_error_datetime
+  CASE WHEN o_orderkey % 10 = 1 THEN o_orderdate END AS download_error_datetime, CASE WHEN o_orderkey % 21 = 1 THEN o_orderdate END AS download_job_submitted_error_datetime
 FROM {orders}""",
     "attempts": """
 SELECT CAST(user_id AS STRING) AS item, ts, event_id, event_type <> 'error' AS success, CAST(user_id % 4 AS INT) AS priority FROM {events}""",
