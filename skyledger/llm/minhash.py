@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import connected_components, discard, small_batches, written
@@ -120,16 +121,27 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, text`` for each wanted ``doc_id``, one text of each node."""
+    """``node, text`` for each wanted ``doc_id``, one text of each node, packed (see ``unpacked``) before any shuffle."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = [packer.compress((t.as_py() or "").encode()) for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.binary())], names=["doc_id", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(shingle)
         for batch in batches:
-            nodes = [hashlib.blake2b(hasher(t.as_py()).tobytes(), digest_size=16).digest() for t in batch["text"]]
+            nodes = [hashlib.blake2b(hasher(unpacked(t.as_py())).tobytes(), digest_size=16).digest() for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), batch["text"]], names=["node", "text"])
 
-    source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text")).join(wanted, "doc_id", "left_semi")
-    return source.select("text").mapInArrow(run, "node binary, text string").dropDuplicates(["node"])
+    source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
+    source = source.mapInArrow(pack, "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
+    return source.select("text").mapInArrow(run, "node binary, text binary").dropDuplicates(["node"])
+
+
+def unpacked(text: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(text).decode()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -141,8 +153,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             keep = []
             for a, ta, tb in zip(batch["a"], batch["ta"], batch["tb"], strict=True):
                 if last[0] != a.as_py():
-                    last = (a.as_py(), shingle_set(words_of(ta.as_py()), shingle))
-                mine, theirs = last[1], shingle_set(words_of(tb.as_py()), shingle)
+                    last = (a.as_py(), shingle_set(words_of(unpacked(ta.as_py())), shingle))
+                mine, theirs = last[1], shingle_set(words_of(unpacked(tb.as_py())), shingle)
                 both = len(mine & theirs)
                 keep.append(100 * both >= percent * (len(mine) + len(theirs) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -161,7 +173,7 @@ def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent:
 
     def run(group: pa.Table) -> pa.Table:
         nodes, parts, block = group["node"].to_pylist(), group["part"].to_pylist(), np.array(group["block"])
-        hasher, raw = ShingleHasher(shingle), group["text"].to_pylist()
+        hasher, raw = ShingleHasher(shingle), [unpacked(t) for t in group["text"].to_pylist()]
         sets = [hasher(t) for t in raw]
         size = np.array([len(x) for x in sets])
         values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -218,10 +230,16 @@ def near_duplicates(
     """
     docs = written(signatures(df, id_col, text_col, shingle, bands, rows), "signatures")
     # one row for each distinct set; equal sets have equal bands
-    nodes = docs.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-    keyed = nodes.select("node", "doc_id", "n", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("key", "leader")
-    members = written(keyed.join(shared, "key").select("key", "node", "doc_id", "n", "leader"), "members")
+    sets = docs.where("node IS NOT NULL").groupBy("node")
+    keyed = sets.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")).select("doc_id", F.explode("bands").alias("key"))
+    # only keys and short ids of all nodes are shuffled; counting ids lets Spark use one exchange of the sets for both sides.
+    # Where rows share an id, one id stands for several sets: more candidates, no fewer
+    shared = keyed.groupBy("key").agg(F.count("doc_id").alias("n")).where("n > 1").select("key")
+    found = keyed.join(shared, "key").join(sets.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "doc_id")
+    found = written(found.select("key", "node", "doc_id", "n"), "members")
+    leaders = found.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("key", "leader")
+    members = written(found.join(leaders, "key").select("key", "node", "doc_id", "n", "leader"), "members")
+    discard(found)
     wanted = members.select("doc_id").distinct()
     texts = written(_texts(df, id_col, text_col, wanted, shingle), "texts")
 
