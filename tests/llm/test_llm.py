@@ -204,6 +204,14 @@ def test_minhash(spark, monkeypatch, small):
     assert [r.kept for r in minhash.op8(nulls).collect()] == [True] * 3
 
 
+def test_minhash_shared_id(spark):
+    rng = random.Random(7)
+    one, two = words(rng, 60, 5000), words(rng, 60, 5000)
+    rows = [(5, " ".join(one)), (5, " ".join(two)), (9, " ".join([*one, "more"])), (7, " ".join([*two, "more"])), (3, "alone here")]
+    got = sorted(tuple(r) for r in minhash.op8(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert got == [(3, 3), (5, 5), (5, 5), (7, 5), (9, 5)]
+
+
 def test_circulant_shift():
     h = np.array([5 << 32, 9 << 32], np.uint64)
     moved = h + np.uint64(3 << 32)
