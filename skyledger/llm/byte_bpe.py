@@ -22,11 +22,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-from .common import small_batches
+from .common import small_batches, tidy
 from .ragged import WordMemory, gather, portions, table
 
 #: The most distinct pre-tokens that a worker remembers; those met later are encoded anew in each batch.
-MAX_REMEMBERED = 600_000
+MAX_REMEMBERED = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -129,7 +129,7 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
-    return df.select(id_col, df[text_col].alias("_text")).mapInArrow(run, schema)
+    return df.select(id_col, df[text_col].alias("_text")).mapInArrow(tidy(run), schema)
 
 
 def op10(documents: DataFrame) -> DataFrame:

@@ -22,11 +22,11 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 
 #: The benchmark is broadcast in blocks of about so many bytes of text.
 BLOCK_BYTES = 16 << 20
-MAX_REMEMBERED = 600_000
+MAX_REMEMBERED = 250_000
 
 #: Lower-cases A-Z and turns every other ASCII character but digits and a-z into a space.
 _BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 32 for b in range(256))
@@ -191,7 +191,7 @@ def contamination(
                     [batch[id_col], pa.array(n, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string())), *[batch[f"_keep_{c}"] for c in keep]], names=names
                 )
 
-        return rows.mapInArrow(run, schema)
+        return rows.mapInArrow(tidy(run), schema)
 
     if blocks == 1:
         return scan(0)

@@ -25,10 +25,10 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import connected_components, discard, small_batches, written
+from .common import connected_components, discard, small_batches, tidy, written
 from .embed_dedup import spanning_forest
 
-MAX_REMEMBERED = 600_000
+MAX_REMEMBERED = 250_000
 #: Buckets of at most so many nodes are compared pair by pair in the end, others in blocks.
 SMALL_BUCKET = 16
 BLOCK_NODES = 512
@@ -117,7 +117,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
             )
 
     source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
+    return source.mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -136,8 +136,8 @@ def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), batch["text"]], names=["node", "text"])
 
     source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    source = source.mapInArrow(pack, "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
-    return source.select("text").mapInArrow(run, "node binary, text binary").dropDuplicates(["node"])
+    source = source.mapInArrow(tidy(pack), "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
+    return source.select("text").mapInArrow(tidy(run), "node binary, text binary").dropDuplicates(["node"])
 
 
 def unpacked(text: bytes) -> str:
@@ -161,7 +161,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
     both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return both.select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, small_batches, written
+from .common import discard, small_batches, tidy, written
 
 _WORD = re.compile(r"[^\W_]+")
 #: Marks that open or close a quotation, words that report speech, and words of address.
@@ -189,7 +189,7 @@ def learn(
                 around.append(0)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(toxic, pa.int32()), pa.array(around, pa.int64())], names=["word", "toxic", "around"])
 
-    uses = rows.mapInArrow(tell, "word string, toxic int, around bigint")
+    uses = rows.mapInArrow(tidy(tell), "word string, toxic int, around bigint")
     stats = uses.groupBy("word").agg(
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"), F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("kinds")
     )
@@ -228,7 +228,7 @@ def learn(
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     # words of clean texts that are one edit from the lexicon: as many as the lexicon has neighbours
-    innocent = stats.where("good > 0 AND word <> ''").withColumn("ratio", ratio).where(F.col("ratio") < least_ratio).select("word").mapInArrow(misspelled, "word string")
+    innocent = stats.where("good > 0 AND word <> ''").withColumn("ratio", ratio).where(F.col("ratio") < least_ratio).select("word").mapInArrow(tidy(misspelled), "word string")
     model = ToxicityModel(prior, words, found_stems, frozenset(r["word"] for r in innocent.collect()))
     discard(stats)
     return model
@@ -254,7 +254,7 @@ def score_texts(df: DataFrame, model: ToxicityModel, *, text_col: str = "text",
     schema = "".join(f"`{c}` {fields[c]}, " for c in keep) + "score double, n_abuse bigint"
     text_at = f"_keep_{text_col}" if text_col in keep else "_text"
     extra = [] if text_col in keep else [F.col(text_col).alias("_text")]
-    return df.select(*extra, *[F.col(c).alias(f"_keep_{c}") for c in keep]).mapInArrow(run, schema)
+    return df.select(*extra, *[F.col(c).alias(f"_keep_{c}") for c in keep]).mapInArrow(tidy(run), schema)
 
 
 def op9(documents: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
