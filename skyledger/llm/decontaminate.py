@@ -7,7 +7,8 @@ fingerprints are looked up among the benchmark's and each hit is extended to bot
 sides, word by word, to the longest common span. Items shorter than ``window`` words are
 looked up whole, by the hash of all their words, without any selection.
 
-Documents are scanned once for each block of the benchmark and never shuffled.
+Documents are scanned once for each block of the benchmark; they are shuffled only to join the
+hits of a second or later block.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches, tidy
+from .common import small_batches, tidy, written
 
 #: The benchmark is broadcast in blocks of about so many bytes of text.
 BLOCK_BYTES = 16 << 20
@@ -75,9 +77,9 @@ def winnow(grams: np.ndarray, span: int) -> np.ndarray:
 class Index:
     """The fingerprints of some benchmark items."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int, k: int) -> None:
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int, k: int) -> None:
         self.window, self.k, self.span = window, k, window - k + 1
-        self.names: list[str] = []
+        self.names: list[str | None] = []
         self.words: list[list[bytes]] = []
         #: (length of the k-gram, or of a whole short item) -> hash -> (item, position)
         self.places: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
@@ -124,7 +126,8 @@ class Index:
                     reached[item, p - q] = p + right - 1
                     if left + right >= (k if short else self.window):
                         spans.add((p - left, p + right))
-                        items.add(self.names[item])
+                        if self.names[item] is not None:
+                            items.add(self.names[item])
         merged: list[tuple[int, int]] = []
         for a, b in sorted(spans):
             if merged and a <= merged[-1][1]:
@@ -151,31 +154,31 @@ def contamination(
 
     ``spans``: merged (start, end) word positions inside an occurrence of ``window`` consecutive
     words of an item (or of a whole shorter item); ``items``: the ids, as strings and sorted,
-    of items with such an occurrence. Null and empty texts have no words; repeated rows are
-    judged each, but with several blocks rows are put together by id, so ids should be unique then.
+    of items with such an occurrence; an item without an id counts for ``spans`` only. Null and empty
+    texts have no words. Every row is judged on its own, whether its id is null, repeated or neither.
 
     The benchmark is measured first; it is broadcast whole if its text has at most ``block_bytes``
-    bytes, else in blocks of about that size with one scan of the documents for each. A
+    bytes, else in blocks of about that size with one scan of the documents for each. Then the first
+    scan is written with a key for each row, by which the hits of the others are joined to it. A
     document's work grows with its words and with its matching fingerprints.
     """
     spark = documents.sparkSession
     small_batches(spark)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).where("item IS NOT NULL")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     if blocks > 1:
-        items = items.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
-    names = [id_col, "n_words", "spans", "items", *keep]
-    fields = {f.name: f.dataType.simpleString() for f in documents.schema}
-    schema = f"`{id_col}` {fields[id_col]}, n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>" + "".join(f", `{c}` {fields[c]}" for c in keep)
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
     text_at = f"_keep_{text_col}" if text_col in keep else "_text"
     extra = [] if text_col in keep else [F.col(text_col).alias("_text")]
-    rows = documents.select(id_col, *extra, *[F.col(c).alias(f"_keep_{c}") for c in keep])
+    rows = documents.select(F.col(id_col).alias("_id"), *extra, *[F.col(c).alias(f"_keep_{c}") for c in keep])
+    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
 
-    def scan(block: int) -> DataFrame:
+    def scan(source: DataFrame, block: int, passed: list[str], hits_only: bool = False) -> DataFrame:
         mine = items.where(F.col("block") == block) if blocks > 1 else items
         shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in mine.select("item", "text").toLocalIterator()])
+        names = [*passed, "n_words", "spans", "items"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index, hashes = Index(shared.value, window, k), WordHashes()
@@ -187,20 +190,20 @@ def contamination(
                     n.append(len(words))
                     spans.append([{"start": a, "end": b} for a, b in merged])
                     found.append(sorted(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [batch[id_col], pa.array(n, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string())), *[batch[f"_keep_{c}"] for c in keep]], names=names
-                )
+                out = pa.RecordBatch.from_arrays([*[batch[c] for c in passed], pa.array(n, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string()))], names=names)
+                yield out.filter(pa.array(map(bool, spans), pa.bool_())) if hits_only else out
 
-        return rows.mapInArrow(tidy(run), schema)
+        fields = {f.name: f.dataType.simpleString() for f in source.schema}
+        schema = "".join(f"`{c}` {fields[c]}, " for c in passed) + "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+        return source.mapInArrow(tidy(run), schema)
 
+    final = [F.col("_id").alias(id_col), "n_words", "spans", "items", *[F.col(f"_keep_{c}").alias(c) for c in keep]]
     if blocks == 1:
-        return scan(0)
-    parts = scan(0)
-    for block in range(1, blocks):
-        parts = parts.unionByName(scan(block).select(id_col, "n_words", "spans", "items", *[F.lit(None).cast(fields[c]).alias(c) for c in keep]))
-    kept = [F.first(c, ignorenulls=True).alias(c) for c in keep]
-    spans = F.array_sort(F.flatten(F.collect_list("spans")))
-    start = F.array().cast("array<struct<start:bigint,end:bigint>>")
+        return scan(rows, 0, [c for c in rows.columns if c != "_text"]).select(*final)
+    first = written(scan(rows, 0, rows.columns).withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
+    texts = first.select("_row", text_at)
+    hits = reduce(DataFrame.unionByName, [scan(texts, block, ["_row"], hits_only=True) for block in range(1, blocks)])
+    hits = hits.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
 
     def join(acc, x):
         last = F.element_at(acc, -1)
@@ -208,9 +211,10 @@ def contamination(
         return F.when((F.size(acc) > 0) & (x["start"] <= F.try_element_at(acc, F.lit(-1))["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc, F.array(x)))
 
     return (
-        parts.groupBy(id_col).agg(F.max("n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), *kept)
-        .withColumn("spans", F.aggregate("spans", start, join))
-        .select(*names)
+        first.join(hits, "_row", "left")
+        .withColumn("spans", F.when(F.col("_spans").isNull(), F.col("spans")).otherwise(F.aggregate(F.array_sort(F.concat("spans", "_spans")), empty, join)))
+        .withColumn("items", F.when(F.col("_items").isNull(), F.col("items")).otherwise(F.array_sort(F.array_distinct(F.concat("items", "_items")))))
+        .select(*final)
     )
 
 

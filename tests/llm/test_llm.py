@@ -175,6 +175,21 @@ def test_winnowing(spark):
             assert (r.n_words, r.n_hit, r.items) == (len(w), len(hit), sorted(found))
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_decontamination_odd_ids(spark, block_bytes):
+    rng = random.Random(10)
+    items = [" ".join(words(rng, 20)) for _ in range(6)]
+    bench = spark.createDataFrame([(f"i{k}" if k else None, t) for k, t in enumerate(items)], "item_id string, text string")
+    clean = [" ".join(words(rng, 30, 5000)) for _ in range(3)]
+    data = [(None, items[1], "a"), (None, clean[0], "b"), (7, items[2] + " x " + items[3], "c"), (7, clean[1], "d"), (7, clean[1], "d"), (8, items[0], "e"), (None, None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = decontaminate.judged(decontaminate.contamination(df, bench, block_bytes=block_bytes, keep=("text", "lang"))).collect()
+    want = [(None, 20, 20, ["i1"], items[1], "a"), (None, 30, 0, [], clean[0], "b"), (7, 41, 40, ["i2", "i3"], items[2] + " x " + items[3], "c"), *[(7, 30, 0, [], clean[1], "d")] * 2, (8, 20, 20, [], items[0], "e"), (None, 0, 0, [], None, None)]
+    assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.n_words, r.n_hit, r["items"], r.text, r.lang)) for r in got)
+    bare = decontaminate.contamination(df, bench, block_bytes=block_bytes)
+    assert bare.columns == ["doc_id", "n_words", "spans", "items"] and bare.count() == len(data)
+
+
 @pytest.mark.parametrize("small", [None, 1])
 def test_minhash(spark, monkeypatch, small):
     if small:  # all buckets are large, and blocks small
