@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: States in which a job is over.
 FINISHED = ("Cancelled", "Error", "Ready")
@@ -104,6 +104,11 @@ def queue_counters(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     return r.crossJoin(jobs.agg(F.count_if(~F.col("state").isin(*FINISHED)).alias("in_progress")))  # one row each
 
 
+def name_prefix_count(queue: DataFrame, prefix: str = "asvo") -> DataFrame:
+    """One row: jobs of a compute queue (``name``) whose name starts with ``prefix``."""
+    return queue.agg(F.count_if(F.col("name").startswith(prefix)).alias("n_jobs"))
+
+
 def new_requests(unrequested: DataFrame) -> DataFrame:
     return unrequested.select(F.col("obs_id").alias("cal_id"), F.lit(True).alias("realtime"), F.lit(False).alias("bulk_request"))
 
@@ -118,23 +123,90 @@ def validate_events(events: DataFrame) -> DataFrame:
     return events.withColumn("accepted", F.when(F.col("kind") == "download", download).when(F.col("kind") == "calibration", calibration).otherwise(True))
 
 
-def fold_requests(events: DataFrame, fields: list[str]) -> DataFrame:
+_ERROR = {"error_datetime": "error_datetime", "error_message": "error_message"}
+#: Fields of a request that each kind of event writes, and the payload's key that each is taken from (none: it is cleared).
+RULES: dict[str, dict[str, str | None]] = {
+    "submit_download": {"download_mwa_asvo_job_id": "job_id", "download_mwa_asvo_job_submitted_datetime": "submitted_datetime", **{f"download_mwa_asvo_job_submitted_{k}": v for k, v in _ERROR.items()}},
+    "submit_compute": {"slurm_job_id": "job_id", "download_slurm_job_submitted_datetime": "submitted_datetime", **{f"download_slurm_job_submitted_{k}": v for k, v in _ERROR.items()}},
+    "assign": {"assigned_hostname": "hostname", "assigned_datetime": "started_datetime", "download_started_datetime": "started_datetime"},
+    "download": {"download_completed_datetime": "completed_datetime", **{f"download_{k}": v for k, v in _ERROR.items()}},
+    "calibration_started": {
+        "download_completed_datetime": "started_datetime", "calibration_started_datetime": "started_datetime", "calibration_completed_datetime": None, "calibration_fit_id": None,
+        "calibration_error_datetime": None, "calibration_error_message": None,
+    },
+    "calibration": {"calibration_completed_datetime": "completed_datetime", "calibration_fit_id": "fit_id", **{f"calibration_{k}": v for k, v in _ERROR.items()}},
+}
+#: All fields that events write, in order.
+FIELDS = list(dict.fromkeys(f for rule in RULES.values() for f in rule))
+#: Kinds that name their requests; the others are keyed by the compute job if they have one.
+SUBMITS = ("submit_download", "submit_compute")
+
+
+def apply_rules(events: DataFrame) -> DataFrame:
+    """``payload`` and ``touches`` by the event's kind; those of a kind without a rule, and all without a kind, stay."""
+    if "kind" not in events.columns:
+        return events
+    source = F.col("payload")
+    touches = F.col("touches") if "touches" in events.columns else F.array().cast("array<string>")
+    payload = source
+    for kind, rule in RULES.items():
+        values = {f: source[k] if k else F.lit(None).cast("string") for f, k in rule.items()}
+        if kind == "submit_compute" and "slurm_job_id" in events.columns:
+            values["slurm_job_id"] = F.coalesce(values["slurm_job_id"], F.col("slurm_job_id").cast("string"))
+        mine = F.col("kind") == kind
+        payload = F.when(mine, F.create_map(*[x for f, v in values.items() for x in (F.lit(f), v)])).otherwise(payload)
+        touches = F.when(mine, F.array(*[F.lit(f) for f in rule])).otherwise(touches)
+    return events.withColumns({"payload": payload, "touches": touches})
+
+
+def _by_ids(events: DataFrame) -> Column:
+    """Whether an event is keyed by its ``request_ids``."""
+    if "slurm_job_id" not in events.columns:
+        return F.lit(True)
+    named = F.col("slurm_job_id").isNull() | F.coalesce(F.array_contains("touches", "slurm_job_id"), F.lit(False))
+    return named | F.coalesce(F.col("kind").isin(*SUBMITS), F.lit(False)) if "kind" in events.columns else named
+
+
+def resolve_requests(events: DataFrame) -> DataFrame:
+    """Each event (after ``apply_rules``) once for each request it touches, as ``id``.
+
+    Submissions and events without a ``slurm_job_id`` touch their ``request_ids``; other events touch the requests
+    whose last computing submission before them, by (ts, event_id), set that job.
+    """
+    if "slurm_job_id" not in events.columns:
+        return events.withColumn("id", F.explode("request_ids"))
+    named = _by_ids(events)
+    at = F.struct("ts", "event_id")
+    sets = events.where(F.array_contains("touches", "slurm_job_id")).select(F.explode("request_ids").alias("id"), at.alias("_from"), F.col("payload")["slurm_job_id"].try_cast("bigint").alias("_job"))
+    held = sets.withColumn("_to", F.lead("_from").over(Window.partitionBy("id").orderBy("_from"))).where("_job IS NOT NULL").distinct()
+    by_job = events.where(~named).withColumn("_at", at).join(held, (F.col("slurm_job_id") == F.col("_job")) & (F.col("_at") > F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to"))))
+    return events.where(named).withColumn("id", F.explode("request_ids")).unionByName(by_job.select(*events.columns, "id"))
+
+
+def fold_requests(events: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Current row of each request: for each field what the last event that touches it wrote, which may be null.
 
-    ``events``: ``event_id, ts, request_ids, payload (map), touches (array of fields)``. One aggregation with
-    partial results, whatever the number of events of a request.
+    ``events``: ``event_id, ts, request_ids, payload (map), touches (array of fields)`` and, where there are, ``kind``
+    (which then gives payload and touches by ``RULES``) and ``slurm_job_id``; values stay strings. One aggregation with
+    partial results, whatever the number of events of a request. Events are taken as accepted (see ``validate_events``).
     """
-    rows = events.select("event_id", "ts", "payload", "touches", F.explode("request_ids").alias("id"))
+    fields = FIELDS if fields is None else fields
+    rows = resolve_requests(apply_rules(events)).select("ts", "event_id", "payload", "touches", "id")
     at = F.struct("ts", "event_id")
     last = [F.max_by(F.struct(F.col("payload")[f].alias("v")), F.when(F.array_contains("touches", f), at)).alias(f) for f in fields]
     return rows.groupBy("id").agg(*last).select("id", *[F.col(f"{f}.v").alias(f) for f in fields])
 
 
 def check_touched(events: DataFrame, requests: DataFrame) -> DataFrame:
-    """Events that don't hit exactly the requests they name: ``event_id, n_named, n_hit``."""
-    named = events.select("event_id", F.size("request_ids").cast("bigint").alias("n_named"), F.explode("request_ids").alias("id"))
-    hit = named.join(requests.select("id").withColumn("_hit", F.lit(1)), "id", "left")
-    return hit.groupBy("event_id").agg(F.max("n_named").alias("n_named"), F.count("_hit").alias("n_hit")).where("n_named <> n_hit")
+    """Events that don't hit exactly the requests they name: ``event_id, n_named, n_hit``.
+
+    An event keyed by its compute job names no number (``n_named`` is null), so it is one of these if it hits none.
+    """
+    ruled = apply_rules(events)
+    hits = resolve_requests(ruled).select("event_id", "id").join(requests.select("id").withColumn("_hit", F.lit(1)), "id", "left").groupBy("event_id").agg(F.count("_hit").alias("n_hit"))
+    named = F.when(_by_ids(events) & F.col("request_ids").isNotNull(), F.size("request_ids").cast("bigint"))
+    rows = ruled.select("event_id", named.alias("n_named")).join(hits, "event_id", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("bigint")))
+    return rows.where("n_named <> n_hit OR n_named IS NULL AND n_hit = 0")
 
 
 def fit_header(batch: DataFrame, *, fit_time: str, creator: str, code_version: str, niter: int, limit: int, gain_max_cutoff: float | None = None) -> DataFrame:

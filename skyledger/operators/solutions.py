@@ -103,6 +103,12 @@ def clip_gains(gains: DataFrame, cutoff: float) -> tuple[DataFrame, DataFrame]:
     return clipped, report
 
 
+def max_amplitudes(gains: DataFrame) -> DataFrame:
+    """``obs_id, ant_idx, chan_idx`` and the largest amplitude of each product over time; of no known one it is null."""
+    amps = {p: amplitude(known(F.col(f"{p}_re")), known(F.col(f"{p}_im"))) for p in POLS}
+    return gains.groupBy("obs_id", "ant_idx", "chan_idx").agg(*[F.max(a).alias(f"max_{p}") for p, a in amps.items()])
+
+
 def tile_flags(baselines: DataFrame, n_tiles: Column | int) -> DataFrame:
     """``obs_id, ant_idx, flag``: a tile is flagged if any of its baselines (numbered over pairs i < j) has no weight."""
     last = (n_tiles if isinstance(n_tiles, Column) else F.lit(n_tiles)) - 1

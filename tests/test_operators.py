@@ -102,6 +102,37 @@ def test_requests(spark):
     assert rows(requests.check_touched(fold, spark.createDataFrame([(6,)], "id long")), "event_id")[0] == (1, 1, 0)
 
 
+def test_fold_by_compute_job(spark):
+    data = [
+        (1, 1, "submit_compute", [5, 6], None, {"job_id": "70", "submitted_datetime": "t1"}),
+        (2, 2, "assign", None, 70, {"hostname": "h", "started_datetime": "t2"}),
+        (3, 3, "calibration", [], 70, {"error_datetime": "t3", "error_message": "m"}),
+        (4, 4, "submit_compute", [6], 71, {"submitted_datetime": "t4"}),
+        (5, 5, "calibration_started", None, 71, {"started_datetime": "t5"}),
+        (6, 6, "calibration", None, 71, {"completed_datetime": "t6", "fit_id": "9"}),
+        (7, 7, "calibration_started", None, 70, {"started_datetime": "t7"}),  # 6 has left job 70 by then
+        (8, 8, "calibration", None, 99, {"completed_datetime": "t8", "fit_id": "1"}),
+        (9, 9, "submit_download", [7], None, {"job_id": "3", "submitted_datetime": "t9"}),
+    ]
+    events = spark.createDataFrame(data, "event_id int, ts int, kind string, request_ids array<long>, slurm_job_id long, payload map<string,string>")
+    got = {r.id: r.asDict() for r in requests.fold_requests(events).collect()}
+    set_ = {i: {k: v for k, v in r.items() if v is not None and k != "id"} for i, r in got.items()}
+    start = {"assigned_hostname": "h", "assigned_datetime": "t2", "download_started_datetime": "t2"}
+    assert set_[5] == start | {"slurm_job_id": "70", "download_slurm_job_submitted_datetime": "t1", "download_completed_datetime": "t7", "calibration_started_datetime": "t7"}
+    assert set_[6] == start | {
+        "slurm_job_id": "71", "download_slurm_job_submitted_datetime": "t4", "download_completed_datetime": "t5", "calibration_started_datetime": "t5", "calibration_completed_datetime": "t6", "calibration_fit_id": "9",
+    }
+    assert set_[7] == {"download_mwa_asvo_job_id": "3", "download_mwa_asvo_job_submitted_datetime": "t9"}
+    assert set(got[5]) == {"id", *requests.FIELDS}
+    assert rows(requests.check_touched(events, spark.createDataFrame([(5,), (6,)], "id long")), "event_id") == [(8, None, 0), (9, 1, 0)]
+    queue = spark.createDataFrame([("asvo_1",), ("asvo_2",), ("rt_asvo",), (None,)], "name string")
+    assert requests.name_prefix_count(queue).first().n_jobs == 2
+    cols = ", ".join(f"{p}_{x} double" for p in solutions.POLS for x in ("re", "im"))
+    g = spark.createDataFrame([(1, t, 0, c, *[float(3 * t + c)] * 2, *[float("nan")] * 2, *[1.0, 0.0] * 2) for t in range(2) for c in range(2)], f"obs_id long, time_idx int, ant_idx int, chan_idx int, {cols}")
+    top = rows(solutions.max_amplitudes(g), "chan_idx")
+    assert [(r[0], r[1], r[2], r[4], r[5], r[6]) for r in top] == [(1, 0, c, None, 1.0, 1.0) for c in range(2)] and [r[3] for r in top] == pytest.approx([3 * 2**0.5, 4 * 2**0.5])
+
+
 def test_weights_and_gain_fits(spark):
     b = spark.createDataFrame([(1, "a", i, v) for i, v in enumerate([1e-5, 2e-5, 3e-5, -1.0, float("nan")])] + [(2, "a", 0, None)], "obs_id long, band string, chan_idx int, result double")
     w = [r.weight for r in solutions.conv_weights(b).orderBy("obs_id", "chan_idx").collect()]
