@@ -230,6 +230,41 @@ def test_streams_equal_batches(spark, tmp_path):
     assert streams.missing_hosts(streams.health_rows(packets), "2024-01-01 01:00:00", 60).count() == 1
 
 
+def test_stitch_stream_out_of_order(spark, tmp_path):
+    import time
+
+    start = 1234567890
+    obs = spark.createDataFrame([(start, 24), (start + 800, 16)], "obs_id long, exposure_sec int")
+    name = lambda o, i, beam: f"/d/{o}_{o + 8 * i}_ch123_beam{beam:02d}.fil"
+    # beam 0 gets its second file after its last one, beam 1 is in order, beam 2 never ends
+    names = [name(start, 0, 0), name(start, 2, 0), name(start, 0, 1), "/d/bad.fil", name(start, 1, 1), name(start, 1, 0), name(start + 8000, 0, 0), name(start, 2, 1), name(start, 0, 2)]
+    (tmp_path / "in").mkdir()
+    feed = spark.readStream.schema("path string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    put = lambda n: spark.createDataFrame([(n,)], "path string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    put(names[0])
+    q = streams.stitch_stream(feed, obs, keep_sec=8, delay="0 seconds").writeStream.format("memory").queryName("out_of_order").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
+    for n in names[1:]:
+        q.processAllAvailable()
+        put(n)
+    q.processAllAvailable()
+    got = spark.table("out_of_order").collect()
+    files = spark.createDataFrame([(n,) for n in names], "path string")
+    batch = {r.beam: r for r in streams.stitch_plan(files, obs).collect()}
+    assert sorted(batch) == [0, 1] and {r.beam: r for r in got if r.beam == 1} == {1: batch[1]}
+    assert batch[1].output == f"/d/{start}_ch123_beam01.fil" and batch[1].missing == []
+    plan, late = (r for r in got if r.beam == 0)
+    assert (plan.kind, plan.n_present, plan.missing, late.kind, late.missing) == ("plan", 2, [start + 8], "late", [])
+    assert sorted(plan.files + late.files) == batch[0].files
+    assert dict(rows(streams.stitch_rejects(files, obs))) == {"/d/bad.fil": "not a name of a beam's file", names[6]: "observation or its exposure not found"}
+    for _ in range(2):  # the watermark moves with arrivals, and counts from the next batch on
+        time.sleep(9)
+        put(name(start + 800, 0, 5))
+        q.processAllAvailable()
+    q.stop()
+    more = spark.table("out_of_order").where("kind = 'expired'").collect()
+    assert [(r.beam, r.n_present, r.files, r.missing) for r in more if r.beam == 2] == [(2, 1, [names[8]], [start + 8, start + 16])]
+
+
 def test_angles(spark):
     got = spark.range(1).select(exprs.wrap_angle(F.lit(math.pi)).alias("a"), exprs.wrap_angle(F.lit(-7.0)).alias("b")).first()
     assert got.a == pytest.approx(-math.pi) and got.b == pytest.approx(-7 + 2 * math.pi)
