@@ -230,11 +230,11 @@ def solution_for_channel(requests: DataFrame, solution_files: DataFrame) -> Data
 def select_dump(subfiles: DataFrame, dumps: DataFrame, retain: int = 2, end_inclusive: bool = True) -> DataFrame:
     """``request_id, path, subobs_id, trigger_id``: files to dump for each request.
 
-    The first ``retain`` free files by path are left to the capture; start 0 is no lower bound; voltage files aren't
+    The first ``retain`` free files by path, of any mode, are left to the capture; start 0 is no lower bound; voltage files aren't
     dumped; a file's own trigger goes before the request's.
     """
-    skip = subfiles.where("mode NOT LIKE '%VCS'").orderBy("path").limit(retain).select("path")
-    rows = subfiles.where("mode NOT LIKE '%VCS'").join(skip, "path", "left_anti").withColumnRenamed("trigger_id", "_trigger")
+    skip = subfiles.orderBy("path").limit(retain).select("path")
+    rows = subfiles.where("coalesce(mode, '') NOT LIKE '%VCS'").join(skip, "path", "left_anti").withColumnRenamed("trigger_id", "_trigger")
     inside = (F.col("start_gps") == 0) | (F.col("subobs_id") >= F.col("start_gps"))
     inside = inside & ((F.col("subobs_id") <= F.col("end_gps")) if end_inclusive else (F.col("subobs_id") < F.col("end_gps")))
     return rows.join(dumps, inside).select("request_id", "path", "subobs_id", F.coalesce("_trigger", "trigger_id").alias("trigger_id"))

@@ -102,6 +102,13 @@ def test_requests(spark):
     assert rows(requests.check_touched(fold, spark.createDataFrame([(6,)], "id long")), "event_id")[0] == (1, 1, 0)
 
 
+def test_select_dump_modes(spark):
+    subfiles = spark.createDataFrame([("a", 8, "X_VCS"), ("b", 16, "X_VCS"), ("c", 24, "X_CORRELATOR"), ("d", 32, None), ("e", 40, "X_VCS")], "path string, subobs_id long, mode string").withColumn("trigger_id", F.lit(None).cast("long"))
+    dumps = spark.createDataFrame([(1, 0, 100, 7)], "request_id long, start_gps long, end_gps long, trigger_id long")
+    assert rows(requests.select_dump(subfiles, dumps).select("path", "trigger_id"), "path") == [("c", 7), ("d", 7)]
+    assert rows(requests.select_dump(subfiles.where("path >= 'b'"), dumps).select("path"), "path") == [("d",)]
+
+
 def test_fold_by_compute_job(spark):
     data = [
         (1, 1, "submit_compute", [5, 6], None, {"job_id": "70", "submitted_datetime": "t1"}),
