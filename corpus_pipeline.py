@@ -22,12 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: flo
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8) the document of least id stays.
 
-    Documents without an id stay; of rows that share an id one stays at most.
+    Rows are compared and dropped by a written key of their own, so those with a null or shared id are judged like all
+    others; in a group a null id comes last, and of equal ids one row stays. Texts without words stand alone and stay.
     """
-    judged = minhash.near_duplicates(docs)
-    gone = judged.where("NOT kept").select("doc_id")
-    stay = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return stay.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    judged = minhash.near_duplicates(keyed, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    stay = judged.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("best")).select("best._row")
+    return keyed.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -299,3 +299,15 @@ def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     red = corpus_pipeline.redact_secrets(spark, docs, str(tmp_path)).where("doc_id = 4").first()
     assert red.text.startswith("[SECRET] ") and red.n_chars == len(red.text)
+
+
+def test_pipeline_duplicates_odd_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    one, two, three, four = (" ".join(words(rng, 60, 5000)) for _ in range(4))
+    data = [(5, one), (5, two), (9, one + " more"), (None, three), (None, three + " more"), (None, two), (None, four), (7, None), (7, ""), (3, four), (3, four)]
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(data, "doc_id long, text string"), "").collect()
+    kept = [tuple(r) for r in got]
+    assert len(kept) == 6 and {(5, one), (5, two), (3, four), (7, None), (7, "")} < set(kept)
+    assert sum(t in ((None, three), (None, three + " more")) for t in kept) == 1
