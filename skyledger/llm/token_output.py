@@ -77,6 +77,7 @@ class WordTokenizer:
     cut off too where they are pre-tokens of their own; words are lower-cased in ASCII, as
     the tokenizer would. Each distinct word is encoded once by the library: the pre-tokens
     of ASCII words and words of letters, already normalised, by its model, others by the whole of it.
+    Texts that hold ``<|`` go to the library whole and unchanged, as special tokens are matched before lower-casing.
     """
 
     #: A full stop or comma that may be in one pre-token with what stands before it.
@@ -117,8 +118,9 @@ class WordTokenizer:
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts with ``end_id`` after each, end to end, and how many each has."""
         words, counts = [], []
+        marked = [i for i, text in enumerate(texts) if "<|" in text]
         for text in texts:
-            raw = text.encode().lower()
+            raw = b"" if "<|" in text else text.encode().lower()
             if not self.JOINED.search(raw.decode()):
                 raw = raw.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
             found = raw.split()
@@ -126,6 +128,11 @@ class WordTokenizer:
             counts.append(len(found))
         ids, lens = self.memory.ids(words)
         ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum(counts, dtype=np.int64)]
+        if marked:
+            pieces = np.split(ids, ends[:-1])
+            for i, e in zip(marked, self.tokenizer.encode_batch([texts[i] for i in marked], add_special_tokens=False), strict=True):
+                pieces[i] = np.array(e.ids, ids.dtype)
+            ids, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
         return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 
 

@@ -127,6 +127,19 @@ def test_token_output(spark):
     assert token_output.op5(df.where("false")).count() == 0
 
 
+def test_token_output_special_case(spark):
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["plain One, two.", "a <|EndOfText|> B.", "", "<|endoftext|>", "<|ENDOFTEXT|>x. <|StartOfText|>", "last, one", "<|"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = 0
+    for r, t in zip(token_output.op5(df).orderBy("doc_id").collect(), texts, strict=True):
+        ids = np.array(tk.encode(t, add_special_tokens=False).ids + [2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
 def entropy(s):
     return -sum(s.count(c) / len(s) * math.log2(s.count(c) / len(s)) for c in set(s))
 
