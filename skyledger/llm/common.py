@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,6 +79,51 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: The most bytes of a ``BitFilter``; one that would need more lets more through.
+MAX_FILTER_BYTES = 16 << 20
+
+
+class BitFilter:
+    """A Bloom filter of 64-bit numbers, at most ``MAX_FILTER_BYTES`` large: it lets all of them through and few others.
+
+    What it lets through is always joined exactly afterwards, so a filter that is too small costs time and changes no result.
+    """
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+
+    @staticmethod
+    def places(values: np.ndarray, words: int) -> np.ndarray:
+        """Four bits for each value."""
+        h = values.astype(np.uint64)
+        for _ in range(2):
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        return (h[None] + np.arange(4, dtype=np.uint64)[:, None] * step) % np.uint64(64 * words)
+
+    def might_hold(self, values: np.ndarray) -> np.ndarray:
+        at = self.places(values, len(self.bits))
+        return ((self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=0)
+
+    @classmethod
+    def of(cls, values: DataFrame, n: int, bits_each: int = 16) -> BitFilter:
+        """From the only column (bigint, no nulls) of ``values``, about ``n`` rows. Spark joins the bits; the filter alone comes to the driver."""
+        words = max(1, min(MAX_FILTER_BYTES // 8, n * bits_each // 64))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = cls.places(batch.column(0).to_numpy(zero_copy_only=False), words).ravel()
+                word, row = np.unique(at >> np.uint64(6), return_inverse=True)
+                bits = np.zeros(len(word), np.uint64)
+                np.bitwise_or.at(bits, row, np.uint64(1) << (at & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+        found = values.mapInArrow(run, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        out = np.zeros(words, np.uint64)
+        out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+        return cls(out)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Component label of every node of an undirected graph.
 

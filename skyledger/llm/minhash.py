@@ -25,7 +25,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import connected_components, discard, small_batches, tidy, written
+from .common import BitFilter, connected_components, discard, small_batches, tidy, written
 from .embed_dedup import spanning_forest
 
 MAX_REMEMBERED = 250_000
@@ -121,13 +121,20 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, text`` for each wanted ``doc_id``, one text of each node, packed (see ``unpacked``) before any shuffle."""
+    """``node, text`` for each wanted ``doc_id``, one text of each node, packed (see ``unpacked``) before any shuffle.
+
+    A filter of the wanted ids, bounded in size, keeps most other texts out of the shuffle; the semi-join decides.
+    """
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(BitFilter.of(wanted, wanted.count()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = [packer.compress((t.as_py() or "").encode()) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(texts, pa.binary())], names=["doc_id", "text"])
+            known = batch.filter(batch["doc_id"].is_valid())
+            some = known.filter(pa.array(shared.value.might_hold(known["doc_id"].to_numpy())))
+            texts = [packer.compress((t.as_py() or "").encode()) for t in some["text"]]
+            yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(texts, pa.binary())], names=["doc_id", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(shingle)
@@ -240,8 +247,9 @@ def near_duplicates(
     leaders = found.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("key", "leader")
     members = written(found.join(leaders, "key").select("key", "node", "doc_id", "n", "leader"), "members")
     discard(found)
-    wanted = members.select("doc_id").distinct()
+    wanted = written(members.select("doc_id").distinct(), "wanted")
     texts = written(_texts(df, id_col, text_col, wanted, shingle), "texts")
+    discard(wanted)
 
     similar = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     links: DataFrame | None = None
