@@ -8,6 +8,18 @@ from itertools import chain
 import numpy as np
 
 
+_KEPT: dict[str, tuple[str, object]] = {}
+
+
+def kept(kind: str, key: str, make: Callable[[], object]) -> object:
+    """What ``make`` made for ``key``: each worker process keeps the last one of each ``kind`` from task to task."""
+    found = _KEPT.get(kind)
+    if found is None or found[0] != key:
+        _KEPT.pop(kind, None)
+        _KEPT[kind] = found = (key, make())
+    return found[1]
+
+
 def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``values[offsets[r]:offsets[r + 1]]`` for each r of ``rows``, end to end, and their lengths."""
     starts = offsets[rows]

@@ -16,6 +16,8 @@ executors and repeated tasks leave no half-written data.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 import unicodedata
 import zlib
@@ -27,12 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import new_path, small_batches
-from .ragged import WordMemory, portions
+from .ragged import WordMemory, kept, portions
 
 BLOCK = 16_384
 #: A segment is closed when it holds so many ids; a longer document makes a longer one.
 SEGMENT_IDS = 1 << 20
-MAX_REMEMBERED = 600_000
+MAX_REMEMBERED = 400_000
 
 SEGMENTS = "part int, seq int, doc_ids array<bigint>, doc_lens array<bigint>, n_ids bigint, width int, block int, chunks array<bigint>, payload binary"
 
@@ -70,14 +72,29 @@ def unshuffle_planes(payload: bytes, index: list[int], n_ids: int, width: int, b
     return out[:n_ids]
 
 
+#: What a tokenizer's definition says where ``WordTokenizer`` may encode word by word.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordTokenizer:
-    """Encodes texts with a ``tokenizers`` file whose tokens never span ASCII white space.
+    """Encodes texts as a ``tokenizers`` file does, each distinct word once where the file's rules allow that.
+
+    They do if its normaliser and pre-tokenizer are ``NORMALIZER`` and ``PRE_TOKENIZER``, it neither drops merges at random nor
+    cuts or pads texts, adds nothing after the model, and all its added tokens begin with ``<|``: then tokens never span white
+    space. Any other file encodes whole texts by the library.
 
     Texts are cut at ASCII white space, and full stops and commas at the end of a word are
     cut off too where they are pre-tokens of their own; words are lower-cased in ASCII, as
     the tokenizer would. Each distinct word is encoded once by the library: the pre-tokens
     of ASCII words and words of letters, already normalised, by its model, others by the whole of it.
-    Texts that hold ``<|`` go to the library whole and unchanged, as special tokens are matched before lower-casing.
+    Texts that hold ``<|`` go to the library whole and unchanged, as added tokens are matched before lower-casing.
     """
 
     #: A full stop or comma that may be in one pre-token with what stands before it.
@@ -90,9 +107,18 @@ class WordTokenizer:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.by_word = self.splits_at_space(json.loads(definition))
         self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.memory = WordMemory(self._encode_words, MAX_REMEMBERED)
 
+    @staticmethod
+    def splits_at_space(rules: dict) -> bool:
+        model = rules["model"]
+        return (
+            rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == PRE_TOKENIZER and model["type"] == "BPE" and not model["dropout"]
+            and not any(rules[k] for k in ("truncation", "padding", "post_processor")) and all(t["content"].startswith("<|") for t in rules["added_tokens"])
+        )
+
     def _encode_words(self, words: list[bytes]) -> list[list[int]]:
         tokenize, pre_tokens = self.tokenizer.model.tokenize, self.PRE_TOKEN.findall
         out: list = [None] * len(words)
@@ -108,19 +134,23 @@ class WordTokenizer:
                 continue
             rest.append(i)
         if rest:
-            for i, e in zip(rest, self.tokenizer.encode_batch([words[i].decode() for i in rest], add_special_tokens=False), strict=True):
-                out[i] = e.ids
+            for i, ids in zip(rest, self._whole([words[i].decode() for i in rest]), strict=True):
+                out[i] = ids
         return out
 
     def _mapped(self, text: str) -> str:
         return self.byte_level.pre_tokenize_str(text)[0][0]
 
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts with ``end_id`` after each, end to end, and how many each has."""
+        marked = [i for i, text in enumerate(texts) if not self.by_word or "<|" in text]
+        whole = set(marked)
         words, counts = [], []
-        marked = [i for i, text in enumerate(texts) if "<|" in text]
-        for text in texts:
-            raw = b"" if "<|" in text else text.encode().lower()
+        for i, text in enumerate(texts):
+            raw = b"" if i in whole else text.encode().lower()
             if not self.JOINED.search(raw.decode()):
                 raw = raw.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n")
             found = raw.split()
@@ -130,8 +160,8 @@ class WordTokenizer:
         ends = np.concatenate([[0], np.cumsum(lens)])[np.cumsum(counts, dtype=np.int64)]
         if marked:
             pieces = np.split(ids, ends[:-1])
-            for i, e in zip(marked, self.tokenizer.encode_batch([texts[i] for i in marked], add_special_tokens=False), strict=True):
-                pieces[i] = np.array(e.ids, ids.dtype)
+            for i, found in zip(marked, self._whole([texts[i] for i in marked]), strict=True):
+                pieces[i] = np.array(found, ids.dtype)
             ids, ends = np.concatenate(pieces), np.cumsum([len(p) for p in pieces])
         return np.insert(ids, ends, end_id), np.diff(ends, prepend=0) + 1
 
@@ -226,10 +256,11 @@ def op5(documents: DataFrame, end_id: int = 2) -> DataFrame:
 
     spark = documents.sparkSession
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
-        definition = spark.sparkContext.broadcast(f.read())
+        text = f.read()
+    key, definition = hashlib.sha256(text.encode()).hexdigest(), spark.sparkContext.broadcast(text)
 
     def make() -> Callable:
-        words = WordTokenizer(definition.value)
+        words = kept("word_tokenizer", key, lambda: WordTokenizer(definition.value))
         return lambda texts: words.encode(texts, end_id)
 
     path = new_path(spark, "tokens")
