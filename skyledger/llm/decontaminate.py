@@ -2,21 +2,21 @@
 
 Fingerprints: of every ``window - k + 1`` consecutive k-gram hashes the least is kept (the
 rightmost of equal ones). Two texts that share ``window`` words share those k-grams, so they
-keep the same one: every shared span of ``window`` words or more is found. Documents'
-fingerprints are looked up among the benchmark's and each hit is extended to both
-sides, word by word, to the longest common span. Items shorter than ``window`` words are
-looked up whole, by the hash of all their words, without any selection.
+keep the same one: every shared span of ``window`` words or more is found. Items shorter than
+``window`` words have one fingerprint, the hash of all their words, and are looked for at every place.
 
-Documents are scanned once for each block of the benchmark; they are shuffled only to join the
-hits of a second or later block.
+A fingerprint carries its context: the words that a window around it can reach, at most ``2 * window - k``.
+Documents' and benchmark's fingerprints are joined as tables, and each hit is extended to both sides, word by word,
+within the two contexts; the spans of a document's hits are then put together. Neither texts nor items are shuffled.
+
+Documents are scanned once. A filter of the benchmark's fingerprints, bounded in size whatever the benchmark,
+keeps most of the documents' fingerprints out of the join; the join decides, so its size changes no result.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +24,9 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches, tidy, written
+from .common import BitFilter, discard, small_batches, tidy, written
+from .ragged import kept
 
-#: The benchmark is broadcast in blocks of about so many bytes of text.
-BLOCK_BYTES = 16 << 20
 MAX_REMEMBERED = 250_000
 
 #: Lower-cases A-Z and turns every other ASCII character but digits and a-z into a space.
@@ -74,67 +73,110 @@ def winnow(grams: np.ndarray, span: int) -> np.ndarray:
     return np.unique(len(grams) - 1 - (np.arange(len(low)) + low))
 
 
-class Index:
-    """The fingerprints of some benchmark items."""
-
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int, k: int) -> None:
-        self.window, self.k, self.span = window, k, window - k + 1
-        self.names: list[str | None] = []
-        self.words: list[list[bytes]] = []
-        #: (length of the k-gram, or of a whole short item) -> hash -> (item, position)
-        self.places: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        hashes = WordHashes()
-        for name, text in items:
-            words = words_of(text)
-            if not words:
-                continue
-            item = len(self.names)
-            self.names.append(name)
-            self.words.append(words)
-            size = k if len(words) >= window else len(words)
-            grams = gram_hashes(hashes.of(words), size)
-            for p in winnow(grams, self.span if size == k and len(words) >= window else 1):
-                self.places[size if len(words) >= window else -size][int(grams[p])].append((item, int(p)))
-        self.sorted = {size: np.sort(np.fromiter(found, np.uint64, len(found))) for size, found in self.places.items()}
-
-    def hits(self, words: list[bytes], hashes: np.ndarray) -> tuple[list[tuple[int, int]], set[str]]:
-        """Merged spans of document words inside an occurrence of an item's window, and the items."""
-        spans: set[tuple[int, int]] = set()
-        items: set[str] = set()
-        for size, known in self.sorted.items():
-            short, k = size < 0, abs(size)
-            grams = gram_hashes(hashes, k)
-            if not len(grams):
-                continue
-            at = winnow(grams, 1 if short else self.span)
-            mine = grams[at]
-            near = known[np.minimum(np.searchsorted(known, mine), len(known) - 1)]
-            reached: dict[tuple[int, int], int] = {}
-            for p in at[near == mine].tolist():
-                for item, q in self.places[size][int(grams[p])]:
-                    theirs = self.words[item]
-                    if reached.get((item, p - q), -1) >= p:
-                        continue  # inside a span already extended along this alignment
-                    if words[p : p + k] != theirs[q : q + k]:
-                        continue
-                    left = 0
-                    while p - left > 0 and q - left > 0 and words[p - left - 1] == theirs[q - left - 1]:
-                        left += 1
-                    right = k
-                    while p + right < len(words) and q + right < len(theirs) and words[p + right] == theirs[q + right]:
-                        right += 1
-                    reached[item, p - q] = p + right - 1
-                    if left + right >= (k if short else self.window):
-                        spans.add((p - left, p + right))
-                        if self.names[item] is not None:
-                            items.add(self.names[item])
-        merged: list[tuple[int, int]] = []
-        for a, b in sorted(spans):
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        return merged, items
+def prints_of(words: list[bytes], hashes: np.ndarray, window: int, k: int, short: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(fingerprints, places, words of each, words of context on either side): the winnowed k-grams, and all grams of the ``short`` lengths."""
+    sizes = [(k, window - k), *[(n, 0) for n in short]]
+    for i, (n, reach) in enumerate(sizes):
+        if len(words) < (n if i else window):
+            continue
+        grams = gram_hashes(hashes, n)
+        at = winnow(grams, window - k + 1) if i == 0 else np.arange(len(grams))
+        # whole short items of n words and k-grams of longer ones are told apart, and so are lengths
+        yield (grams[at] ^ np.uint64(n << 1 | (i > 0))).view(np.int64), at, n, reach
+
+
+def context(words: list[bytes], at: int, n: int, reach: int) -> tuple[int, bytes]:
+    """The words that a window around ``words[at:at + n]`` can reach, and where in them that gram begins."""
+    low = max(0, at - reach)
+    return at - low, b" ".join(words[low : at + n + reach])
+
+
+def extend(a: list[bytes], i: int, b: list[bytes], j: int, n: int) -> tuple[int, int] | None:
+    """How far ``a`` before and after ``a[i:i + n]`` goes on as ``b`` does around ``b[j:j + n]``; None if these differ."""
+    if a[i : i + n] != b[j : j + n]:
+        return None
+    left, right = 0, n
+    while left < min(i, j) and a[i - left - 1] == b[j - left - 1]:
+        left += 1
+    while right < min(len(a) - i, len(b) - j) and a[i + right] == b[j + right]:
+        right += 1
+    return left, right
+
+
+def benchmark_prints(items: DataFrame, window: int, k: int) -> DataFrame:
+    """``print, size, need, item_at, item_words, item_class``, each once, of items (``item_class, words``); ``need`` words in a row are a hit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = kept("word_hashes", "", WordHashes)
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch["item_class"].to_pylist(), batch["words"], strict=True):
+                words = text.as_py().encode().split()
+                short = [len(words)] if len(words) < window else []
+                for found, places, n, reach in prints_of(words, hashes.of(words), window, k, short):
+                    rows += [(h, n, min(window, len(words)), *context(words, p, n, reach), name) for h, p in zip(found.tolist(), places.tolist(), strict=True)]
+            columns = list(zip(*sorted(set(rows)), strict=True)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    names = ["print", "size", "need", "item_at", "item_words", "item_class"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return items.mapInArrow(tidy(run), "print bigint, size int, need int, item_at int, item_words binary, item_class binary").distinct()
+
+
+def _item_classes(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    """``item, item_class, words`` of items with words; equal sequences of words are one class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [b" ".join(words_of(t.as_py())) for t in batch["text"]]
+            classes = [hashlib.blake2b(w, digest_size=16).digest() if w else None for w in words]
+            yield pa.RecordBatch.from_arrays([batch["item"], pa.array(classes, pa.binary()), pa.array([w.decode() for w in words], pa.string())], names=["item", "item_class", "words"])
+
+    source = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    return source.mapInArrow(tidy(run), "item string, item_class binary, words string").where("item_class IS NOT NULL")
+
+
+_SPANS = "array<struct<start:bigint,end:bigint>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _extended(hits: DataFrame) -> DataFrame:
+    """``row_key, span, item_class`` of the joined fingerprints that extend to ``need`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, start, end = [], [], []
+            columns = [batch[c].to_pylist() for c in ("at", "doc_at", "doc_words", "item_at", "item_words", "size", "need")]
+            for at, i, a, j, b, n, need in zip(*columns, strict=True):
+                found = extend(a.split(b" "), i, b.split(b" "), j, n)
+                keep.append(found is not None and sum(found) >= need)
+                if keep[-1]:
+                    start.append(at - found[0])
+                    end.append(at + found[1])
+            some = batch.filter(pa.array(keep, pa.bool_()))
+            span = pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["start", "end"])
+            yield pa.RecordBatch.from_arrays([some["row_key"], span, some["item_class"]], names=["row_key", "span", "item_class"])
+
+    return hits.mapInArrow(tidy(run), "row_key bigint, span struct<start:bigint,end:bigint>, item_class binary")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """``row_key, spans``: each row's ``spans`` sorted, those that touch or overlap as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for spans in batch["spans"].to_pylist():
+                merged: list[list[int]] = []
+                for a, b in sorted((s["start"], s["end"]) for s in spans):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1][1] = max(b, merged[-1][1])
+                    else:
+                        merged.append([a, b])
+                out.append([{"start": a, "end": b} for a, b in merged])
+            yield pa.RecordBatch.from_arrays([batch["row_key"], pa.array(out, _SPAN)], names=["row_key", "spans"])
+
+    return rows.mapInArrow(tidy(run), f"row_key bigint, spans {_SPANS}")
 
 
 def contamination(
@@ -147,7 +189,6 @@ def contamination(
     item_text_col: str = "text",
     window: int = 13,
     k: int = 5,
-    block_bytes: int = BLOCK_BYTES,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row of ``documents``: ``id_col, n_words, spans, items`` and the columns ``keep``.
@@ -155,66 +196,61 @@ def contamination(
     ``spans``: merged (start, end) word positions inside an occurrence of ``window`` consecutive
     words of an item (or of a whole shorter item); ``items``: the ids, as strings and sorted,
     of items with such an occurrence; an item without an id counts for ``spans`` only. Null and empty
-    texts have no words. Every row is judged on its own, whether its id is null, repeated or neither.
+    texts have no words. Every row is judged on its own, whether its id is null, repeated or neither; columns of
+    any name may be kept. An empty benchmark leaves every row without spans.
 
-    The benchmark is measured first; it is broadcast whole if its text has at most ``block_bytes``
-    bytes, else in blocks of about that size with one scan of the documents for each. Then the first
-    scan is written with a key for each row, by which the hits of the others are joined to it. A
-    document's work grows with its words and with its matching fingerprints.
+    The scan's result is written (with the kept columns) with a key for each row; only rows with a fingerprint that may be
+    the benchmark's are joined. A document's work grows with its words and with its matching fingerprints.
     """
     spark = documents.sparkSession
     small_batches(spark)
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes) or 1
-    if blocks > 1:
-        items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
+    named = written(_item_classes(benchmark, item_col, item_text_col), "items")
+    prints = written(benchmark_prints(named.select("item_class", "words").distinct(), window, k), "prints")
+    # lengths below the window: fewer than ``window`` numbers
+    short = sorted(r["size"] for r in prints.where(F.col("need") < window).select("size").distinct().collect())
+    shared = spark.sparkContext.broadcast(BitFilter.of(prints.select("print"), prints.count()))
     text_at = f"_keep_{text_col}" if text_col in keep else "_text"
     extra = [] if text_col in keep else [F.col(text_col).alias("_text")]
     rows = documents.select(F.col(id_col).alias("_id"), *extra, *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def scan(source: DataFrame, block: int, passed: list[str], hits_only: bool = False) -> DataFrame:
-        mine = items.where(F.col("block") == block) if blocks > 1 else items
-        shared = spark.sparkContext.broadcast([(r["item"], r["text"]) for r in mine.select("item", "text").toLocalIterator()])
-        names = [*passed, "n_words", "spans", "items"]
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, hashes = Index(shared.value, window, k), WordHashes()
-            for batch in batches:
-                n, spans, found = [], [], []
-                for text in batch[text_at]:
-                    words = words_of(text.as_py())
-                    merged, ids = index.hits(words, hashes.of(words))
-                    n.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in merged])
-                    found.append(sorted(ids))
-                out = pa.RecordBatch.from_arrays([*[batch[c] for c in passed], pa.array(n, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string()))], names=names)
-                yield out.filter(pa.array(map(bool, spans), pa.bool_())) if hits_only else out
-
-        fields = {f.name: f.dataType.simpleString() for f in source.schema}
-        schema = "".join(f"`{c}` {fields[c]}, " for c in passed) + "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
-        return source.mapInArrow(tidy(run), schema)
-
-    final = [F.col("_id").alias(id_col), "n_words", "spans", "items", *[F.col(f"_keep_{c}").alias(c) for c in keep]]
-    if blocks == 1:
-        return scan(rows, 0, [c for c in rows.columns if c != "_text"]).select(*final)
-    first = written(scan(rows, 0, rows.columns).withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
-    texts = first.select("_row", text_at)
-    hits = reduce(DataFrame.unionByName, [scan(texts, block, ["_row"], hits_only=True) for block in range(1, blocks)])
-    hits = hits.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
-
-    def join(acc, x):
-        last = F.element_at(acc, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.try_element_at(acc, F.lit(-1))["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc, F.array(x)))
-
-    return (
-        first.join(hits, "_row", "left")
-        .withColumn("spans", F.when(F.col("_spans").isNull(), F.col("spans")).otherwise(F.aggregate(F.array_sort(F.concat("spans", "_spans")), empty, join)))
-        .withColumn("items", F.when(F.col("_items").isNull(), F.col("items")).otherwise(F.array_sort(F.array_distinct(F.concat("items", "_items")))))
-        .select(*final)
+    passed = [c for c in rows.columns if c != "_text"]
+    mark = pa.struct([("print", pa.int64()), ("at", pa.int32()), ("doc_at", pa.int32()), ("doc_words", pa.binary())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = kept("word_hashes", "", WordHashes)
+        for batch in batches:
+            n, marks = [], []
+            for text in batch[text_at]:
+                words = words_of(text.as_py())
+                n.append(len(words))
+                mine = []
+                for found, places, size, reach in prints_of(words, hashes.of(words), window, k, short):
+                    some = shared.value.might_hold(found)
+                    mine += [(h, p, *context(words, p, size, reach)) for h, p in zip(found[some].tolist(), places[some].tolist(), strict=True)]
+                marks.append(mine)
+            flat = [m for mine in marks for m in mine]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*flat, strict=True) if flat else [()] * 4, mark, strict=True)]
+            ends = np.cumsum([0, *map(len, marks)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(columns, fields=list(mark)))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in passed], pa.array(n, pa.int64()), lists, pa.array(list(map(bool, marks)), pa.bool_())], names=[*passed, "n_words", "marks", "marked"])
+
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = "".join(f"`{c}` {fields[c]}, " for c in passed) + "n_words bigint, marks array<struct<print:bigint,at:int,doc_at:int,doc_words:binary>>, marked boolean"
+    first = written(rows.mapInArrow(tidy(scan), schema).withColumn("row_key", F.monotonically_increasing_id()), "scanned")
+
+    hits = first.where("marked").select("row_key", F.explode("marks").alias("m")).select("row_key", "m.*").join(prints, "print")
+    found = written(_extended(hits), "hits")
+    spans = _merged(found.groupBy("row_key").agg(F.collect_set("span").alias("spans")))
+    names = named.where("item IS NOT NULL").select("item", "item_class").distinct()
+    ids = found.select("row_key", "item_class").distinct().join(names, "item_class").groupBy("row_key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    told = written(spans.join(ids, "row_key", "left"), "spans")
+    for table in (named, prints, found):
+        discard(table)
+    none, nobody = F.array().cast(_SPANS), F.array().cast("array<string>")
+    base = [F.col("_id").alias(id_col), "n_words"]
+    rest = [F.col(f"_keep_{c}").alias(c) for c in keep]
+    clean = first.where("NOT marked").select(*base, none.alias("spans"), nobody.alias("items"), *rest)
+    return clean.unionAll(
+        first.where("marked").join(told, "row_key", "left").select(*base, F.coalesce("spans", none).alias("spans"), F.coalesce("items", nobody).alias("items"), *rest)
     )
 
 
