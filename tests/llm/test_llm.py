@@ -4,6 +4,7 @@ import hashlib
 import math
 import os
 import random
+import time
 import zlib
 
 import duckdb
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.llm import byte_bpe, decontaminate, embed_dedup, minhash, queries, secrets, sharding, token_output, toxicity, url_filter, warc
+from skyledger.llm import byte_bpe, common, decontaminate, embed_dedup, minhash, queries, secrets, sharding, token_output, toxicity, url_filter, warc
 from skyledger.llm.common import connected_components
 
 SF = os.environ.get("SKYLEDGER_SF", "/root/testdata/sf0.001")
@@ -54,7 +55,25 @@ def test_warc(spark):
     r = got[1, "metadata"]
     assert r.refers_to == got[1, "conversion"].refers_to and f"WARC-Refers-To: {r.refers_to}\r\n" in r.warc_header and "http-header: HTTP/1.1 200 OK\r\n" in r.block
     assert r.block_digest == "sha256:" + hashlib.sha256(r.block.encode()).hexdigest() and r.content_length == len(r.block.encode())
-    assert "title: T &amp; U" in r.block and warc.op1(pages.where("false")).count() == 0
+    assert "title: T & U" in r.block and warc.op1(pages.where("false")).count() == 0
+
+
+def test_warc_odd_pages(spark):
+    html = "<title>&#8217;&eacute;</title><p>&#x41;&#x1F600;&#0;&#xD800;&unknown;&amp;lt; &hellip;<!-- never closed <p>x"
+    pages = spark.createDataFrame([(1, "http://a/\r\nX-Evil: 1", html), (1, "http://a/\r\nX-Evil: 1", "<p>other"), (None, "u", None), (None, "u", None)], "page_id long, url string, html string")
+    rows = warc.op1(pages).collect()
+    assert len(rows) == 8 and len({r.record_id for r in rows}) == 6 and len({r.refers_to for r in rows}) == 3
+    assert all("\r\nX-Evil" not in r.warc_header and ("WARC-Target-URI: http://a/%0D%0AX-Evil: 1\r\n" in r.warc_header or r.page_id is None) for r in rows)
+    assert next(r.block for r in rows if r.record_type == "conversion" and "😀" in r.block) == "A😀\ufffd\ufffd&unknown;&lt; …"
+    assert any(r.block.startswith("title: ’é\r\n") for r in rows)
+
+
+@pytest.mark.parametrize("piece", ["<!-- ", "<script ", "<script>", "</script", "<a ", "<", "<title>", "&#", "<br "])
+def test_warc_long_pages(spark, piece):
+    pages = spark.createDataFrame([(1, "u", piece * 20_000)], "page_id long, url string, html string")
+    began = time.time()
+    assert warc.op1(pages).count() == 2 and [r.record_type for r in warc.op1(pages).collect()].count("conversion") == 1
+    assert time.time() - began < 20
 
 
 def test_embeddings(spark):
@@ -100,6 +119,15 @@ def test_urls(spark):
     assert [(r.host, r.path, r.rule, r.verdict) for r in joined] == got
 
 
+def test_url_ties(spark):
+    for rules in ([("com", "/abcd", "block"), ("A.com", "/ab", "allow")], [("a.com", "/ab", "allow"), ("com", "/abcd", "block")], [("a.com", "/ab", "block"), ("a.com", "/ab", "allow")]):
+        df = spark.createDataFrame([(None, "http://a.com/abcd"), (1, "http://x.a.com/abcd"), (1, "http://b.com/abcd")], "page_id int, url string")
+        got = [sorted(map(repr, url_filter.judge_urls(df, rules, id_col="page_id", max_trie_bytes=n).collect())) for n in (1 << 20, 0)]
+        assert got[0] == got[1] and sum("verdict='allow'" in r and "a.com/ab" in r for r in got[0]) == 2
+    with pytest.raises(ValueError):
+        url_filter.judge_urls(df, [("", "/", "block")], id_col="page_id")
+
+
 @pytest.mark.parametrize("bits, width", [(True, 17), (False, 24), (False, 32)])
 def test_planes(bits, width):
     rng = np.random.default_rng(0)
@@ -161,7 +189,18 @@ def test_secrets(spark):
         assert got == pytest.approx(max([entropy(s[i : i + 20]) for i in range(len(s) - 19)], default=0), abs=1e-9)
 
 
-def test_winnowing(spark):
+def test_long_text_of_secrets(spark):
+    pieces = {"token=abc123 ": 20_000, "AKIA" + "Q" * 20 + " ": 20_000, "token='abc123456789012345678901' x ": 20_000}
+    for piece, n in pieces.items():
+        df = spark.createDataFrame([(1, piece * n, "a", "b")], "doc_id long, text string, base string, clear string")
+        began = time.time()
+        r = secrets.op6(df).collect()[0]
+        assert r.n_assign + r.n_access == n and time.time() - began < 20
+        found = secrets.redact(secrets.find_secrets(df, out="spans"), "spans").collect()[0]
+        assert found.text.count("[SECRET]") == n and (found.base, found.clear) == ("a", "b")
+
+
+def test_winnowing(spark, monkeypatch):
     rng = random.Random(5)
     items = [" ".join(words(rng, n)) for n in (30, 13, 20, 5, 1)] + [None, "", "..."]
     texts = [*ODD]
@@ -177,8 +216,9 @@ def test_winnowing(spark):
     for k, t in enumerate(items):
         w = decontaminate.words_of(t)
         windows += [(f"i{k}", w[p : p + 13]) for p in range(max(1, len(w) - 12))] if w else []
-    for blocks in (1 << 20, 60):
-        for r in decontaminate.judged(decontaminate.contamination(df, bench, block_bytes=blocks)).collect():
+    for filter_bytes in (1 << 20, 8):  # a filter of 64 bits lets everything through
+        monkeypatch.setattr(common, "MAX_FILTER_BYTES", filter_bytes)
+        for r in decontaminate.judged(decontaminate.contamination(df, bench)).collect():
             w, hit, found = decontaminate.words_of(texts[r.doc_id]), set(), set()
             for name, g in windows:
                 for p in range(len(w) - len(g) + 1):
@@ -188,19 +228,38 @@ def test_winnowing(spark):
             assert (r.n_words, r.n_hit, r.items) == (len(w), len(hit), sorted(found))
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
-def test_decontamination_odd_ids(spark, block_bytes):
+@pytest.mark.parametrize("filter_bytes", [1 << 20, 8])
+def test_decontamination_odd_ids(spark, monkeypatch, filter_bytes):
+    monkeypatch.setattr(common, "MAX_FILTER_BYTES", filter_bytes)
     rng = random.Random(10)
     items = [" ".join(words(rng, 20)) for _ in range(6)]
     bench = spark.createDataFrame([(f"i{k}" if k else None, t) for k, t in enumerate(items)], "item_id string, text string")
     clean = [" ".join(words(rng, 30, 5000)) for _ in range(3)]
     data = [(None, items[1], "a"), (None, clean[0], "b"), (7, items[2] + " x " + items[3], "c"), (7, clean[1], "d"), (7, clean[1], "d"), (8, items[0], "e"), (None, None, None)]
     df = spark.createDataFrame(data, "doc_id long, text string, lang string")
-    got = decontaminate.judged(decontaminate.contamination(df, bench, block_bytes=block_bytes, keep=("text", "lang"))).collect()
+    got = decontaminate.judged(decontaminate.contamination(df, bench, keep=("text", "lang"))).collect()
     want = [(None, 20, 20, ["i1"], items[1], "a"), (None, 30, 0, [], clean[0], "b"), (7, 41, 40, ["i2", "i3"], items[2] + " x " + items[3], "c"), *[(7, 30, 0, [], clean[1], "d")] * 2, (8, 20, 20, [], items[0], "e"), (None, 0, 0, [], None, None)]
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.n_words, r.n_hit, r["items"], r.text, r.lang)) for r in got)
-    bare = decontaminate.contamination(df, bench, block_bytes=block_bytes)
+    bare = decontaminate.contamination(df, bench)
     assert bare.columns == ["doc_id", "n_words", "spans", "items"] and bare.count() == len(data)
+    none = decontaminate.contamination(df, bench.where("false"))
+    assert none.count() == len(data) and none.where("size(spans) + size(items) > 0").count() == 0 and decontaminate.op7(df.where("false"), bench).count() == 0
+
+
+def test_decontamination_like_sql(spark, tmp_path):
+    """Repeated and null ids of items, runs of one word, ties and empty texts, against the operator's SQL."""
+    rng = random.Random(12)
+    items = [("i1", "a " * 30), ("i2", "A" + " a" * 12), (None, " ".join(words(rng, 25, 9))), ("i3", "b c b c"), ("i3", "x y"), ("i4", ""), ("i5", None), ("i6", "a " * 30), ("i7", " ".join(words(rng, 60, 2)))]
+    texts = [None, "", "..."] + [" ".join(rng.choice([["a"] * rng.randrange(40), words(rng, 30, 9), words(rng, 80, 2), ["b", "c", "b", "c", "x", "y"]]) + words(rng, rng.randrange(20), 2)) for _ in range(80)] + [items[2][1] * 2]
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, marks string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    res = con.execute(decontaminate.op7_sql())
+    names = [d[0] for d in res.description]
+    df = decontaminate.op7(*[spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("documents", "benchmark")])
+    assert sorted(repr([r[c] for c in names]) for r in df.collect()) == sorted(repr(list(r)) for r in res.fetchall())
 
 
 @pytest.mark.parametrize("small", [None, 1])
