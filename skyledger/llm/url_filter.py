@@ -1,7 +1,9 @@
 """Allow and block rules on URLs by a trie over reversed host labels and path segments.
 
 A rule is (host, path, verdict). It fits its host and every subdomain, if the
-URL's path starts with the rule's path; of the rules that fit, the longest wins.
+URL's path starts with the rule's path. Of the rules that fit, the one of most characters in host and
+path together wins; of equal ones the one with the longer host. There are no further ties: two rules that fit
+one URL and are as long in host and in path are the same rule, and of rules given twice the last counts.
 The trie walks host labels from the right (``net``, ``example``, ...), then the
 path's segments; the last segment of a rule's path is a prefix of the URL's
 segment at that depth (so ``/en/`` asks for something after ``/en``, be it empty).
@@ -46,7 +48,7 @@ def build_trie(rules: list[Rule]) -> dict:
 
 
 def longest_match(trie: dict, host: str, path: str) -> tuple[str, str] | None:
-    """The longest rule that fits and its verdict: more host labels win, then more of the path."""
+    """The longest rule that fits, by characters of host and path, and its verdict; of equal ones the one with the longer host."""
     best, node = None, trie
     segments = path.split("/")
     for label in reversed(host.split(".")):
@@ -62,6 +64,7 @@ def longest_match(trie: dict, host: str, path: str) -> tuple[str, str] | None:
             if fits:
                 found = paths[None][max(fits, key=len)]
             paths = paths.get(segment)
+        # hosts get longer on the way, so of equal rules the later one counts
         if found and (best is None or len(found[0]) >= len(best[0])):
             best = found
     return best
@@ -72,13 +75,15 @@ def judge_urls(df: DataFrame, rules: list[Rule], *, id_col: str, url_col: str =
 
     ``rules`` come as a list on the driver, so they are small; their bytes are checked,
     and beyond ``max_trie_bytes`` a join of host suffixes with the rules takes the
-    place of the broadcast trie. Of equal rules the last one counts; a longer rule wins
-    by its characters. Null urls and urls without ``://`` have an empty host and path
+    place of the broadcast trie and gives the same rows. A rule needs a host. Null urls and urls without ``://`` have an empty host and path
     and get the default, as do hosts with an empty last label.
     """
     host, path = url_parts(F.col(url_col))
     parts = df.select(F.col(id_col), host.alias("host"), path.alias("path"))
-    rules = list({(h, p): (h.translate(str.maketrans(UPPER, LOWER)), p, v) for h, p, v in rules}.values())
+    if not all(h for h, _, _ in rules):
+        raise ValueError("a rule needs a host")
+    lower = str.maketrans(UPPER, LOWER)
+    rules = [(h, p, v) for (h, p), v in {(h.translate(lower), p): v for h, p, v in rules}.items()]
     if sum(len((h + p + v).encode()) for h, p, v in rules) > max_trie_bytes:
         return _judge_by_join(parts, rules, id_col, default)
     small_batches(df.sparkSession)
@@ -103,7 +108,7 @@ def _judge_by_join(parts: DataFrame, rules: list[Rule], id_col: str, default: st
     suffixes = urls.select("host", "path", F.expr("explode(transform(sequence(1, size(split(host, '[.]'))), i -> substring_index(host, '.', -i)))").alias("suffix"))
     hits = suffixes.join(table, "suffix").where(F.expr("startswith(path, rule_path) AND suffix <> ''"))
     best = hits.groupBy("host", "path").agg(
-        F.max_by(F.struct(F.concat("suffix", "rule_path").alias("rule"), "rule_verdict"), F.length("suffix") + F.length("rule_path")).alias("best")
+        F.max_by(F.struct(F.concat("suffix", "rule_path").alias("rule"), "rule_verdict"), F.struct((F.length("suffix") + F.length("rule_path")).alias("n"), F.length("suffix").alias("h"))).alias("best")
     )
     return parts.join(best, ["host", "path"], "left").select(
         id_col, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict")
@@ -126,7 +131,7 @@ def op4(pages: DataFrame) -> DataFrame:
 def op4_sql() -> str:
     """The same rows in DuckDB's SQL: every rule tried, the longest kept."""
     fits = " ".join(
-        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p, _ in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'" for h, p, _ in sorted(RULES, key=lambda r: (-len(r[0] + r[1]), -len(r[0])))
     )
     verdicts = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
     pattern = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
