@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb
 
 from .common import small_batches, tidy
-from .ragged import WordMemory, gather, portions, table
+from .ragged import WordMemory, gather, kept, portions, table
 
-#: The most distinct pre-tokens that a worker remembers; those met later are encoded anew in each batch.
+#: The most distinct pre-tokens that a worker process remembers; those met later are encoded anew in each batch.
 MAX_REMEMBERED = 250_000
 
 
@@ -103,11 +103,12 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     """
     spark = df.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    tokens = read_ranks(ranks_path)
+    key = hashlib.sha256(b"".join([pattern.encode(), *(b"%d " % len(t) + t for t in tokens)])).hexdigest()
+    shared = spark.sparkContext.broadcast(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(shared.value, pattern)
-        digits = table([b"%d " % i for i in range(len(shared.value))])
+        bpe, digits = kept("byte_bpe", key, lambda: (ByteBpe(shared.value, pattern), table([b"%d " % i for i in range(len(shared.value))])))
         for batch in batches:
             n, sha, back, all_ids = [], [], [], []
             for texts in portions(text.as_py() or "" for text in batch["_text"]):
