@@ -2,43 +2,32 @@
 
 from __future__ import annotations
 
-import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Bytes of one Arrow batch. A batch is what a Python worker holds at a time, so
-#: this (and the largest single row) bounds its memory.
+#: Bytes of input that a Python worker works on at a time (a larger row is alone). Spark bounds what it gets at a time
+#: (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB by default).
 BATCH_BYTES = 8 << 20
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers get by bytes, not only by rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
+def bounded(run: Run) -> Run:
+    """``run`` for ``mapInArrow``, given batches of about ``BATCH_BYTES``, whatever the session's settings."""
 
-def give_back() -> None:
-    """Return freed memory of this process to the system, where its C library can."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    def smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                yield batch.slice(at, step)
 
-
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run`` for ``mapInArrow`` in workers that give back what a task has freed, as Spark keeps idle workers for a minute."""
-
-    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            give_back()
-
-    return tidied
+    return lambda batches: run(smaller(batches))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -50,11 +39,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="skyledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return base.rstrip("/")
 
 
+@lru_cache
+def _local_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="skyledger-")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -79,6 +72,15 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def settled(out: DataFrame, name: str, *tables: DataFrame | None) -> DataFrame:
+    """``out`` written, after which the written ``tables`` that it was made from are deleted."""
+    out = written(out, name)
+    for t in tables:
+        if t is not None:
+            discard(t)
+    return out
+
+
 #: The most bytes of a ``BitFilter``; one that would need more lets more through.
 MAX_FILTER_BYTES = 16 << 20
 
@@ -118,7 +120,7 @@ class BitFilter:
                 np.bitwise_or.at(bits, row, np.uint64(1) << (at & np.uint64(63)))
                 yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
 
-        found = values.mapInArrow(run, "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        found = values.mapInArrow(bounded(run), "word bigint, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
         out = np.zeros(words, np.uint64)
         out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
         return cls(out)

@@ -9,7 +9,9 @@ part (joins of Spark tables), then halves of blocks inside a task. What is left
 by a bound on the leading axes (Cauchy-Schwarz on the rest), and what that lets
 through by the cosine in double precision.
 
-Equal vectors are one class with a count. A task returns numbers of links and a spanning
+Vectors are scaled by powers of two, which changes no cosine, so that none overflows. Equal ones
+are one class with a count. A task holds one block and meets its near blocks one by one, so a block travels once for
+each near block and none is copied into pairs. It returns numbers of links and a spanning
 forest of its links, never the links themselves, so a dense group of n vectors gives
 about n rows for each pair of blocks.
 """
@@ -19,42 +21,65 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import connected_components, discard, small_batches, written
+from .common import bounded, connected_components, discard, settled, written
 
-#: Vectors of a block: a task holds two of them (4096 x 64 doubles are 2 MB).
-BLOCK = 4096
+#: Bytes of a block's vectors in double precision; a task holds two blocks.
+BLOCK_BYTES = 8 << 20
+#: Vectors of a part of the sequence, at least, and near blocks that one task meets with a block, at most (about).
+PART, PARTNERS = 8192, 32
 LEAF = 512
-LEADING = 16
-CELL_AXES = 6
+LEADING = CELL_AXES = 16
 #: The rotation is fitted on at most so many classes of vectors, those of least key.
 SAMPLE = 20_000
 SLACK = 1e-5
+#: Cosines nearer to the threshold than this are decided by ``cosines`` alone.
+CLOSE = 1e-9
+
+
+def scaled(v: list | None) -> np.ndarray | None:
+    """The vector times a power of two, its largest component between a half and 1; None for one that links with nothing."""
+    x = np.array([np.nan if c is None else c for c in (v or [])], np.float64)
+    if not len(x) or not np.isfinite(x).all() or not (top := np.abs(x).max()):
+        return None
+    return np.ldexp(x, -int(np.frexp(top)[1])) + 0.0
 
 
 def vector_classes(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, key, dim, vec``: the key is a digest of the components as doubles; null for vectors that link with nothing."""
-    small_batches(df.sparkSession)
+    """``vec_id, key, dim, vec``: the scaled vector and a digest of its components; null for vectors that link with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, vectors = [], []
-            for v in batch["v"]:
-                x = np.array([np.nan if c is None else c for c in (v.as_py() or [])], np.float64)
-                fine = len(x) and np.isfinite(x).all() and np.isfinite(n := float(np.linalg.norm(x))) and n > 0
-                keys.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if fine else None)
-                vectors.append(x if fine else None)
+            vectors = [scaled(v.as_py()) for v in batch["v"]]
+            keys = [None if x is None else hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in vectors]
             dims = [None if x is None else len(x) for x in vectors]
             yield pa.RecordBatch.from_arrays(
                 [batch["vec_id"], pa.array(keys, pa.binary()), pa.array(dims, pa.int32()), pa.array(vectors, pa.list_(pa.float64()))], names=["vec_id", "key", "dim", "vec"]
             )
 
     source = df.select(df[id_col].cast("bigint").alias("vec_id"), df[vector_col].cast("array<double>").alias("v"))
-    return source.mapInArrow(run, "vec_id bigint, key binary, dim int, vec array<double>")
+    return source.mapInArrow(bounded(run), "vec_id bigint, key binary, dim int, vec array<double>")
+
+
+def packed(v: np.ndarray) -> bytes:
+    """Rows of vectors as bytes: in single precision where that holds them exactly."""
+    single = v.astype(np.float32)
+    return single.tobytes() if (single == v).all() else v.tobytes()
+
+
+def unpacked(raw: bytes, n: int, dim: int) -> np.ndarray:
+    """The ``n`` vectors of ``dim`` components behind ``packed``."""
+    return np.frombuffer(raw, np.float32 if len(raw) == 4 * n * dim else np.float64).reshape(n, dim).astype(np.float64)
+
+
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of rows of ``a`` with rows of ``b``, always by this one expression."""
+    return np.einsum("nd,nd->n", a, b) / np.sqrt(np.einsum("nd,nd->n", a, a)) / np.sqrt(np.einsum("nd,nd->n", b, b))
 
 
 def principal_axes(vectors: np.ndarray) -> np.ndarray:
@@ -96,9 +121,12 @@ def join_blocks(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float
         if (hit := bound >= threshold - SLACK).any():
             x, y = np.nonzero(hit)
             if len(x) > 0.02 * hit.size:
-                fine = (ua[i:j] @ ub[k:m].T)[x, y] >= threshold
+                c = (ua[i:j] @ ub[k:m].T)[x, y]
+                close = np.abs(c - threshold) < CLOSE
+                c[close] = cosines(a[i + x[close]], b[k + y[close]])
             else:
-                fine = np.einsum("nd,nd->n", ua[i + x], ub[k + y]) >= threshold
+                c = cosines(a[i + x], b[k + y])
+            fine = c >= threshold
             x, y = x[fine] + i, y[fine] + k
             if same:
                 x, y = x[x > y], y[x > y]
@@ -146,7 +174,7 @@ def _blocks(classes: DataFrame, axes: np.ndarray, threshold: float, n: int, bloc
         def row() -> pa.RecordBatch:
             v = np.array(vectors, np.float64)
             lead = ((v / np.linalg.norm(v, axis=1, keepdims=True)) @ shared.value)[:, :LEADING]
-            values = [part, number, lead.min(axis=0), lead.max(axis=0), keys, counts, v.tobytes()]
+            values = [part, number, lead.min(axis=0), lead.max(axis=0), keys, counts, packed(v)]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, types, strict=True)], names=names)
 
         for batch in batches:
@@ -162,11 +190,11 @@ def _blocks(classes: DataFrame, axes: np.ndarray, threshold: float, n: int, bloc
 
     names = ["part", "block", "lo", "hi", "keys", "counts", "vectors"]
     types = [pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()]
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // (2 * block)))
-    celled = classes.select("key", "copies", "vec").mapInArrow(cells, "key binary, copies bigint, vec array<double>, cell array<bigint>")
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n // min(PART, 2 * block)))
+    celled = classes.select("key", "copies", "vec").mapInArrow(bounded(cells), "key binary, copies bigint, vec array<double>, cell array<bigint>")
     # a cell may hold any share of the vectors, so keys take part in the order
     ordered = celled.repartitionByRange(parts, "cell", "key").sortWithinPartitions("cell", "key")
-    return ordered.mapInArrow(pack, "part int, block int, lo array<double>, hi array<double>, keys array<binary>, counts array<bigint>, vectors binary")
+    return ordered.mapInArrow(bounded(pack), "part int, block int, lo array<double>, hi array<double>, keys array<binary>, counts array<bigint>, vectors binary")
 
 
 def _near_boxes(epsilon: float) -> str:
@@ -193,63 +221,76 @@ def _links(blocks: DataFrame, axes: np.ndarray, threshold: float) -> DataFrame:
     """``key, links, other``: numbers of links of each class (``other`` null), and links of a spanning forest (``links`` null)."""
     shared = blocks.sparkSession.sparkContext.broadcast(axes)
 
+    def meet(mine: dict, theirs: dict, same: bool) -> pa.RecordBatch:
+        a, b, ka, kb = mine["v"], theirs["v"], mine["keys"], theirs["keys"]
+        copies_a, copies_b = np.array(mine["counts"]), np.array(theirs["counts"])
+        links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        shift = 0 if same else len(a)
+        parent = list(range(shift + len(b)))
+        edges: list[tuple[int, int]] = []
+        for x, y in join_blocks(a, b, shared.value, threshold, same):
+            np.add.at(links_a, x, copies_b[y])
+            np.add.at(links_b, y, copies_a[x])
+            edges += spanning_forest(x, y + shift, parent)
+        if same:
+            links_a, links_b = links_a + links_b, links_b[:0]
+        key = [ka[i] for i in np.nonzero(links_a)[0]] + [kb[i] for i in np.nonzero(links_b)[0]]
+        count = [*links_a[links_a > 0].tolist(), *links_b[links_b > 0].tolist()]
+        key += [ka[i] for i, _ in edges]
+        other = [None] * len(count) + [kb[j - shift] for _, j in edges]
+        count += [None] * len(edges)
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(count, pa.int64()), pa.array(other, pa.binary())], names=["key", "links", "other"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dim = len(shared.value)
+        mine: dict = {}
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {n: batch[n][r].as_py() for n in batch.schema.names}
-                same = (row["part"], row["block"]) == (row["part2"], row["block2"])
-                a, b = (np.frombuffer(row[n], np.float64).reshape(-1, dim) for n in ("vectors", "vectors2"))
-                ka, kb = row["keys"], row["keys2"]
-                copies_a, copies_b = np.array(row["counts"]), np.array(row["counts2"])
-                links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-                shift = 0 if same else len(a)
-                parent = list(range(shift + len(b)))
-                edges: list[tuple[int, int]] = []
-                for x, y in join_blocks(a, b, shared.value, threshold, same):
-                    np.add.at(links_a, x, copies_b[y])
-                    np.add.at(links_b, y, copies_a[x])
-                    edges += spanning_forest(x, y + shift, parent)
-                if same:
-                    links_a, links_b = links_a + links_b, links_b[:0]
-                key = [ka[i] for i in np.nonzero(links_a)[0]] + [kb[i] for i in np.nonzero(links_b)[0]]
-                count = [*links_a[links_a > 0].tolist(), *links_b[links_b > 0].tolist()]
-                key += [ka[i] for i, _ in edges]
-                other = [None] * len(count) + [kb[j - shift] for _, j in edges]
-                count += [None] * len(edges)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array(count, pa.int64()), pa.array(other, pa.binary())], names=["key", "links", "other"])
+                row["v"] = unpacked(row.pop("vectors"), len(row["keys"]), len(shared.value))
+                if row["first"]:
+                    mine = row
+                    if not row["chunk"]:
+                        yield meet(mine, mine, True)
+                else:
+                    yield meet(mine, row, False)
 
     pairs = _block_pairs(blocks, math.sqrt(2 - 2 * threshold) + SLACK)
-    second = blocks.select(F.col("part").alias("part2"), F.col("block").alias("block2"), *[F.col(c).alias(c + "2") for c in ("keys", "counts", "vectors")])
-    payload = pairs.join(blocks.drop("lo", "hi"), ["part", "block"]).join(second, ["part2", "block2"])
-    return payload.mapInArrow(run, "key binary, links bigint, other binary")
-
-
-def embedding_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, block: int = BLOCK) -> DataFrame:
+    chunks = pairs.groupBy("part", "block").agg(F.ceil(F.count("*") / PARTNERS).alias("chunks"))
+    pairs = pairs.join(chunks, ["part", "block"]).withColumn("chunk", F.pmod(F.xxhash64("part2", "block2"), "chunks").cast("int"))
+    payload = ["keys", "counts", "vectors"]
+    # chunk 0 is always there, as every block meets itself
+    groups = pairs.select("part", "block", "chunk").unionByName(blocks.select("part", "block", F.lit(0).alias("chunk"))).distinct()
+    first = groups.join(blocks.select("part", "block", *payload), ["part", "block"]).withColumn("first", F.lit(True))
+    second = blocks.select(F.col("part").alias("part2"), F.col("block").alias("block2"), *payload)
+    second = pairs.where("part <> part2 OR block <> block2").join(second, ["part2", "block2"]).withColumn("first", F.lit(False))
+    rows = first.unionByName(second.select(*first.columns)).repartition("part", "block", "chunk").sortWithinPartitions("part", "block", "chunk", F.desc("first"))
+    return rows.mapInArrow(bounded(run), "key binary, links bigint, other binary")
+
+
+def embedding_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, block: int | None = None) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``df``.
 
-    Linked are vectors with cosine >= ``threshold`` in double precision. Vectors that are null,
+    Linked are vectors with cosine >= ``threshold`` in double precision, whatever their size. Vectors that are null,
     empty, zero or hold null or non-finite components link with nothing, and so do
     vectors of different lengths with each other. Equal vectors, and repeated rows, link as
-    any others do. Rows with a null id are returned; a component's id is the least non-null one.
+    any others do. Rows with a null id are returned; a component's id is the least non-null one. Other columns are ignored.
+    ``block``: vectors of a block; without it as many as take ``BLOCK_BYTES``.
     """
     spark = df.sparkSession
     rows = written(vector_classes(df, id_col, vector_col), "vectors")
     classes = written(rows.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("vec").alias("vec"), F.first("dim").alias("dim")), "classes")
-    told: DataFrame | None = None
-    # lengths of vectors: nearly always one
-    for dim, n in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().collect()):
+    told: list[DataFrame] = []
+    # lengths of vectors, nearly always one; a lone class has no links to others
+    for dim, n in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().where("count > 1").collect()):
         mine = classes.where(F.col("dim") == dim)
         sample = [r["vec"] for r in mine.orderBy("key").limit(SAMPLE).select("vec").collect()]
-        axes = principal_axes(np.array(sample)) if len(sample) > 1 else np.eye(dim)
-        blocks = written(_blocks(mine, axes, threshold, n, block), "blocks")
-        found = written(_links(blocks, axes, threshold), "links")
+        axes = principal_axes(np.array(sample))
+        blocks = written(_blocks(mine, axes, threshold, n, block or max(LEAF, BLOCK_BYTES // (8 * dim))), "blocks")
+        told.append(written(_links(blocks, axes, threshold), "links"))
         discard(blocks)
-        told = found if told is None else told.unionByName(found)
-    if told is None:
-        told = spark.createDataFrame([], "key binary, links bigint, other binary")
-    labels = connected_components(told.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
-    counts = told.where("other IS NULL").groupBy("key").agg(F.sum("links").alias("links"))
+    found = reduce(DataFrame.unionByName, told) if told else spark.createDataFrame([], "key binary, links bigint, other binary")
+    labels = connected_components(found.where("other IS NOT NULL").select(F.col("key").alias("a"), F.col("other").alias("b")))
+    counts = found.where("other IS NULL").groupBy("key").agg(F.sum("links").alias("links"))
     known = (
         classes.select("key", "copies", "least").join(counts, "key", "left").join(labels.withColumnRenamed("node", "key"), "key", "left")
         .select("key", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("label", "key").alias("part"))
@@ -258,7 +299,8 @@ def embedding_duplicates(df: DataFrame, *, id_col: str = "vec_id", vector_col: s
     known = known.join(ids, "part").select("key", "n_links", "component_id")
     out = rows.select("vec_id", "key").join(known, "key", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    out = out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return settled(out, "embedding_duplicates", rows, classes, labels, *told)
 
 
 def op2(embeddings: DataFrame) -> DataFrame:
@@ -269,7 +311,8 @@ def op2_sql(threshold: float = 0.9) -> str:
     """The same rows in DuckDB's SQL: all pairs, and components by a recursive walk."""
     return f"""
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-fine AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+finite AS (SELECT vec_id, e, list_max(list_transform(e, lambda x: abs(x))) AS top FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+fine AS (SELECT vec_id, list_transform(e, lambda x: x / pow(2.0, floor(log2(top)))) AS e FROM finite WHERE top > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= {threshold}),
 walk AS (SELECT vec_id AS n, vec_id AS r FROM v UNION SELECT link.b, walk.r FROM walk JOIN link ON link.a = walk.n),
