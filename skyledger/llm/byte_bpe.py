@@ -22,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-from .common import small_batches, tidy
+from .common import bounded
 from .ragged import WordMemory, gather, kept, portions, table
 
 #: The most distinct pre-tokens that a worker process remembers; those met later are encoded anew in each batch.
@@ -102,7 +102,6 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     its tokens (a vocabulary, fixed in size) are broadcast.
     """
     spark = df.sparkSession
-    small_batches(spark)
     tokens = read_ranks(ranks_path)
     key = hashlib.sha256(b"".join([pattern.encode(), *(b"%d " % len(t) + t for t in tokens)])).hexdigest()
     shared = spark.sparkContext.broadcast(tokens)
@@ -130,7 +129,7 @@ def encode_texts(df: DataFrame, ranks_path: str, pattern: str, *, id_col: str =
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
-    return df.select(id_col, df[text_col].alias("_text")).mapInArrow(tidy(run), schema)
+    return df.select(id_col, df[text_col].alias("_text")).mapInArrow(bounded(run), schema)
 
 
 def op10(documents: DataFrame) -> DataFrame:

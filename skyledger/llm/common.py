@@ -48,8 +48,26 @@ def _local_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="skyledger-")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+def written_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written; all other tables that were written on the way are deleted."""
+    _SCOPES.append([])
+    try:
+        out = written(df := make(), name)
+    finally:
+        made = _SCOPES.pop()
+    for path in made[:-1]:
+        _delete(df.sparkSession, path)
+    return out
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -65,11 +83,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by ``written`` that nothing needs any more."""
-    spark = df.sparkSession
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settled(out: DataFrame, name: str, *tables: DataFrame | None) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BitFilter, discard, small_batches, tidy, written
+from .common import BitFilter, bounded, discard, written
 from .ragged import kept
 
 MAX_REMEMBERED = 250_000
@@ -120,7 +120,7 @@ def benchmark_prints(items: DataFrame, window: int, k: int) -> DataFrame:
 
     names = ["print", "size", "need", "item_at", "item_words", "item_class"]
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-    return items.mapInArrow(tidy(run), "print bigint, size int, need int, item_at int, item_words binary, item_class binary").distinct()
+    return items.mapInArrow(bounded(run), "print bigint, size int, need int, item_at int, item_words binary, item_class binary").distinct()
 
 
 def _item_classes(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -133,7 +133,7 @@ def _item_classes(benchmark: DataFrame, item_col: str, text_col: str) -> DataFra
             yield pa.RecordBatch.from_arrays([batch["item"], pa.array(classes, pa.binary()), pa.array([w.decode() for w in words], pa.string())], names=["item", "item_class", "words"])
 
     source = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    return source.mapInArrow(tidy(run), "item string, item_class binary, words string").where("item_class IS NOT NULL")
+    return source.mapInArrow(bounded(run), "item string, item_class binary, words string").where("item_class IS NOT NULL")
 
 
 _SPANS = "array<struct<start:bigint,end:bigint>>"
@@ -157,7 +157,7 @@ def _extended(hits: DataFrame) -> DataFrame:
             span = pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["start", "end"])
             yield pa.RecordBatch.from_arrays([some["row_key"], span, some["item_class"]], names=["row_key", "span", "item_class"])
 
-    return hits.mapInArrow(tidy(run), "row_key bigint, span struct<start:bigint,end:bigint>, item_class binary")
+    return hits.mapInArrow(bounded(run), "row_key bigint, span struct<start:bigint,end:bigint>, item_class binary")
 
 
 def _merged(rows: DataFrame) -> DataFrame:
@@ -176,7 +176,7 @@ def _merged(rows: DataFrame) -> DataFrame:
                 out.append([{"start": a, "end": b} for a, b in merged])
             yield pa.RecordBatch.from_arrays([batch["row_key"], pa.array(out, _SPAN)], names=["row_key", "spans"])
 
-    return rows.mapInArrow(tidy(run), f"row_key bigint, spans {_SPANS}")
+    return rows.mapInArrow(bounded(run), f"row_key bigint, spans {_SPANS}")
 
 
 def contamination(
@@ -203,7 +203,6 @@ def contamination(
     the benchmark's are joined. A document's work grows with its words and with its matching fingerprints.
     """
     spark = documents.sparkSession
-    small_batches(spark)
     named = written(_item_classes(benchmark, item_col, item_text_col), "items")
     prints = written(benchmark_prints(named.select("item_class", "words").distinct(), window, k), "prints")
     # lengths below the window: fewer than ``window`` numbers
@@ -235,7 +234,7 @@ def contamination(
 
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = "".join(f"`{c}` {fields[c]}, " for c in passed) + "n_words bigint, marks array<struct<print:bigint,at:int,doc_at:int,doc_words:binary>>, marked boolean"
-    first = written(rows.mapInArrow(tidy(scan), schema).withColumn("row_key", F.monotonically_increasing_id()), "scanned")
+    first = written(rows.mapInArrow(bounded(scan), schema).withColumn("row_key", F.monotonically_increasing_id()), "scanned")
 
     hits = first.where("marked").select("row_key", F.explode("marks").alias("m")).select("row_key", "m.*").join(prints, "print")
     found = written(_extended(hits), "hits")

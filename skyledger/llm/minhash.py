@@ -25,13 +25,14 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BitFilter, connected_components, discard, small_batches, tidy, written
+from .common import BitFilter, bounded, connected_components, discard, settled, written
 from .embed_dedup import spanning_forest
 
 MAX_REMEMBERED = 250_000
 #: Buckets of at most so many nodes are compared pair by pair in the end, others in blocks.
 SMALL_BUCKET = 16
-BLOCK_NODES = 512
+#: Nodes of a block, and their shingles, at most on average (a longer text is a block of its own, or in one).
+BLOCK_NODES, BLOCK_SHINGLES = 512, 1 << 19
 #: Shingles times coordinates worked on at once, in 4-byte numbers.
 TILE = 1 << 20
 
@@ -92,7 +93,6 @@ def circulant_signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
 
 def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, n_shingles, node, bands``: node is a 128-bit digest of the shingle set, null for an empty one or a null id."""
-    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(shingle)
@@ -117,7 +117,7 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
             )
 
     source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    return source.mapInArrow(tidy(run), "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
+    return source.mapInArrow(bounded(run), "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
 
 
 def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -143,8 +143,8 @@ def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), batch["text"]], names=["node", "text"])
 
     source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    source = source.mapInArrow(tidy(pack), "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
-    return source.select("text").mapInArrow(tidy(run), "node binary, text binary").dropDuplicates(["node"])
+    source = source.mapInArrow(bounded(pack), "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
+    return source.select("text").mapInArrow(bounded(run), "node binary, text binary").dropDuplicates(["node"])
 
 
 def unpacked(text: bytes) -> str:
@@ -168,14 +168,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
     both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(tidy(run), "a binary, b binary")
+    return both.select("a", "b", "ta", "tb").mapInArrow(bounded(run), "a binary, b binary")
 
 
 def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between different parts of large buckets, block by block: a spanning forest of each two blocks' links.
 
-    Nodes of a bucket are dealt into blocks of about ``BLOCK_NODES`` by hash, and each two blocks are one group, so
-    a bucket of n nodes makes n^2 / BLOCK_NODES rows and no task holds more than two blocks.
+    Nodes of a bucket are dealt by hash into blocks of about ``BLOCK_NODES`` nodes or ``BLOCK_SHINGLES`` shingles, and each two
+    blocks are one group, so a bucket of n nodes makes n^2 / BLOCK_NODES rows and no task holds more than two blocks.
     """
 
     def run(group: pa.Table) -> pa.Table:
@@ -209,7 +209,8 @@ def _linked_in_blocks(live: DataFrame, texts: DataFrame, shingle: int, percent:
         sure = [(i, j) for i, j in edges if 100 * len(full[i] & full[j]) >= percent * len(full[i] | full[j])]
         return pa.table({"a": pa.array([nodes[i] for i, _ in sure], pa.binary()), "b": pa.array([nodes[j] for _, j in sure], pa.binary())})
 
-    counts = live.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_NODES).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    counts = live.groupBy("key").agg(blocks.cast("int").alias("blocks"))
     rows = live.select("key", "node", "part").join(counts, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node", "part")
@@ -254,6 +255,7 @@ def near_duplicates(
     similar = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     links: DataFrame | None = None
     labels: DataFrame | None = None
+    made = [docs, members, texts]
     live = members
     last = False
     for turn in range(star_rounds + 1):
@@ -262,6 +264,7 @@ def near_duplicates(
             told = live.join(labels.withColumnRenamed("label", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
             several = told.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min("node").alias("leader")).where("x <> y").select("key", "leader")
             live = written(told.drop("leader").join(several, "key"), "members")
+            made.append(live)
             sizes = live.groupBy("key").agg(F.count("*").alias("n")).agg(F.sum("n").alias("nodes"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs")).first()
             if not sizes["nodes"]:
                 break
@@ -276,10 +279,14 @@ def near_duplicates(
             few = live.join(live.groupBy("key").count().where(F.col("count") <= SMALL_BUCKET).select("key"), "key", "left_semi")
             pairs = few.withColumnRenamed("node", "a").join(other, "key").where(f"a < b AND part <> other_part AND {similar}").select("a", "b")
         new = written(_verified(pairs.distinct(), texts, shingle, percent), "links")
+        made.append(new)
         if last:
             many = live.join(live.groupBy("key").count().where(F.col("count") > SMALL_BUCKET).select("key"), "key", "left_semi")
-            new = new.unionByName(written(_linked_in_blocks(many, texts, shingle, percent), "links"))
+            made.append(written(_linked_in_blocks(many, texts, shingle, percent), "links"))
+            new = new.unionByName(made[-1])
         links = new if links is None else links.unionByName(new)
+        if labels is not None:
+            made.append(labels)
         labels = connected_components(links)
         if last:
             break
@@ -288,8 +295,8 @@ def near_duplicates(
     parts = docs.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("part", F.coalesce("label", "node"))
     least = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("least"))
     out = parts.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    discard(texts)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return settled(out, "near_duplicates", labels, *made)
 
 
 def op8(documents: DataFrame) -> DataFrame:

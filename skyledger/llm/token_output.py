@@ -28,7 +28,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import new_path, small_batches
+from .common import bounded, new_path
 from .ragged import WordMemory, kept, portions
 
 BLOCK = 16_384
@@ -183,7 +183,6 @@ def write_tokens(
     in parallel; ``make_encoder()`` is called in each task. Null texts count as empty; rows
     with equal ids are all kept; null ids come first. An empty table makes an empty table.
     """
-    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -217,7 +216,7 @@ def write_tokens(
     types = [pa.int32(), pa.int32(), longs, longs, pa.int64(), pa.int32(), pa.int32(), longs, pa.binary()]
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
     ordered = df.select(df[id_col].cast("bigint").alias("_id"), df[text_col].alias("_text")).repartitionByRange("_id", F.length("_text")).sortWithinPartitions("_id", "_text")
-    ordered.mapInArrow(run, SEGMENTS).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(bounded(run), SEGMENTS).write.option("compression", "none").parquet(path)
 
 
 def read_tokens(spark, path: str, bits: bool = True) -> DataFrame:
@@ -246,9 +245,8 @@ def read_tokens(spark, path: str, bits: bool = True) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    small_batches(spark)
     names = ["doc_ids", "doc_lens", "n_ids", "width", "block", "chunks", "payload", "start"]
-    return placed.select(*names).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return placed.select(*names).mapInArrow(bounded(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def op5(documents: DataFrame, end_id: int = 2) -> DataFrame:

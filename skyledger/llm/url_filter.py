@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import small_batches
+from .common import bounded
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Beyond this many bytes of rules the trie isn't broadcast; rules are then joined.
@@ -86,7 +86,6 @@ def judge_urls(df: DataFrame, rules: list[Rule], *, id_col: str, url_col: str =
     rules = [(h, p, v) for (h, p), v in {(h.translate(lower), p): v for h, p, v in rules}.items()]
     if sum(len((h + p + v).encode()) for h, p, v in rules) > max_trie_bytes:
         return _judge_by_join(parts, rules, id_col, default)
-    small_batches(df.sparkSession)
     trie = df.sparkSession.sparkContext.broadcast(build_trie(rules))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +97,7 @@ def judge_urls(df: DataFrame, rules: list[Rule], *, id_col: str, url_col: str =
             )
 
     kind = df.schema[id_col].dataType.simpleString()
-    return parts.mapInArrow(judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
+    return parts.mapInArrow(bounded(judge), f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
 
 
 def _judge_by_join(parts: DataFrame, rules: list[Rule], id_col: str, default: str) -> DataFrame:

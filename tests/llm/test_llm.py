@@ -95,6 +95,19 @@ def test_embeddings(spark):
     assert embed_dedup.op2(df.where("false")).count() == 0
 
 
+def test_embeddings_of_any_size(spark):
+    vectors = [[1e200, 1e200], [1e200, 1e200], [1e-200, 1e-200], [5e-324, 5e-324], [1.0, -1.0], [1e308, 9e307], [0.9, math.sqrt(1 - 0.81)], [1.0, 0.0], [1.0] * 3, [2.0, 2.0, 2.0], [7.0]]
+    rows = [(i if i != 3 else None, v) for i, v in enumerate(vectors)] + [(8, [1.0] * 3)]
+    got = sorted(tuple(r)[1:] + (r.vec_id,) for r in embed_dedup.op2(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect() if r.vec_id is not None)
+    n, part = {g[3]: g[0] for g in got}, {g[3]: g[1] for g in got}
+    assert [n[i] for i in (0, 1, 2, 5, 4, 10)] == [5, 5, 5, 5, 0, 0] and part[2] == part[5] == 0
+    assert n[8] == n[9] == 2 and part[9] == 8 and part[6] == 0 and n[6] >= 5
+    assert embed_dedup.cosines(np.array([[0.9, 0.1]]), np.array([[0.9, 0.1]]))[0] == pytest.approx(1)
+    single, double = np.array([[0.5, 0.25]]), np.array([[0.1, 0.2]])
+    assert len(embed_dedup.packed(single)) == 8 and len(embed_dedup.packed(double)) == 16
+    assert all((embed_dedup.unpacked(embed_dedup.packed(v), 1, 2) == v).all() for v in (single, double))
+
+
 def test_shards(spark):
     df = make(spark, ["t"] * 300 + ODD).withColumn("source", F.when(F.col("doc_id") % 2 == 0, "hot").otherwise(F.col("source")))
     rows = sharding.op3(df).collect()
@@ -331,6 +344,14 @@ def test_toxicity(spark):
     assert [got[900 + k].predicted for k in range(5)] == [1, 0, 0, 0, 1]
     assert all(0 <= r.score <= 1 for r in got.values())
     assert toxicity.op9(df, lab.where("false")).where("predicted = 1").count() == 0
+    none = toxicity.op9(df.withColumn("doc_id", F.lit(None).cast("long")), lab)
+    assert {r.held_out for r in none.collect()} == {False} and none.count() == len(texts) + 6
+    lex = toxicity.FuzzyLexicon({}, {"abcdef": 1.0, "wxyz": 1.0})
+    assert [lex.near_stem(w) for w in ("abcdefgh", "abdefgh", "xabcdefgh", "abXdefgh", "abdfgh", "wxyza", "wxza")] == [("abcdef", 0), *[("abcdef", 1)] * 3, None, None, None]
+    assert [lex.stem(w) for w in ("wxyza", "wxza")] == ["wxyz", None]
+    far = toxicity.ToxicityModel(-1.0, {"grobnik": 6.0})
+    long = 'he said ' + "a" * 500 + ' "grobnik" was'
+    assert far.score(long)[1] == 0 and far.score("you grobnik")[1] == 1 and far.score("x " * 5000 + "grobnik")[1] == 1
     lex = toxicity.FuzzyLexicon({"fizzwart": 1.0}, {})
     assert [lex.near(w) is not None for w in ("fizzwart", "fizwart", "fizzwarts", "fizzw4rt", "xizzwart", "fizart", "fizz", "")] == [True] * 5 + [False] * 3
 
@@ -373,6 +394,72 @@ def test_pipeline(spark, tmp_path):
     assert red.text.startswith("[SECRET] ") and red.n_chars == len(red.text)
 
 
+def jaccard(a, b):
+    return 100 * len(a & b) >= 80 * len(a | b)
+
+
+def test_pipeline_brute_force(spark, tmp_path):
+    """All five stages on one fixture against plain Python, with null and repeated ids, ties, empty texts and a clashing column."""
+    import corpus_pipeline
+    import tiktoken
+
+    rng = random.Random(13)
+    texts = [" ".join(words(rng, rng.randrange(20, 80), 4000)) for _ in range(260)]
+    items = [" ".join(words(rng, 30, 4000)) for _ in range(3)] + [" ".join(words(rng, 6, 4000))]
+    toxic = set(range(0, 200, 4))
+    for i in toxic:
+        w = texts[i].split()
+        w[rng.randrange(len(w))] = "grobnik"
+        texts[i] = " ".join(w)
+    for i in range(201, 230):  # near and exact copies in groups
+        w = texts[200 + i % 3].split()
+        if i % 2:
+            w[rng.randrange(len(w))] = f"z{i}"
+        texts[i] = " ".join(w)
+    texts[231] = items[0] + " " + texts[231]
+    texts[232] = texts[232] + " " + items[3].upper()
+    texts[233] = " ".join(items[1].split()[:12]) + " q " + texts[233]
+    texts[234] = "token=abcdef123456 " + texts[234]
+    texts[235:238] = ["", " ", texts[238]]
+    rows = [(i if i % 50 != 9 else None, t, "en", "s", len(t), "x") for i, t in enumerate(texts)] + [(5, None, "en", None, None, "x"), (240, texts[240], "en", "s", 1, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(200)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, tuple(r.ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    kept = [r for r in rows if "grobnik" not in (r[1] or "").split()]
+    sets = [minhash.shingle_set(minhash.words_of(r[1]), 5) for r in kept]
+    part = list(range(len(kept)))
+    for _ in kept:
+        for i in range(len(kept)):
+            for j in range(i):
+                if sets[i] and sets[j] and jaccard(sets[i], sets[j]):
+                    part[i] = part[j] = min(part[i], part[j])
+    best = {}
+    for i, r in enumerate(kept):
+        key = (r[0] is None, r[0] or 0, i)
+        best[part[i]] = min(best.get(part[i], (key, i)), (key, i))
+    kept = [kept[i] for _, i in best.values()]
+    grams = {tuple(w[p : p + min(13, len(w))]) for w in map(decontaminate.words_of, items) for p in range(max(1, len(w) - 12))}
+
+    def clean(text):
+        w, hit = decontaminate.words_of(text), set()
+        for n in {len(g) for g in grams}:
+            for p in range(len(w) - n + 1):
+                if tuple(w[p : p + n]) in grams:
+                    hit.update(range(p, p + n))
+        return not (hit and 20 * len(hit) >= len(w))
+
+    kept = [r for r in kept if clean(r[1])]
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(ranks)}, special_tokens={})
+    want = []
+    for r in kept:
+        ids = enc.encode_ordinary((r[1] or "").replace("token=abcdef123456", "[SECRET]"))
+        want.append((-1 if r[0] is None else r[0], len(ids), tuple(ids)))
+    assert got == sorted(want) and {231, 232}.isdisjoint(g[0] for g in got) and any(g[0] == 233 for g in got)
+
+
 def test_pipeline_duplicates_odd_ids(spark):
     import corpus_pipeline
 
