@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm import byte_bpe, decontaminate, minhash, secrets, toxicity
-from skyledger.llm.common import table, written
+from skyledger.llm.common import discard, table, written, written_alone
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold: float = 0.7) -> DataFrame:
@@ -25,11 +25,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows are compared and dropped by a written key of their own, so those with a null or shared id are judged like all
     others; in a group a null id comes last, and of equal ids one row stays. Texts without words stand alone and stay.
     """
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    judged = minhash.near_duplicates(keyed, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    stay = judged.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("best")).select("best._row")
-    return keyed.join(stay, "_row", "left_semi").select(*docs.columns)
+    row = secrets.free_name(docs, "row")
+    keyed = written(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    judged = minhash.near_duplicates(keyed, id_col=row)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")
+    ids = keyed.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("id"))
+    stay = judged.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("best")).select(F.col("best.doc_id").alias(row))
+    return keyed.join(stay, row, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +42,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; the spans found are replaced by a mark, and ``n_chars`` follows the text."""
-    out = secrets.redact(secrets.find_secrets(docs, out="_spans"), "_spans")
+    spans = secrets.free_name(docs, "spans")
+    out = secrets.redact(secrets.find_secrets(docs, out=spans), spans)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
@@ -67,7 +70,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other; a stage's own tables and its input are deleted once its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
