@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Speed of light in m/s (fixed value).
 C_LIGHT = 299_792_458.0
 
-#: Observing modes and what they are; an instrument's name and an underscore may stand before the last five.
+#: Observing modes and what they are. Those in ``CAPTURES`` bear their instrument's prefix in the data.
 MODES = {
     "NO_CAPTURE": "no_capture",
     "CORR_MODE_CHANGE": "no_capture",
@@ -18,6 +18,8 @@ MODES = {
     "BEAMFORMER": "beamformer",
 }
 
+CAPTURES = ("CORRELATOR", "CORR_BF", "VCS", "BUFFER", "BEAMFORMER")
+
 #: GPS seconds at which each leap second since the GPS epoch took effect.
 LEAP_GPS = [
     46828800, 78364801, 109900802, 173059203, 252028804, 315187205, 346723206, 393984007, 425520008,
@@ -83,9 +85,10 @@ def number_list(text: Column, kind: str = "double") -> Column:
     return F.transform(F.split(text, ","), lambda x: F.trim(x).try_cast(kind))
 
 
-def is_mode(mode: Column, kind: str) -> Column:
-    mode = F.regexp_replace(mode, "^[A-Z0-9]+_(?=(CORRELATOR|CORR_BF|VCS|BUFFER|BEAMFORMER)$)", "")
-    return F.coalesce(mode.isin([m for m, kinds in MODES.items() if kind in kinds.split(",")]), F.lit(False))
+def is_mode(mode: Column, kind: str, prefix: str = "") -> Column:
+    """Whether a mode is of a kind, by its exact name; ``prefix`` is the instrument's, with its underscore. False for null."""
+    names = [prefix + m if m in CAPTURES else m for m, kinds in MODES.items() if kind in kinds.split(",")]
+    return F.coalesce(mode.isin(names), F.lit(False))
 
 
 def gps_to_unix(gps: Column) -> Column:
@@ -100,9 +103,22 @@ def unix_to_gps(seconds: Column) -> Column:
     return raw + F.size(F.filter(starts, lambda x: x <= raw))
 
 
-def bucket_of(obs_id: Column) -> Column:
-    """The store's bucket (its prefix is a fixed value), and the ledger's partition key, of an observation."""
-    return F.concat(F.lit("mwaingest-"), F.substring(obs_id.cast("string"), 1, 5))
+def bucket_of(obs_id: Column, prefix: str) -> Column:
+    """The bucket of an observation, and the ledger's partition key: the site's prefix and the id's first five digits."""
+    return F.concat(F.lit(prefix), F.substring(obs_id.cast("string"), 1, 5))
+
+
+#: Seconds of a slot, by which times are joined with windows of time.
+SLOT = 512
+
+
+def slot_of(gps: Column) -> Column:
+    return F.floor(gps / SLOT)
+
+
+def slots_of(start: Column, end: Column) -> Column:
+    """The slots that a window touches, as an array."""
+    return F.sequence(slot_of(start), slot_of(end))
 
 
 def suffixed(df: DataFrame, suffix: str, keep: tuple[str, ...]) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.exprs import basename, bucket_of, extension, is_mode, number_list, stem
+from ..functions.exprs import basename, bucket_of, extension, is_mode, number_list, slot_of, slots_of, stem
 
 #: File type codes.
 HW_LFILES, FLAG, PPD, VOLTAGES, VISIBILITIES, VDIF, FILTERBANK = 8, 10, 14, 17, 18, 19, 20
 #: Stem lengths allowed for each type.
 STEM_LENGTHS = {VOLTAGES: (23, 24, 25), VISIBILITIES: (35,), PPD: (24, 19, 10), FLAG: (16,), VDIF: (23, 34), FILTERBANK: (23, 34)}
-#: Archive locations that have buckets.
-LOCATIONS = {2: "AcaciaIngest", 3: "Banksia", 4: "AcaciaMWA"}
+#: Codes of the archive locations that have buckets.
+LOCATIONS = (2, 3, 4)
 
 
 def validate_files(listing: DataFrame, observations: DataFrame) -> DataFrame:
@@ -83,29 +83,31 @@ def release_cal(files: DataFrame, release: DataFrame, archiving_enabled: bool) -
     return files.join(release.select("obs_id"), "obs_id", "left_semi").withColumn("route", route)
 
 
-def with_bucket(files: DataFrame, location: int) -> DataFrame:
+def with_bucket(files: DataFrame, location: int, prefix: str) -> DataFrame:
+    """Adds ``bucket``, by the site's prefix, and an empty ``folder``."""
     if location not in LOCATIONS:
         raise ValueError(f"location {location} has no buckets")
-    return files.withColumn("bucket", bucket_of(F.col("obs_id"))).withColumn("folder", F.lit(None).cast("string"))
+    return files.withColumn("bucket", bucket_of(F.col("obs_id"), prefix)).withColumn("folder", F.lit(None).cast("string"))
 
 
-def dispatch_subfiles(headers: DataFrame, host_mode: str, dumps: DataFrame, free_corr_bf: bool = False) -> DataFrame:
+def dispatch_subfiles(headers: DataFrame, host_mode: str, dumps: DataFrame, free_corr_bf: bool = False, mode_prefix: str = "") -> DataFrame:
     """Adds ``action`` to subfiles (``obs_id, subobs_id, mode``): dump, process, drain or ignore, ``pause`` and ``free``.
 
     ``host_mode`` C takes correlator and voltage modes, B beamformer modes. A mode that is both counts as
     correlator first, so B hosts ignore it and don't free it, unless ``free_corr_bf``.
-    ``dumps``: windows ``start_gps, end_gps``, end excluded; few at a time, so Spark broadcasts them by their size.
+    ``dumps``: windows ``start_gps, end_gps``, end excluded; they are joined by the slots of ``exprs.SLOT`` seconds that they span.
     """
     mode = F.col("mode")
-    windows = dumps.select("start_gps", "end_gps").distinct()
-    hit = headers.select("subobs_id").distinct().join(windows, (F.col("subobs_id") >= F.col("start_gps")) & (F.col("subobs_id") < F.col("end_gps"))).select("subobs_id").distinct()
+    windows = dumps.where("start_gps < end_gps").select("start_gps", "end_gps").distinct().withColumn("_slot", F.explode(slots_of(F.col("start_gps"), F.col("end_gps"))))
+    starts = headers.select("subobs_id").distinct().withColumn("_slot", slot_of(F.col("subobs_id")))
+    hit = starts.join(windows, "_slot").where("subobs_id >= start_gps AND subobs_id < end_gps").select("subobs_id").distinct()
     rows = headers.join(hit.withColumn("_dump", F.lit(True)), "subobs_id", "left")
-    corr, vcs, beam = (is_mode(mode, k) for k in ("correlator", "vcs", "beamformer"))
+    corr, vcs, beam = (is_mode(mode, k, mode_prefix) for k in ("correlator", "vcs", "beamformer"))
     action = (
         F.when(F.col("_dump"), "dump")
         .when(corr | vcs, F.when(F.lit(host_mode == "C"), "process").otherwise("ignore"))
         .when(beam, F.when(F.lit(host_mode == "B"), "process").otherwise("ignore"))
-        .when(is_mode(mode, "no_capture") | is_mode(mode, "buffer"), "drain")
+        .when(is_mode(mode, "no_capture") | is_mode(mode, "buffer", mode_prefix), "drain")
         .otherwise("ignore")
     )
     rows = rows.withColumn("action", action).drop("_dump")
@@ -184,11 +186,11 @@ def estimate_output(observations: DataFrame, target_hz: int, target_ms: int, sma
     return observations.select("obs_id", size.alias("bytes"), gb.alias("gb"), (gb < small_gb).alias("use_temp"))
 
 
-def classify_tool_output(lines: DataFrame, col: str = "text") -> DataFrame:
-    """Adds ``outcome`` (new_job, existing_job, error_code, outage, transient) and ``number``, first that fits."""
+def classify_tool_output(lines: DataFrame, service: str, col: str = "text") -> DataFrame:
+    """Adds ``outcome`` (new_job, existing_job, error_code, outage, transient) and ``number``, first that fits; ``service`` is the job service's name."""
     text = F.col(col)
     rules = [
-        ("new_job", "as [A-Z ]*job ID ([0-9]+)"),
+        ("new_job", rf"as \Q{service}\E job ID ([0-9]+)"),
         ("existing_job", "Job already (?:queued, processing|running) or complete. Job Id: ([0-9]+)"),
         ("error_code", '"error_code": ([0-9]+)'),
         ("outage", "archive location of the observation is down|No obs locations found|outage"),

@@ -34,15 +34,15 @@ def fit_ramp(freq: np.ndarray, z: np.ndarray, weight: np.ndarray, niter: int = 1
     """Phase ramp angle(z) = slope * freq + intercept; None for fewer than two valid points.
 
     A start slope comes from a search over delays of weighted unit phasors; then least squares of wrapped residuals
-    until it settles. Each round drops residuals beyond ``clip_sigma`` deviations (ddof 2).
+    until it settles. Each round drops residuals beyond ``clip_sigma`` deviations (ddof 2). The quality is the share of all
+    frequencies, those without a valid point too, that the last round kept.
     """
     if niter < 1:
         raise ValueError("niter must be at least 1")
     ok = np.isfinite(z) & (np.nan_to_num(weight) > 0) & (np.abs(z) > 0)
     order = np.argsort(freq[ok], kind="stable")
     f, z, w = freq[ok][order], z[ok][order], weight[ok][order]
-    n_all = len(f)
-    if n_all < 2 or f[-1] == f[0]:
+    if len(f) < 2 or f[-1] == f[0]:
         return None
     step = np.diff(np.unique(f)).min()
     centre, wrap = f.mean(), lambda a: (a + np.pi) % (2 * np.pi) - np.pi
@@ -76,7 +76,7 @@ def fit_ramp(freq: np.ndarray, z: np.ndarray, weight: np.ndarray, niter: int = 1
         x, angle = x[keep], angle[keep]
     return {
         "length": C_LIGHT * slope / (2 * np.pi), "intercept": float(wrap(level - slope * centre)), "sigma_resid": sigma,
-        "chi2dof": chi2dof, "quality": kept / n_all, "stderr": stderr,
+        "chi2dof": chi2dof, "quality": kept / len(freq), "stderr": stderr,
     }
 
 
@@ -97,9 +97,15 @@ def fit_phase(gains: DataFrame, niter: int = 1) -> DataFrame:
     return gains.select("obs_id", "tile_id", "pol", "freq_hz", "re", "im", "weight").groupBy("obs_id", "tile_id", "pol").applyInPandas(one, PHASE_FITS)
 
 
-def robust_outliers(value: np.ndarray, good: np.ndarray, degree: int, threshold: float, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
-    """(kept, residual) of a polynomial fit over positions with outliers rejected by |r - median| / MAD."""
-    kept, x = good.copy(), np.linspace(-1, 1, len(value)) if len(value) > 1 else np.zeros(len(value))
+def robust_outliers(value: np.ndarray, good: np.ndarray, degree: int, threshold: float, rounds: int = 10, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(kept, residual) of a polynomial fit over the places ``at`` with outliers rejected by |r - median| / MAD.
+
+    Each round judges all ``good`` points anew, so one that was rejected may come back. Residuals are of all points.
+    """
+    at = np.arange(len(value), dtype=float) if at is None else at.astype(float)
+    span = np.ptp(at) if len(at) else 0
+    # the same polynomial over a range that keeps numbers small
+    kept, x = good.copy(), (at - at.min()) / span * 2 - 1 if span else np.zeros(len(value))
     residual = np.full(len(value), np.nan)
     for _ in range(rounds):
         if kept.sum() < degree + 2:
@@ -108,18 +114,52 @@ def robust_outliers(value: np.ndarray, good: np.ndarray, degree: int, threshold:
         middle = np.median(r[kept])
         mad = np.median(np.abs(r[kept] - middle))
         if mad == 0:
-            residual = np.where(good, 0.0, np.nan)
+            residual = np.zeros(len(value))
             break
-        residual = np.where(good, np.abs(r - middle) / mad, np.nan)
-        after = kept & (residual <= threshold)
+        residual = np.abs(r - middle) / mad
+        after = good & (residual <= threshold)
         if after.sum() < degree + 2 or (after == kept).all():
             break
         kept = after
     return kept, residual
 
 
+def base_flags(gains: DataFrame, blocks: DataFrame, tile_flags: DataFrame) -> DataFrame:
+    """Adds ``base_bad``: the channel didn't converge (no finite result), the tile is flagged, or some of the matrix is missing.
+
+    ``gains``: ``obs_id, tile_id, chan_idx`` and re/im of xx, xy, yx, yy; ``blocks``: ``obs_id, chan_idx, result``; ``tile_flags``:
+    ``obs_id, tile_id, flag``. A channel or tile that its table doesn't hold is bad, or not flagged.
+    """
+    converged = blocks.groupBy("obs_id", "chan_idx").agg(F.bool_or(known(F.col("result")).isNotNull()).alias("_converged"))
+    flagged = tile_flags.groupBy("obs_id", "tile_id").agg(F.bool_or("flag").alias("_flagged"))
+    missing = F.lit(False)
+    for p in ("xx", "xy", "yx", "yy"):
+        for x in ("re", "im"):
+            missing = missing | known(F.col(f"{p}_{x}")).isNull()
+    rows = gains.join(converged, ["obs_id", "chan_idx"], "left").join(flagged, ["obs_id", "tile_id"], "left")
+    bad = ~F.coalesce("_converged", F.lit(False)) | F.coalesce("_flagged", F.lit(False)) | missing
+    return rows.withColumn("base_bad", bad).drop("_converged", "_flagged")
+
+
+def phase_rejects(gains: DataFrame, tiles: DataFrame, fits: DataFrame) -> DataFrame:
+    """``obs_id, tile_id, pol, reason`` of tiles without a phase fit: not exactly one row in ``tiles``, flagged, or no fit found."""
+    known_tiles = tiles.groupBy("obs_id", "tile_id").agg(F.count("*").alias("_n"), F.bool_or("flag").alias("_flag"))
+    rows = gains.select("obs_id", "tile_id", "pol").distinct().join(known_tiles, ["obs_id", "tile_id"], "left")
+    fitted = fits.where("length IS NOT NULL").select("obs_id", "tile_id", "pol").withColumn("_fit", F.lit(True))
+    reason = (
+        F.when(F.coalesce("_n", F.lit(0)) != 1, "not exactly one tile").when(F.col("_flag"), "flagged").when(F.col("_fit").isNull(), "too few points or no fit")
+    )
+    return rows.join(fitted, ["obs_id", "tile_id", "pol"], "left").select("obs_id", "tile_id", "pol", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def usable_gains(gains: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Gains of tiles that are exactly one row of ``tiles`` and not flagged: what is worth fitting."""
+    good = tiles.groupBy("obs_id", "tile_id").agg(F.count("*").alias("_n"), F.bool_or("flag").alias("_flag")).where("_n = 1 AND NOT _flag")
+    return gains.join(good.select("obs_id", "tile_id"), ["obs_id", "tile_id"], "left_semi")
+
+
 def flag_bad_gains(gains: DataFrame, degree: int = 2, threshold: float = 5.0) -> DataFrame:
-    """``obs_id, tile_id, chan_idx, bad, new_flag, residual`` of ``gains`` (``xx_re .. yy_im, base_bad``), tile by tile."""
+    """``obs_id, tile_id, chan_idx, bad, new_flag, residual`` of ``gains`` (``xx_re .. yy_im, base_bad``, see ``base_flags``), tile by tile."""
 
     def one(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("chan_idx")
@@ -127,7 +167,7 @@ def flag_bad_gains(gains: DataFrame, degree: int = 2, threshold: float = 5.0) ->
         bad, residual = base.copy(), np.full(len(g), np.nan)
         for p in ("xx", "yy"):
             amp = np.hypot(g[f"{p}_re"].to_numpy(float), g[f"{p}_im"].to_numpy(float))
-            kept, r = robust_outliers(np.nan_to_num(amp), ~base & np.isfinite(amp), degree, threshold)
+            kept, r = robust_outliers(amp, ~base & np.isfinite(amp), degree, threshold, at=g["chan_idx"].to_numpy())
             bad |= ~kept
             residual = np.fmax(residual, r)
         return pd.DataFrame({"obs_id": key[0], "tile_id": key[1], "chan_idx": g["chan_idx"].to_numpy(), "bad": bad, "new_flag": bad & ~base, "residual": residual})
@@ -159,21 +199,31 @@ def flag_summary(flags: DataFrame, n: int = 5) -> DataFrame:
     return counts.join(shown, "obs_id", "left").withColumn("examples", F.coalesce("examples", F.lit("")))
 
 
-def apply_phase_diff(gains: DataFrame, tiles: DataFrame, diffs: DataFrame) -> DataFrame:
+def apply_phase_diff(gains: DataFrame, tiles: DataFrame, diffs: DataFrame, bin_hz: int = 10_000_000) -> DataFrame:
     """Gains (``re, im``) of tiles whose flavour ends in -NI turned by minus the phase at the nearest tabulated frequency (the lower of two).
 
-    Nearest by a union sorted by frequency, so the table may be of any length.
+    The nearest is looked for in the frequency's bin of ``bin_hz``, to which the last tabulated frequency below the bin and the first
+    above it are added, so that no task orders more than one bin.
     """
-    freqs = gains.select("freq_hz").distinct()
-    both = freqs.select("freq_hz", F.lit(None).cast("struct<f:double,d:double>").alias("p")).unionByName(
-        diffs.groupBy("freq_hz").agg(F.first("diff_rad").alias("d")).select("freq_hz", F.struct(F.col("freq_hz").cast("double").alias("f"), F.col("d").cast("double").alias("d")).alias("p"))
+    bin_of = lambda c: F.floor(F.col(c) / bin_hz)
+    table = diffs.groupBy("freq_hz").agg(F.first("diff_rad").alias("d")).select(F.struct(F.col("freq_hz").cast("double").alias("f"), F.col("d").cast("double").alias("d")).alias("p"), bin_of("freq_hz").alias("bin"))
+    # one row for each bin that holds something: bins are few, whatever the number of frequencies
+    edges = table.groupBy("bin").agg(F.min("p").alias("least"), F.max("p").alias("most"))
+    freqs = gains.select("freq_hz").distinct().withColumn("bin", bin_of("freq_hz"))
+    every = edges.select("bin", "least", "most").unionByName(freqs.select("bin").distinct().select("bin", F.lit(None).cast("struct<f:double,d:double>").alias("least"), F.lit(None).cast("struct<f:double,d:double>").alias("most")))
+    every = every.groupBy("bin").agg(F.max("least").alias("least"), F.max("most").alias("most"))
+    w = Window.orderBy("bin")
+    around = every.select(
+        "bin", F.last("most", True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("below"), F.first("least", True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("above")
     )
-    w = Window.orderBy("freq_hz")
+    both = freqs.select("freq_hz", "bin", F.lit(None).cast("struct<f:double,d:double>").alias("p")).unionByName(table.select(F.col("p.f").cast("bigint").alias("freq_hz"), "bin", "p"))
+    w = Window.partitionBy("bin").orderBy("freq_hz")
     lo, hi = F.last("p", True).over(w.rangeBetween(Window.unboundedPreceding, 0)), F.first("p", True).over(w.rangeBetween(0, Window.unboundedFollowing))
-    near = both.withColumns({"lo": lo, "hi": hi}).where("p IS NULL")
-    d = F.when(F.col("hi").isNull() | (F.col("freq_hz") - F.col("lo.f") <= F.col("hi.f") - F.col("freq_hz")), F.col("lo.d")).otherwise(F.col("hi.d"))
+    near = both.withColumns({"lo": lo, "hi": hi}).where("p IS NULL").join(around, "bin")
+    near = near.select("freq_hz", F.coalesce("lo", "below").alias("lo"), F.coalesce("hi", "above").alias("hi"))
+    d = F.when(F.col("lo").isNull(), F.col("hi.d")).when(F.col("hi").isNull() | (F.col("freq_hz") - F.col("lo.f") <= F.col("hi.f") - F.col("freq_hz")), F.col("lo.d")).otherwise(F.col("hi.d"))
     near = near.select("freq_hz", d.alias("_d"))
-    ni = tiles.where(F.col("flavor").endswith("-NI")).select("obs_id", "tile_id", F.lit(True).alias("_ni"))
+    ni = tiles.where(F.col("flavor").endswith("-NI")).select("obs_id", "tile_id", F.lit(True).alias("_ni")).distinct()
     rows = gains.join(near, "freq_hz", "left").join(ni, ["obs_id", "tile_id"], "left")
     re, im = complex_product((F.col("re"), F.col("im")), (F.cos("_d"), -F.sin("_d")))
     turn = F.col("_ni") & F.col("_d").isNotNull()
@@ -204,8 +254,17 @@ def residual_spectrum(gains: DataFrame, fits: DataFrame) -> DataFrame:
     return rows.groupBy("obs_id", "flavor", "pol", "freq_hz").agg(F.median(r).alias("residual"), F.count(r).alias("n_tiles"))
 
 
+def polynomial_text(coeffs: list[float], variable: str = "x") -> str:
+    """A polynomial as text, from its coefficients, highest power first: signed terms of three digits, from the constant upwards."""
+    terms = [f"{c:+.3}" for c in reversed(coeffs)]
+    for power in range(1, len(terms)):
+        raised = "" if power == 1 else str(power).translate(str.maketrans("0123456789", "⁰¹²³⁴⁵⁶⁷⁸⁹"))
+        terms[power] += f"×{variable}{raised}"
+    return " ".join(terms)
+
+
 def residual_poly(spectrum: DataFrame, max_order: int = 8) -> DataFrame:
-    """Per (obs, flavor, pol) the polynomial of least order * mean squared error, orders 1 to 8 in frequency or its inverse (MHz).
+    """Per (obs, flavor, pol) the polynomial of least order * mean squared error, orders 1 to 8 in frequency or its inverse (MHz), and its text.
 
     Coefficients are for the variable that was fitted, highest power first.
     """
@@ -223,9 +282,24 @@ def residual_poly(spectrum: DataFrame, max_order: int = 8) -> DataFrame:
                 if cost < best[0]:
                     plain = np.poly1d(c)(np.poly1d([1 / span, -x.mean() / span]))
                     best = (cost, name, order, [float(v) for v in plain.coeffs])
-        return pd.DataFrame([{"obs_id": key[0], "flavor": key[1], "pol": key[2], "cost": best[0], "variable": best[1], "order": best[2], "coeffs": best[3]}])
+        text = None if best[3] is None else polynomial_text(best[3], {"f": "ν", "1/f": "ν⁻¹"}[best[1]])
+        return pd.DataFrame([{"obs_id": key[0], "flavor": key[1], "pol": key[2], "cost": best[0], "variable": best[1], "order": best[2], "coeffs": best[3], "text": text}])
+
+    return spectrum.groupBy("obs_id", "flavor", "pol").applyInPandas(one, "obs_id bigint, flavor string, pol string, cost double, variable string, order int, coeffs array<double>, text string")
+
+
+def residual_report(spectrum: DataFrame) -> DataFrame:
+    """A row for each (obs, frequency) with one column for each flavour and polarisation, by name; their values are few."""
+    names = sorted(r["n"] for r in spectrum.select(F.concat_ws("_", "flavor", "pol").alias("n")).distinct().collect())
+    return spectrum.withColumn("n", F.concat_ws("_", "flavor", "pol")).groupBy("obs_id", "freq_hz").pivot("n", names).agg(F.first("residual")).orderBy("obs_id", "freq_hz")
+
 
-    return spectrum.groupBy("obs_id", "flavor", "pol").applyInPandas(one, "obs_id bigint, flavor string, pol string, cost double, variable string, order int, coeffs array<double>")
+def count_empty(solutions: DataFrame) -> DataFrame:
+    """``obsid, n_tiles, n_empty``: rows of assembled solutions, and those of which nothing is known."""
+    nothing = F.lit(True)
+    for letter in ("x", "y"):
+        nothing = nothing & F.col(f"{letter}_delay_m").isNull() & ~F.exists(f"{letter}_gains", lambda v: ~F.isnan(v))
+    return solutions.groupBy("obsid").agg(F.count("*").alias("n_tiles"), F.count_if(nothing).alias("n_empty"))
 
 
 def assemble_solutions(tiles: DataFrame, gain_fits: DataFrame, phase_fits: DataFrame, header: DataFrame, n_chans: int = 24) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.exprs import bucket_of, extension
 
 
-def append_data_files(new_files: DataFrame, observations: DataFrame) -> tuple[DataFrame, DataFrame]:
+def append_data_files(new_files: DataFrame, observations: DataFrame, bucket_prefix: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, orphaned): files whose observation is known, with their partition key, and the others."""
-    rows = new_files.withColumn("trigger_id", F.nullif(F.col("trigger_id"), F.lit(-1))).withColumn("obs_bucket", bucket_of(F.col("observation_num")))
+    rows = new_files.withColumn("trigger_id", F.nullif(F.col("trigger_id"), F.lit(-1))).withColumn("obs_bucket", bucket_of(F.col("observation_num"), bucket_prefix))
     known = observations.select(F.col("obs_id").alias("observation_num"))
     return rows.join(known, "observation_num", "left_semi"), rows.join(known, "observation_num", "left_anti")
 
@@ -34,13 +34,16 @@ def mark_archived(data_files: DataFrame, updates: DataFrame) -> tuple[DataFrame,
 
 
 def verify_archive(files: DataFrame, data_files: DataFrame) -> DataFrame:
-    """Adds ``decision`` to files on disk (``obs_id, filename, size, checksum``): archive, retry, drop or error."""
+    """Adds ``decision`` to files on disk (``obs_id, filename, size, checksum``): archive, retry, drop or error.
+
+    A file without exactly one row in the ledger is an error, whatever its size, so that nothing unknown is dropped.
+    """
     ledger = data_files.groupBy(F.col("observation_num").alias("obs_id"), "filename").agg(
         F.count("*").alias("_n"), F.first("size").alias("_size"), F.first("checksum").alias("_md5")
     )
     decision = (
-        F.when(F.col("size") == 0, "drop")
-        .when(F.coalesce("_n", F.lit(0)) != 1, "error")
+        F.when(F.coalesce("_n", F.lit(0)) != 1, "error")
+        .when(F.col("size") == 0, "drop")
         .when(~F.col("size").eqNullSafe(F.col("_size")), "drop")
         .when(~F.col("checksum").eqNullSafe(F.col("_md5")), "retry")
         .otherwise("archive")

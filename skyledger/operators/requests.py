@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.exprs import is_mode, slot_of
+
 #: States in which a job is over.
 FINISHED = ("Cancelled", "Error", "Ready")
 #: States a job service reports.
 STATES = ("Queued", "WaitCal", "Staging", "Staged", "Downloading", "Preprocessing", "Imaging", "Delivering", "Ready", "Error", "Expired", "Cancelled")
 
 
-def unrequested_cal_obs(observations: DataFrame, schedule: DataFrame, data_files: DataFrame, fits: DataFrame, requests: DataFrame, oldest: int) -> DataFrame:
+def unrequested_cal_obs(observations: DataFrame, schedule: DataFrame, data_files: DataFrame, fits: DataFrame, requests: DataFrame, oldest: int, mode_prefix: str = "") -> DataFrame:
     """``obs_id`` of calibrators nobody asked for: correlator mode, archivable, with visibility files, no fit, no request, not the Sun."""
     cal = schedule.where("calibration AND calibrators <> 'SUN'").select(F.col("observation_number").alias("obs_id"))
     files = data_files.where("filetype = 18 AND NOT deleted AND deleted_timestamp IS NULL").select(F.col("observation_num").alias("obs_id"))
     return (
-        observations.where(F.col("mode").endswith("CORRELATOR") & (F.col("project_id") != "C123") & (F.col("obs_id") > oldest))
+        observations.where((F.col("mode") == mode_prefix + "CORRELATOR") & (F.col("project_id") != "C123") & (F.col("obs_id") > oldest))
         .select("obs_id").distinct().join(cal, "obs_id", "left_semi").join(files, "obs_id", "left_semi")
         .join(fits.select(F.col("obsid").alias("obs_id")), "obs_id", "left_anti")
         .join(requests.select(F.col("cal_id").alias("obs_id")), "obs_id", "left_anti")
@@ -24,8 +26,11 @@ def unrequested_cal_obs(observations: DataFrame, schedule: DataFrame, data_files
 
 
 def open_requests(requests: DataFrame) -> DataFrame:
-    """Requests not yet submitted for computing: realtime ones, and downloads neither complete nor failed; plain before bulk, then oldest first."""
-    free = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
+    """Requests not yet submitted for computing: realtime ones, and downloads neither complete nor failed; plain before bulk, then oldest first.
+
+    A request whose ``realtime`` is null is neither.
+    """
+    free = "slurm_job_id IS NULL AND (realtime OR (NOT realtime AND download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
     return requests.where(free).orderBy(F.col("bulk_request").asc_nulls_last(), F.col("request_added_datetime").asc_nulls_last(), "id")
 
 
@@ -41,18 +46,18 @@ def job_class(requests: DataFrame) -> DataFrame:
 def admit(requests: DataFrame, jobs: DataFrame, max_jobs: int) -> DataFrame:
     """Adds ``decision`` (realtime, tracked, admit, queued) and ``rank`` to open requests.
 
-    Downloads are admitted in order of (bulk, added, id) while jobs in progress are fewer than ``max_jobs``.
-    The rank is one ordered window, over the open backlog only, which the service's own limits keep small.
+    Downloads are admitted in order of (bulk, added, id) while jobs in progress are fewer than ``max_jobs``; those admitted
+    have their ``rank``, others none. So only the first ``max_jobs`` of the backlog are put in order: each task keeps as many.
     """
     busy = jobs.agg(F.count_if(~F.col("state").isin(*FINISHED)).alias("_busy"))
     tracked = jobs.select(F.explode("request_ids").alias("id")).distinct().withColumn("_tracked", F.lit(True))
     rows = requests.join(tracked, "id", "left").crossJoin(F.broadcast(busy))  # one row
-    waits = F.when(~F.col("realtime") & F.col("_tracked").isNull(), F.lit(True))
-    w = Window.orderBy(waits.asc_nulls_last(), F.col("bulk_request").asc_nulls_last(), F.col("request_added_datetime").asc_nulls_last(), "id")
-    rows = rows.withColumn("rank", F.when(waits, F.row_number().over(w)).cast("bigint"))
-    decision = (
-        F.when(F.col("realtime"), "realtime").when(F.col("_tracked"), "tracked").when(F.col("rank") <= F.lit(max_jobs) - F.col("_busy"), "admit").otherwise("queued")
-    )
+    order = [F.col("bulk_request").asc_nulls_last(), F.col("request_added_datetime").asc_nulls_last(), F.col("id").asc()]
+    first = rows.where("NOT realtime AND _tracked IS NULL").select("id", "bulk_request", "request_added_datetime", "_busy").orderBy(*order).limit(max_jobs)
+    # at most max_jobs rows
+    ranked = first.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint")).where(F.col("rank") <= F.lit(max_jobs) - F.col("_busy"))
+    rows = rows.join(ranked.select("id", "rank"), "id", "left")
+    decision = F.when(F.col("realtime"), "realtime").when(F.col("_tracked"), "tracked").when(F.col("rank").isNotNull(), "admit").otherwise("queued")
     return rows.withColumn("decision", decision).drop("_busy", "_tracked")
 
 
@@ -227,14 +232,19 @@ def solution_for_channel(requests: DataFrame, solution_files: DataFrame) -> Data
     return asked.join(best, ["cal_obs", "rec_chan"], "left").select("cal_obs", "rec_chan", F.col("best.path").alias("path"))
 
 
-def select_dump(subfiles: DataFrame, dumps: DataFrame, retain: int = 2, end_inclusive: bool = True) -> DataFrame:
+def select_dump(subfiles: DataFrame, dumps: DataFrame, retain: int = 2, end_inclusive: bool = True, mode_prefix: str = "") -> DataFrame:
     """``request_id, path, subobs_id, trigger_id``: files to dump for each request.
 
     The first ``retain`` free files by path, of any mode, are left to the capture; start 0 is no lower bound; voltage files aren't
-    dumped; a file's own trigger goes before the request's.
+    dumped; a file's own trigger goes before the request's. Windows are cut at the first and last file and joined by
+    the slots that they span.
     """
     skip = subfiles.orderBy("path").limit(retain).select("path")
-    rows = subfiles.where("coalesce(mode, '') NOT LIKE '%VCS'").join(skip, "path", "left_anti").withColumnRenamed("trigger_id", "_trigger")
-    inside = (F.col("start_gps") == 0) | (F.col("subobs_id") >= F.col("start_gps"))
-    inside = inside & ((F.col("subobs_id") <= F.col("end_gps")) if end_inclusive else (F.col("subobs_id") < F.col("end_gps")))
-    return rows.join(dumps, inside).select("request_id", "path", "subobs_id", F.coalesce("_trigger", "trigger_id").alias("trigger_id"))
+    rows = subfiles.where(~is_mode(F.col("mode"), "vcs", mode_prefix)).join(skip, "path", "left_anti").withColumnRenamed("trigger_id", "_trigger")
+    ends = rows.agg(F.min("subobs_id").alias("_low"), F.max("subobs_id").alias("_high"))  # one row
+    last = F.col("end_gps") if end_inclusive else F.col("end_gps") - 1
+    asked = dumps.withColumn("_to", last).crossJoin(F.broadcast(ends))
+    asked = asked.withColumns({"_from": F.when(F.col("start_gps") == 0, F.col("_low")).otherwise(F.greatest("start_gps", "_low")), "_to": F.least("_to", "_high")}).where("_from <= _to")
+    asked = asked.withColumn("_slot", F.explode(F.sequence(slot_of(F.col("_from")), slot_of(F.col("_to")))))
+    hits = rows.withColumn("_slot", slot_of(F.col("subobs_id"))).join(asked, "_slot").where("subobs_id BETWEEN _from AND _to")
+    return hits.select("request_id", "path", "subobs_id", F.coalesce("_trigger", "trigger_id").alias("trigger_id"))

@@ -9,13 +9,15 @@ from ..functions.exprs import amplitude, complex_product, complex_quotient, know
 POLS = ("xx", "xy", "yx", "yy")
 
 
-def refant(tiles: DataFrame, soln_tiles: DataFrame | None = None) -> DataFrame:
-    """``obs_id, tile_id, name``: the lowest tile that neither metadata nor (if given) a solution flags; null if there is none."""
+def refant(tiles: DataFrame, soln_tiles: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """``obs_id, tile_id, name``: the lowest tile that neither metadata nor (if given) a solution flags; null if there is none, or with ``strict`` an error when read."""
     rows = tiles.select("obs_id", "tile_id", "name", F.col("flag").alias("_flag"))
     if soln_tiles is not None:
         bad = soln_tiles.groupBy("obs_id", F.col("tile_name").alias("name")).agg(F.bool_or("flag").alias("_bad"))
         rows = rows.join(bad, ["obs_id", "name"], "left").withColumn("_flag", F.col("_flag") | F.coalesce("_bad", F.lit(False)))
     best = rows.groupBy("obs_id").agg(F.min(F.when(~F.col("_flag"), F.struct("tile_id", "name"))).alias("b"))
+    if strict:
+        best = best.withColumn("b", F.coalesce("b", F.raise_error(F.concat(F.lit("no unflagged tile in observation "), F.col("obs_id").cast("string"))).cast(best.schema["b"].dataType)))
     return best.select("obs_id", "b.tile_id", "b.name")
 
 
@@ -27,6 +29,21 @@ def coarse_ranges(chans: DataFrame) -> DataFrame:
     return runs.select("obs_id", (F.row_number().over(Window.partitionBy("obs_id").orderBy("chan_from")) - 1).alias("range_idx"), "chan_from", "chan_to", "n_chans")
 
 
+def range_overlaps(ranges: DataFrame) -> DataFrame:
+    """``obs_id, chan_from, chan_to, next_from`` of ranges that the next one, by first channel, begins within."""
+    w = Window.partitionBy("obs_id").orderBy("chan_from", "chan_to")
+    rows = ranges.select("obs_id", "chan_from", "chan_to", F.lead("chan_from").over(w).alias("next_from"))
+    return rows.where("next_from <= chan_to")
+
+
+def check_file_count(bands: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``obs_id, n_files, n_ranges`` of observations that have not one solution file (``band``) for each range of channels."""
+    files = bands.groupBy("obs_id").agg(F.countDistinct("band").alias("n_files"))
+    wanted = ranges.groupBy("obs_id").agg(F.count("*").alias("n_ranges"))
+    both = files.join(wanted, "obs_id", "full").select("obs_id", F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("n_ranges", F.lit(0)).alias("n_ranges"))
+    return both.where("n_files <> n_ranges")
+
+
 def check_chanblocks(blocks: DataFrame, fine_hz: int, coarse_hz: int, expected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(violations, bands): ``obs_id, band, problem`` rows, and each band with its ``coarse_chan``.
 
@@ -172,3 +189,10 @@ def concat_bands(gains: DataFrame, blocks: DataFrame) -> DataFrame:
     w = Window.partitionBy("obs_id").orderBy("start", "band")
     offset = start.withColumn("_before", F.sum("n").over(w) - F.col("n")).select("obs_id", "band", "_before")
     return gains.join(offset, ["obs_id", "band"]).withColumn("global_chan", (F.col("_before") + F.col("chan_idx")).cast("int")).drop("_before")
+
+
+def tile_mismatches(soln_tiles: DataFrame) -> DataFrame:
+    """``obs_id, tile_name, n_bands, n_all``: tiles that not all bands (``band``) of an observation hold, so that these can't be put together."""
+    bands = soln_tiles.groupBy("obs_id").agg(F.countDistinct("band").alias("n_all"))
+    held = soln_tiles.groupBy("obs_id", "tile_name").agg(F.countDistinct("band").alias("n_bands"))
+    return held.join(bands, "obs_id").where("n_bands < n_all").select("obs_id", "tile_name", "n_bands", "n_all")

@@ -2,36 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import exprs
 from ..operators import catalog, fits, ledger, requests, retry, solutions
 from ..sources import files as sources
 from ..streaming import streams
-from .standins import duck, view
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None, *views: str) -> Callable:
-    """Registers a function of the named views."""
-
-    def add(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: f(*[view(spark, sf_dir, v) for v in views])
-        if sql is not None:
-            # a tail that begins with a comma adds to the views
-            ORACLE_SQL[name] = sql if sql.startswith("WITH") else f"{duck(*views)} {sql}"
-        return f
-
-    return add
-
-
-def r(c: Column | str, name: str, digits: int = 6) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, digits).alias(name)
+from .registry import ORACLE_SQL, QUERIES, query, r
+from .standins import duck
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 # files
 _NAMED = """, n AS (SELECT *, split_part(path, '/', 4) AS name FROM files), m AS (SELECT *, lower(regexp_extract(name, '^.+(\\.[^.]*)$', 1)) AS file_ext, regexp_replace(name, '^(.+)\\.[^.]*$', '\\1') AS stem,
@@ -81,9 +61,9 @@ def _(listing, obs):
     return catalog.release_cal(_prioritised(listing, obs), obs.where("o_orderkey % 3 = 0"), True).select("path", "route")
 
 
-@query("a17_bucket", _files_sql("SELECT path, 'mwaingest-' || substr(CAST(obs_id AS VARCHAR), 1, 5) AS bucket FROM p WHERE valid"), *_VIEWS)
+@query("a17_bucket", _files_sql("SELECT path, 'site-' || substr(CAST(obs_id AS VARCHAR), 1, 5) AS bucket FROM p WHERE valid"), *_VIEWS)
 def _(listing, obs):
-    return catalog.with_bucket(_prioritised(listing, obs).where("valid"), 2).select("path", "bucket")
+    return catalog.with_bucket(_prioritised(listing, obs).where("valid"), 2, "site-").select("path", "bucket")
 
 
 @query("e1_backlog_top", _files_sql("SELECT path, priority FROM p WHERE valid ORDER BY priority, split_part(path, '/', 4), path LIMIT 100"), *_VIEWS)
@@ -97,15 +77,15 @@ def _(listing):
     return catalog.parse_names(listing, "beam").select("path", "subobs_id", "stitched")
 
 
-@query("f3_retention", "SELECT path, 'age' AS reason FROM files WHERE lower(path) LIKE '%.sub' AND TIMESTAMP '2000-01-01' - modification_time >= INTERVAL 1 DAY", "files")
+@query("f3_retention", "SELECT path, CASE WHEN lower(path) LIKE '%.sub' AND TIMESTAMP '2000-01-01' - modification_time >= INTERVAL 1 DAY THEN 'age' ELSE 'partial' END AS reason FROM files WHERE lower(path) LIKE '%.sub' AND TIMESTAMP '2000-01-01' - modification_time >= INTERVAL 1 DAY OR path LIKE '%.part%' AND TIMESTAMP '2000-01-01' - modification_time > INTERVAL 1 HOUR", "files")
 def _(listing):
     return ledger.retention_candidates(listing, F.to_timestamp(F.lit("2000-01-01")), 86_400, ["sub"]).select("path", "reason")
 
 
 # ledger
-@query("a6_append_ledger", "SELECT observation_num, filename, nullif(trigger_id, -1) AS trigger_id, 'mwaingest-' || substr(CAST(observation_num AS VARCHAR), 1, 5) AS obs_bucket FROM ledger WHERE observation_num IN (SELECT o_orderkey FROM observations)", "ledger", "observations")
+@query("a6_append_ledger", "SELECT observation_num, filename, nullif(trigger_id, -1) AS trigger_id, 'site-' || substr(CAST(observation_num AS VARCHAR), 1, 5) AS obs_bucket FROM ledger WHERE observation_num IN (SELECT o_orderkey FROM observations)", "ledger", "observations")
 def _(new, obs):
-    return ledger.append_data_files(new, obs.select(F.col("o_orderkey").alias("obs_id")))[0].select("observation_num", "filename", "trigger_id", "obs_bucket")
+    return ledger.append_data_files(new, obs.select(F.col("o_orderkey").alias("obs_id")), "site-")[0].select("observation_num", "filename", "trigger_id", "obs_bucket")
 
 
 @query("a7_mark_archived", "SELECT observation_num, filename, count(*) AS n_updates, count(*) AS n_rows FROM ledger GROUP BY ALL HAVING count(*) > 1", "ledger")
@@ -113,8 +93,16 @@ def _(rows):
     return ledger.mark_archived(rows, rows.select("observation_num", "filename", F.lit(2).alias("location"), F.lit("b").alias("bucket"), F.lit("f").alias("folder")))[1]
 
 
+@query("a7_rewritten_ledger", """, k AS (SELECT observation_num, filename FROM ledger GROUP BY ALL HAVING count(*) = 1)
+SELECT l.observation_num, l.filename, remote_archived OR k.filename IS NOT NULL AS remote_archived, CASE WHEN k.filename IS NOT NULL THEN 2 END AS location, CASE WHEN k.filename IS NOT NULL THEN 'b' END AS bucket, count(*) AS n
+FROM ledger l LEFT JOIN k USING (observation_num, filename) GROUP BY ALL""", "ledger")
+def _(rows):
+    updates = rows.select("observation_num", "filename", F.lit(2).alias("location"), F.lit("b").alias("bucket"), F.lit("f").alias("folder"))
+    return ledger.mark_archived(rows, updates)[0].groupBy("observation_num", "filename", "remote_archived", "location", "bucket").agg(F.count("*").alias("n"))
+
+
 @query("b1_verify_archive", """, l AS (SELECT obs_id, filename, count(*) AS n, any_value(size) AS lsize, any_value(checksum) AS lmd5 FROM ledger GROUP BY ALL)
-SELECT d.obs_id, d.filename, d.size, d.checksum, CASE WHEN size = 0 THEN 'drop' WHEN coalesce(n, 0) <> 1 THEN 'error' WHEN size <> lsize THEN 'drop' WHEN checksum <> lmd5 THEN 'retry' ELSE 'archive' END AS decision FROM disk d LEFT JOIN l USING (obs_id, filename)""", "disk", "ledger")
+SELECT d.obs_id, d.filename, d.size, d.checksum, CASE WHEN coalesce(n, 0) <> 1 THEN 'error' WHEN size = 0 THEN 'drop' WHEN size <> lsize THEN 'drop' WHEN checksum <> lmd5 THEN 'retry' ELSE 'archive' END AS decision FROM disk d LEFT JOIN l USING (obs_id, filename)""", "disk", "ledger")
 def _(disk, rows):
     return ledger.verify_archive(disk, rows)
 
@@ -149,7 +137,7 @@ def _(attempts):
 
 
 # requests and jobs
-_OPEN = "slurm_job_id IS NULL AND (realtime OR (download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
+_OPEN = "slurm_job_id IS NULL AND (realtime OR (NOT realtime AND download_completed_datetime IS NULL AND download_error_datetime IS NULL AND download_job_submitted_error_datetime IS NULL))"
 
 
 def _jobs(rows: DataFrame) -> DataFrame:
@@ -168,7 +156,7 @@ def _(rows):
 
 @query("e4_admission", f""", o AS (SELECT * FROM requests WHERE {_OPEN}), b AS (SELECT count(*) AS busy FROM requests WHERE id % 50 = 1 AND id % 100 <> 1),
 w AS (SELECT id, row_number() OVER (ORDER BY bulk_request ASC NULLS LAST, request_added_datetime ASC NULLS LAST, id) AS rank FROM o WHERE NOT realtime AND id % 50 <> 1)
-SELECT o.id, w.rank, CASE WHEN realtime THEN 'realtime' WHEN o.id % 50 = 1 THEN 'tracked' WHEN w.rank <= 1000 - busy THEN 'admit' ELSE 'queued' END AS decision FROM o CROSS JOIN b LEFT JOIN w ON o.id = w.id""", "requests")
+SELECT o.id, CASE WHEN w.rank <= 1000 - busy THEN w.rank END AS rank, CASE WHEN realtime THEN 'realtime' WHEN o.id % 50 = 1 THEN 'tracked' WHEN w.rank <= 1000 - busy THEN 'admit' ELSE 'queued' END AS decision FROM o CROSS JOIN b LEFT JOIN w ON o.id = w.id""", "requests")
 def _(rows):
     return requests.admit(requests.open_requests(rows), _jobs(rows), 1000).select("id", "rank", "decision")
 
@@ -178,12 +166,14 @@ def _(rows):
     return requests.queue_counters(requests.open_requests(rows), _jobs(rows))
 
 
-@query("b2_unrequested", "SELECT DISTINCT obs_id FROM observations o WHERE mode = 'XYZ_CORRELATOR' AND project_id <> 'C123' AND obs_id > 1244980000 AND calibrator AND calibrator_source <> 'SUN' AND o_orderkey IN (SELECT observation_num FROM ledger WHERE filetype = 18 AND NOT deleted) AND obs_id NOT IN (SELECT cal_id FROM requests WHERE id % 3 = 0)", "observations", "ledger", "requests")
+@query("b2_unrequested", "SELECT DISTINCT obs_id FROM observations o WHERE mode = 'XYZ_CORRELATOR' AND project_id <> 'C123' AND obs_id > 1244980000 AND calibrator AND calibrator_source <> 'SUN' AND o_orderkey IN (SELECT observation_num FROM ledger WHERE filetype = 18 AND NOT deleted) AND obs_id NOT IN (SELECT cal_id FROM requests WHERE id % 3 = 0) AND o_orderkey % 5 <> 2", "observations", "ledger", "requests")
 def _(obs, rows, asked):
     schedule = obs.select(F.col("obs_id").alias("observation_number"), F.col("calibrator").alias("calibration"), F.col("calibrator_source").alias("calibrators"))
-    held = rows.select((F.lit(1244973688) + F.col("observation_num") * 8).alias("observation_num"), "filetype", "deleted", F.lit(None).cast("timestamp").alias("deleted_timestamp"))
-    none = obs.where("false").select(F.col("obs_id").alias("obsid"))
-    return requests.unrequested_cal_obs(obs, schedule, held, none, asked.where("id % 3 = 0"), 1244980000)
+    # the ledger's rows of an observation are keyed by its order
+    held = rows.select("observation_num", "filetype", "deleted", F.lit(None).cast("timestamp").alias("deleted_timestamp"))
+    held = held.join(obs.select(F.col("o_orderkey").alias("observation_num"), "obs_id"), "observation_num").drop("observation_num").withColumnRenamed("obs_id", "observation_num")
+    fitted = obs.where("o_orderkey % 5 = 2").select(F.col("obs_id").alias("obsid"))
+    return requests.unrequested_cal_obs(obs, schedule, held, fitted, asked.where("id % 3 = 0"), 1244980000, "XYZ_")
 
 
 @query("c3_fold_requests", "SELECT CAST(item AS BIGINT) AS id, arg_max(CASE WHEN success THEN CAST(event_id AS VARCHAR) ELSE 'none' END, (ts, event_id)) AS job, arg_max(CAST(event_id AS VARCHAR), (ts, event_id)) FILTER (WHERE NOT success) AS error FROM attempts GROUP BY item", "attempts")
@@ -198,9 +188,9 @@ def _(rows):
 
 
 # solutions
-@query("d2_coarse_ranges", ", c AS (SELECT DISTINCT obs_id, tile_id AS ch FROM tiles WHERE tile_id % 11 < 8), i AS (SELECT *, ch - row_number() OVER (PARTITION BY obs_id ORDER BY ch) AS run FROM c), x AS (SELECT obs_id, min(ch) AS chan_from, max(ch) AS chan_to, count(*) AS n_chans FROM i GROUP BY obs_id, run) SELECT obs_id, CAST(row_number() OVER (PARTITION BY obs_id ORDER BY chan_from) - 1 AS INT) AS range_idx, chan_from, chan_to, n_chans FROM x", "tiles")
+@query("d2_coarse_ranges", ", c AS (SELECT DISTINCT obs_id, tile_id + 3 * (tile_id // 8) AS ch FROM tiles), i AS (SELECT *, ch - row_number() OVER (PARTITION BY obs_id ORDER BY ch) AS run FROM c), x AS (SELECT obs_id, min(ch) AS chan_from, max(ch) AS chan_to, count(*) AS n_chans FROM i GROUP BY obs_id, run) SELECT obs_id, CAST(row_number() OVER (PARTITION BY obs_id ORDER BY chan_from) - 1 AS INT) AS range_idx, chan_from, chan_to, n_chans FROM x", "tiles")
 def _(tiles):
-    return solutions.coarse_ranges(tiles.where("tile_id % 11 < 8").select("obs_id", F.col("tile_id").alias("rec_chan")))
+    return solutions.coarse_ranges(tiles.select("obs_id", F.expr("CAST(tile_id + 3 * (tile_id div 8) AS INT) AS rec_chan")))
 
 
 @query("d1_refant", "SELECT obs_id, min(tile_id) FILTER (WHERE NOT flag AND tile_id > 20) AS tile_id, 'Tile' || CAST(min(tile_id) FILTER (WHERE NOT flag AND tile_id > 20) AS VARCHAR) AS name FROM tiles GROUP BY obs_id", "tiles")
@@ -235,14 +225,14 @@ def _jones(gains: DataFrame) -> DataFrame:
 
 
 @query("b8_normalise_to_ref", _JONES + """, q AS (SELECT j.obs_id, chan_idx, xr AS rxr, xi AS rxi, ar AS rar, ai AS rai, br AS rbr, bi AS rbi, yr AS ryr, yi AS ryi FROM j WHERE tile_id < 7),
-d AS (SELECT *, rxr * ryr - rxi * ryi - rar * rbr + rai * rbi AS dr, rxr * ryi + rxi * ryr - rar * rbi - rai * rbr AS di, xr * ryr - xi * ryi - ar * rbr + ai * rbi AS nr, xr * ryi + xi * ryr - ar * rbi - ai * rbr AS ni FROM j JOIN q USING (obs_id, chan_idx))
-SELECT obs_id, tile_id AS ant_idx, chan_idx, round((nr * dr + ni * di) / (dr * dr + di * di), 5) AS xx_re, round((ni * dr - nr * di) / (dr * dr + di * di), 5) AS xx_im FROM d WHERE dr * dr + di * di > 0.01""", "gains")
+d AS (SELECT *, rxr * ryr - rxi * ryi - (rar * rbr - rai * rbi) AS dr, rxr * ryi + rxi * ryr - (rar * rbi + rai * rbr) AS di, xr * ryr - xi * ryi - (ar * rbr - ai * rbi) AS nr, xr * ryi + xi * ryr - (ar * rbi + ai * rbr) AS ni FROM j JOIN q USING (obs_id, chan_idx)),
+v AS (SELECT obs_id, tile_id, chan_idx, (nr * dr + ni * di) / nullif(dr * dr + di * di, 0) AS re, (ni * dr - nr * di) / nullif(dr * dr + di * di, 0) AS im FROM d)
+SELECT obs_id, tile_id AS ant_idx, chan_idx, round(re / (1 + abs(re)), 5) AS xx_re, round(im / (1 + abs(im)), 5) AS xx_im FROM v""", "gains")
 def _(gains):
+    """Every row; values are shown as x / (1 + |x|), which is exact to so many digits for small and large ones alike."""
     j = _jones(gains)
     out = solutions.normalise_to_ref(j, j.where("ant_idx < 7").select("obs_id", "ant_idx").distinct())
-    ref = j.where("ant_idx < 7").select("obs_id", "chan_idx", *[F.col(f"{p}_{x}").alias(f"_{p}_{x}") for p in ("xx", "xy", "yx", "yy") for x in ("re", "im")])
-    det = "pow(_xx_re * _yy_re - _xx_im * _yy_im - _xy_re * _yx_re + _xy_im * _yx_im, 2) + pow(_xx_re * _yy_im + _xx_im * _yy_re - _xy_re * _yx_im - _xy_im * _yx_re, 2) > 0.01"
-    return out.join(ref, ["obs_id", "chan_idx"]).where(det).select("obs_id", "ant_idx", "chan_idx", r("xx_re", "xx_re", 5), r("xx_im", "xx_im", 5))
+    return out.select("obs_id", "ant_idx", "chan_idx", *[r(F.col(c) / (1 + F.abs(c)), c, 5) for c in ("xx_re", "xx_im")])
 
 
 @query("d10_clip_report", _JONES + ", a AS (SELECT obs_id, sqrt(xr * xr + xi * xi) AS a, sqrt(ar * ar + ai * ai) AS b, sqrt(br * br + bi * bi) AS c, sqrt(yr * yr + yi * yi) AS d FROM j) SELECT obs_id, count(*) FILTER (WHERE a > 2.1) + count(*) FILTER (WHERE b > 2.1) + count(*) FILTER (WHERE c > 2.1) + count(*) FILTER (WHERE d > 2.1) AS n_samples, count(*) FILTER (WHERE greatest(a, b, c, d) > 2.1) AS n_matrices, 4 * count(*) FILTER (WHERE greatest(a, b, c, d) > 2.1) AS n_values, round(max(a), 6) AS max_xx, round(max(d), 6) AS max_yy FROM a GROUP BY obs_id", "gains")
@@ -357,3 +347,7 @@ def _(rows):
 @query("s8_gps_unix", "SELECT obs_id, CAST(obs_id + 315964800 - 18 AS BIGINT) AS unix_s, CAST(obs_id AS BIGINT) AS back FROM observations", "observations")
 def _(obs):
     return obs.select("obs_id", exprs.gps_to_unix(F.col("obs_id")).cast("bigint").alias("unix_s"), exprs.unix_to_gps(exprs.gps_to_unix(F.col("obs_id"))).cast("bigint").alias("back"))
+
+
+# further queries by area, registered as they are imported
+from . import catalog_queries, request_queries, solution_queries  # noqa: E402, F401

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.exprs import basename, extension
@@ -44,6 +48,58 @@ def etag_manifest(files: DataFrame, chunk_bytes: int) -> DataFrame:
     return files.select("path", multipart_etag(F.col("content"), chunk_bytes).alias("etag"))
 
 
+def _opened(path: str):
+    """A stream of a file's bytes in any store that Arrow reaches by its address."""
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + path)
+    return store.open_input_stream(inner)
+
+
+def read_heads(listing: DataFrame, length: int = 4096) -> DataFrame:
+    """``path, content``: the first bytes of each listed file, for ``subfile_headers``; the rest isn't read."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for path in frame["path"]:
+                with _opened(path) as stream:
+                    out.append(stream.read(length))
+            yield pd.DataFrame({"path": frame["path"], "content": out})
+
+    return listing.select("path").mapInPandas(run, "path string, content binary")
+
+
+def checksums(listing: DataFrame, chunk_bytes: int, piece: int = 4 << 20) -> DataFrame:
+    """``path, size, checksum, etag`` of listed files of any size, read as streams in pieces: MD5, and the multipart tag of ``multipart_etag``.
+
+    One file is one row's work: a listing is dealt over tasks by ``repartition`` on its path.
+    """
+
+    def one(path: str) -> tuple[int, str, str]:
+        whole, part, digests, size, left = hashlib.md5(), hashlib.md5(), [], 0, chunk_bytes
+        with _opened(path) as stream:
+            while data := stream.read(min(piece, left)):
+                whole.update(data)
+                part.update(data)
+                size += len(data)
+                left -= len(data)
+                if not left:
+                    digests.append(part.digest())
+                    part, left = hashlib.md5(), chunk_bytes
+        if left < chunk_bytes:
+            digests.append(part.digest())
+        tag = "" if not digests else whole.hexdigest() if len(digests) == 1 else f"{hashlib.md5(b''.join(digests)).hexdigest()}-{len(digests)}"
+        return size, whole.hexdigest(), f'"{tag}"'
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(path, *one(path)) for path in frame["path"]]
+            yield pd.DataFrame(rows, columns=["path", "size", "checksum", "etag"])
+
+    return listing.select("path").repartition("path").mapInPandas(run, "path string, size bigint, checksum string, etag string")
+
+
 #: Media types of listed files.
 MEDIA = {".png": "image/png", ".tsv": "text/tab-separated-values", ".txt": "text/plain"}
 
@@ -73,6 +129,7 @@ def upsert_plot_index(entries: DataFrame, new: DataFrame, generated_at: str) ->
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
+    """A report as tab-separated values with a header: ``fits.pivot_phase_fits`` for phase fits, ``fits.residual_report`` for residuals."""
     df.write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 

@@ -52,24 +52,25 @@ def test_output_estimate_and_tool_output(spark):
     o = spark.createDataFrame([(1, 120_000, 2000, 1_280_000, 10_000, 24, 8256, 4)], "obs_id int, sched_duration_ms long, int_time_ms long, coarse_chan_width_hz long, fine_chan_width_hz long, num_coarse long, num_baselines long, num_pols long")
     assert catalog.estimate_output(o, 40_000, 2000).first().bytes == 60 * 8256 * 24 * 32 * 4 * 13
     t = spark.createDataFrame([(0, "Submitted 1 as ABC job ID 123"), (1, "Job already queued, processing or complete. Job Id: 1234567"), (2, '{"error_code": 2}'), (3, "an outage"), (4, "?")], "i int, text string")
-    assert [(r.outcome, r.number) for r in catalog.classify_tool_output(t).orderBy("i").collect()] == [("new_job", 123), ("existing_job", 1234567), ("error_code", 2), ("outage", None), ("transient", None)]
+    assert [(r.outcome, r.number) for r in catalog.classify_tool_output(t, "ABC").orderBy("i").collect()] == [("new_job", 123), ("existing_job", 1234567), ("error_code", 2), ("outage", None), ("transient", None)]
 
 
 def test_subfiles(spark):
     h = spark.createDataFrame([(100, "X_CORRELATOR"), (108, "X_VCS"), (116, "X_CORR_BF"), (124, "NO_CAPTURE"), (132, "odd")], "subobs_id long, mode string")
     d = spark.createDataFrame([(100, 108)], "start_gps long, end_gps long")
-    got = lambda host: [r.action for r in catalog.dispatch_subfiles(h, host, d).orderBy("subobs_id").collect()]
+    got = lambda host: [r.action for r in catalog.dispatch_subfiles(h, host, d, mode_prefix="X_").orderBy("subobs_id").collect()]
     assert got("C") == ["dump", "process", "process", "drain", "ignore"]
     assert got("B") == ["dump", "ignore", "ignore", "drain", "ignore"]
     s = spark.createDataFrame([(f"/s/{i}", 1000 + 8 * i, "X_CORRELATOR", None) for i in range(6)], "path string, subobs_id long, mode string, trigger_id long")
     q = spark.createDataFrame([(1, 1000, 1032, 7)], "request_id long, start_gps long, end_gps long, trigger_id long")
-    assert rows(requests.select_dump(s, q), "subobs_id") == [(1, f"/s/{i}", 1000 + 8 * i, 7) for i in (2, 3, 4)]
+    assert rows(requests.select_dump(s, q, mode_prefix="X_"), "subobs_id") == [(1, f"/s/{i}", 1000 + 8 * i, 7) for i in (2, 3, 4)]
 
 
 def test_ledger(spark):
     led = spark.createDataFrame([(1, "a", 5, "m"), (1, "b", 5, "m"), (1, "b", 5, "m"), (1, "c", 5, "m")], "observation_num long, filename string, size long, checksum string")
-    disk = spark.createDataFrame([(1, "a", 5, "m"), (1, "b", 5, "m"), (1, "c", 5, "x"), (1, "d", 5, "m"), (1, "e", 0, "m")], "obs_id long, filename string, size long, checksum string")
-    assert [r.decision for r in ledger.verify_archive(disk, led).orderBy("filename").collect()] == ["archive", "error", "retry", "error", "drop"]
+    disk = spark.createDataFrame([(1, "a", 5, "m"), (1, "b", 5, "m"), (1, "c", 5, "x"), (1, "d", 5, "m"), (1, "e", 0, "m"), (1, "f", 0, "m")], "obs_id long, filename string, size long, checksum string")
+    more = led.union(spark.createDataFrame([(1, "f", 5, "m")], led.schema))
+    assert [r.decision for r in ledger.verify_archive(disk, more).orderBy("filename").collect()] == ["archive", "error", "retry", "error", "error", "drop"]
     full = led.select("*", F.lit(False).alias("remote_archived"), *[F.lit(None).cast(t).alias(c) for c, t in (("location", "int"), ("bucket", "string"), ("folder", "string"))])
     up = spark.createDataFrame([(1, "a", 2, "x", None), (1, "b", 2, "x", None), (1, "z", 2, "x", None)], "observation_num long, filename string, location int, bucket string, folder string")
     out, bad = ledger.mark_archived(full, up)
@@ -105,8 +106,8 @@ def test_requests(spark):
 def test_select_dump_modes(spark):
     subfiles = spark.createDataFrame([("a", 8, "X_VCS"), ("b", 16, "X_VCS"), ("c", 24, "X_CORRELATOR"), ("d", 32, None), ("e", 40, "X_VCS")], "path string, subobs_id long, mode string").withColumn("trigger_id", F.lit(None).cast("long"))
     dumps = spark.createDataFrame([(1, 0, 100, 7)], "request_id long, start_gps long, end_gps long, trigger_id long")
-    assert rows(requests.select_dump(subfiles, dumps).select("path", "trigger_id"), "path") == [("c", 7), ("d", 7)]
-    assert rows(requests.select_dump(subfiles.where("path >= 'b'"), dumps).select("path"), "path") == [("d",)]
+    assert rows(requests.select_dump(subfiles, dumps, mode_prefix="X_").select("path", "trigger_id"), "path") == [("c", 7), ("d", 7)]
+    assert rows(requests.select_dump(subfiles.where("path >= 'b'"), dumps, mode_prefix="X_").select("path"), "path") == [("d",)]
 
 
 def test_fold_by_compute_job(spark):
