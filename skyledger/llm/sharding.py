@@ -80,7 +80,8 @@ def seeded_key(seed: int, *cols: Column) -> Column:
 def op3(documents: DataFrame, n_shards: int = 16, seed: int = 17) -> DataFrame:
     """Law ``rows``: shard counts at most one apart; ``grown_shard`` is null under it.
 
-    Null texts have size 1 and the checksum of the empty text.
+    Null texts have size 1 and the checksum of the empty text. The order's key is of the id and that checksum, so rows with
+    a null or shared id are spread as others are.
     """
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = documents.select(
@@ -88,8 +89,7 @@ def op3(documents: DataFrame, n_shards: int = 16, seed: int = 17) -> DataFrame:
         "source",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).cast("long").alias("text_crc32"),
-        seeded_key(seed, F.col("doc_id")).alias("order_key"),
-    )
+    ).withColumn("order_key", seeded_key(seed, F.col("doc_id"), F.col("text_crc32")))
     out = stratified_shards(rows, n_shards, carry=("doc_id", "size", "text_crc32"))
     return out.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
@@ -100,11 +100,12 @@ def op3_sql(n_shards: int = 16, seed: int = 17) -> str:
     """The same rows by plain windows in DuckDB's SQL; it has no crc32, so that is folded from bytes."""
     return f"""
 WITH t AS (SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
-d AS (SELECT doc_id, source, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k,
+c AS (SELECT doc_id, source, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
   coalesce('s' || source, 'n') AS s,
   xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: (instr('0123456789ABCDEF', h[1]) - 1) * 16 + instr('0123456789ABCDEF', h[2]) - 1)),
     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, t),
+d AS (SELECT *, md5('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(text_crc32 AS BIGINT)) AS k FROM c),
 f AS (SELECT *, (row_number() OVER (PARTITION BY s ORDER BY k, doc_id NULLS FIRST, size, text_crc32) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY s) AS f FROM d),
 p AS (SELECT *, row_number() OVER (ORDER BY f, s, k, doc_id NULLS FIRST, size, text_crc32) - 1 AS p, count(*) OVER () AS n FROM f)
 SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p * {n_shards} // n AS INTEGER) AS shard,
