@@ -95,11 +95,15 @@ def dispatch_subfiles(headers: DataFrame, host_mode: str, dumps: DataFrame, free
 
     ``host_mode`` C takes correlator and voltage modes, B beamformer modes. A mode that is both counts as
     correlator first, so B hosts ignore it and don't free it, unless ``free_corr_bf``.
-    ``dumps``: windows ``start_gps, end_gps``, end excluded; they are joined by the slots of ``exprs.SLOT`` seconds that they span.
+    ``dumps``: windows ``start_gps, end_gps``, end excluded; cut at the first and last subfile, they are joined by the slots of
+    ``exprs.SLOT`` seconds that they span.
     """
     mode = F.col("mode")
-    windows = dumps.where("start_gps < end_gps").select("start_gps", "end_gps").distinct().withColumn("_slot", F.explode(slots_of(F.col("start_gps"), F.col("end_gps"))))
     starts = headers.select("subobs_id").distinct().withColumn("_slot", slot_of(F.col("subobs_id")))
+    ends = headers.agg(F.min("subobs_id").alias("_low"), (F.max("subobs_id") + 1).alias("_high"))  # one row
+    windows = dumps.select("start_gps", "end_gps").distinct().crossJoin(F.broadcast(ends))
+    windows = windows.select(F.greatest("start_gps", "_low").alias("start_gps"), F.least("end_gps", "_high").alias("end_gps")).where("start_gps < end_gps")
+    windows = windows.withColumn("_slot", F.explode(slots_of(F.col("start_gps"), F.col("end_gps"))))
     hit = starts.join(windows, "_slot").where("subobs_id >= start_gps AND subobs_id < end_gps").select("subobs_id").distinct()
     rows = headers.join(hit.withColumn("_dump", F.lit(True)), "subobs_id", "left")
     corr, vcs, beam = (is_mode(mode, k, mode_prefix) for k in ("correlator", "vcs", "beamformer"))
