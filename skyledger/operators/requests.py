@@ -109,7 +109,7 @@ def queue_counters(requests: DataFrame, jobs: DataFrame) -> DataFrame:
     return r.crossJoin(jobs.agg(F.count_if(~F.col("state").isin(*FINISHED)).alias("in_progress")))  # one row each
 
 
-def name_prefix_count(queue: DataFrame, prefix: str = "asvo") -> DataFrame:
+def name_prefix_count(queue: DataFrame, prefix: str) -> DataFrame:
     """One row: jobs of a compute queue (``name``) whose name starts with ``prefix``."""
     return queue.agg(F.count_if(F.col("name").startswith(prefix)).alias("n_jobs"))
 
@@ -131,7 +131,7 @@ def validate_events(events: DataFrame) -> DataFrame:
 _ERROR = {"error_datetime": "error_datetime", "error_message": "error_message"}
 #: Fields of a request that each kind of event writes, and the payload's key that each is taken from (none: it is cleared).
 RULES: dict[str, dict[str, str | None]] = {
-    "submit_download": {"download_mwa_asvo_job_id": "job_id", "download_mwa_asvo_job_submitted_datetime": "submitted_datetime", **{f"download_mwa_asvo_job_submitted_{k}": v for k, v in _ERROR.items()}},
+    "submit_download": {"download_job_id": "job_id", "download_job_submitted_datetime": "submitted_datetime", **{f"download_job_submitted_{k}": v for k, v in _ERROR.items()}},
     "submit_compute": {"slurm_job_id": "job_id", "download_slurm_job_submitted_datetime": "submitted_datetime", **{f"download_slurm_job_submitted_{k}": v for k, v in _ERROR.items()}},
     "assign": {"assigned_hostname": "hostname", "assigned_datetime": "started_datetime", "download_started_datetime": "started_datetime"},
     "download": {"download_completed_datetime": "completed_datetime", **{f"download_{k}": v for k, v in _ERROR.items()}},

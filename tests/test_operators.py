@@ -130,11 +130,11 @@ def test_fold_by_compute_job(spark):
     assert set_[6] == start | {
         "slurm_job_id": "71", "download_slurm_job_submitted_datetime": "t4", "download_completed_datetime": "t5", "calibration_started_datetime": "t5", "calibration_completed_datetime": "t6", "calibration_fit_id": "9",
     }
-    assert set_[7] == {"download_mwa_asvo_job_id": "3", "download_mwa_asvo_job_submitted_datetime": "t9"}
+    assert set_[7] == {"download_job_id": "3", "download_job_submitted_datetime": "t9"}
     assert set(got[5]) == {"id", *requests.FIELDS}
     assert rows(requests.check_touched(events, spark.createDataFrame([(5,), (6,)], "id long")), "event_id") == [(8, None, 0), (9, 1, 0)]
-    queue = spark.createDataFrame([("asvo_1",), ("asvo_2",), ("rt_asvo",), (None,)], "name string")
-    assert requests.name_prefix_count(queue).first().n_jobs == 2
+    queue = spark.createDataFrame([("dl_1",), ("dl_2",), ("rt_dl",), (None,)], "name string")
+    assert requests.name_prefix_count(queue, "dl").first().n_jobs == 2
     cols = ", ".join(f"{p}_{x} double" for p in solutions.POLS for x in ("re", "im"))
     g = spark.createDataFrame([(1, t, 0, c, *[float(3 * t + c)] * 2, *[float("nan")] * 2, *[1.0, 0.0] * 2) for t in range(2) for c in range(2)], f"obs_id long, time_idx int, ant_idx int, chan_idx int, {cols}")
     top = rows(solutions.max_amplitudes(g), "chan_idx")
