@@ -26,7 +26,7 @@ from .common import bounded
 from .ragged import WordMemory, gather, kept, portions, table
 
 #: The most distinct pre-tokens that a worker process remembers; those met later are encoded anew in each batch.
-MAX_REMEMBERED = 250_000
+MAX_REMEMBERED = 200_000
 
 
 def byte_characters() -> list[str]:

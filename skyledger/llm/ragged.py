@@ -8,16 +8,15 @@ from itertools import chain
 import numpy as np
 
 
-_KEPT: dict[str, tuple[str, object]] = {}
+_KEPT: list[tuple[str, str, object]] = []
 
 
 def kept(kind: str, key: str, make: Callable[[], object]) -> object:
-    """What ``make`` made for ``key``: each worker process keeps the last one of each ``kind`` from task to task."""
-    found = _KEPT.get(kind)
-    if found is None or found[0] != key:
-        _KEPT.pop(kind, None)
-        _KEPT[kind] = found = (key, make())
-    return found[1]
+    """What ``make`` made for this ``kind`` and ``key``: a worker process keeps the last one from task to task, and no other."""
+    if not _KEPT or _KEPT[0][:2] != (kind, key):
+        _KEPT.clear()
+        _KEPT.append((kind, key, make()))
+    return _KEPT[0][2]
 
 
 def gather(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
