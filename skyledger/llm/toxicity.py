@@ -5,8 +5,8 @@ occur far more often in toxic texts. The automaton that accepts every string wit
 edit of a lexicon word, or that begins within one edit of a stem, is intersected with the trie of the lexicon: a state is a set of
 (trie node, edits so far), made when a text first needs it; most words die after two or
 three characters. A hit's weight is the log ratio of its rates, per word of text, in toxic and in other texts; a window of words
-tells quotation (quote marks, reporting words) from abuse (address). Against the hits stands how many a toxic text of that length
-would have (a Poisson model), so that a stray hit in a long text isn't abuse.
+tells quotation (quote marks, reporting words) from abuse (address). Hits of terms that clean texts use now and then count only as far as
+they go beyond what a toxic text of that length would have (a Poisson model), so that a stray one in a long text isn't abuse.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ _WORD = re.compile(r"[^\W_]+")
 QUOTES = frozenset('"“”„«»')
 REPORTING = frozenset("said says called wrote word term quote quoted sagte schrieb wort zitat dit écrit mot citation dijo escribió palabra cita".split())
 ADDRESS = frozenset("you your yours du dich dein ihr euch tu te ton vous votre tú ti usted ustedes vosotros".split())
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 200_000
 #: Misspelled forms are looked for of words and stems of so many letters or more; a shorter one has too many neighbours.
 FUZZY_FROM = 5
 
@@ -118,15 +118,16 @@ class ToxicityModel:
     loose_stems: dict[str, float] = field(default_factory=dict)
     #: Misspelled forms that clean texts use as words of their own.
     innocent: frozenset[str] = frozenset()
-    #: Hits that a toxic text has more than others, in each word of text.
+    #: Terms that clean texts use too, and how many more lexicon terms a toxic text has than others, in each word of text.
+    stray: frozenset[str] = frozenset()
     expected: float = 0.0
 
     def __post_init__(self) -> None:
         self.lexicon = FuzzyLexicon(self.words, self.stems)
-        self.weights: dict[str, float] = {}
+        self.weights: dict[str, tuple[float, bool]] = {}
 
-    def weight(self, word: str) -> float:
-        """Log-likelihood ratio of a word; 0 for most. A misspelled form counts a little less than the word."""
+    def weight(self, word: str) -> tuple[float, bool]:
+        """Log-likelihood ratio of a word, 0 for most, and whether it may be a stray use. A misspelled form counts a little less than the word."""
         w = self.weights.get(word)
         if w is None:
             if len(self.weights) > MAX_REMEMBERED:
@@ -134,24 +135,24 @@ class ToxicityModel:
             w = self.weights[word] = self._weight(word)
         return w
 
-    def _weight(self, word: str) -> float:
+    def _weight(self, word: str) -> tuple[float, bool]:
         if word in self.words:
-            return self.words[word]
+            return self.words[word], word in self.stray
         if stem := self.lexicon.stem(word):
-            return self.stems[stem]
+            return self.stems[stem], stem in self.stray
         if word in self.innocent:
-            return 0.0
+            return 0.0, False
         near, stem = self.lexicon._walk(word)
         if near:
-            return 0.7 * self.words[near[0]]
-        return self.loose_stems.get(stem[0], 0.0) if stem else 0.0
+            return 0.7 * self.words[near[0]], near[0] in self.stray
+        return (self.loose_stems.get(stem[0], 0.0), True) if stem else (0.0, False)
 
     def score(self, text: str | None, window: int = 8) -> tuple[float, int]:
         """Probability of the label, and hits taken as abuse. Whole texts; an empty one gets the prior."""
         text = (text or "").lower()
         words = _WORD.findall(text)
-        hits = [i for i, w in enumerate(words) if self.weight(w)] if self.words or self.stems else []
-        abuse = quoted = 0.0
+        hits = [i for i, w in enumerate(words) if self.weight(w)[0]] if self.words or self.stems else []
+        abuse = quoted = strays = 0.0
         n = 0
         places = [m.span() for m in _WORD.finditer(text)] if hits else []
         for i in hits:
@@ -162,13 +163,16 @@ class ToxicityModel:
             line_before, line_after = before.rpartition("\n")[2], after.partition("\n")[0]
             cited = any(c in QUOTES for c in line_before) and any(c in QUOTES for c in line_after)
             cited = cited or bool(REPORTING.intersection(_WORD.findall(line_before)[-3:]))
+            weight, stray = self.weight(words[i])
             if cited and not ADDRESS.intersection(words[low:i] + words[i + 1 : high]):
-                quoted += 0.2 * self.weight(words[i])
+                quoted += 0.2 * weight
             else:
-                abuse += self.weight(words[i])
                 n += 1
-        missed = self.expected * len(words)
-        logit = self.prior + abuse + min(quoted, max(0.0, -self.prior)) - missed
+                if stray:
+                    strays += weight
+                else:
+                    abuse += weight
+        logit = self.prior + abuse + max(0.0, strays - self.expected * len(words)) + min(quoted, max(0.0, -self.prior))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))), n
 
 
@@ -243,7 +247,9 @@ def learn(
 
     def accepted(df: DataFrame, evidence: float) -> list:
         told = df.where("bad > 0").withColumn("ratio", ratio).where((F.col("ratio") >= least_ratio) & (g >= evidence) & (F.col("kinds") >= 0.7 * F.col("bad")))
-        return told.select("word", "ratio", surplus.alias("surplus")).orderBy("word").collect()
+        # of the texts that hold the term, more than one in fifty is clean
+        stray = 50 * F.col("good") > both
+        return told.select("word", "ratio", surplus.alias("surplus"), stray.alias("stray")).orderBy("word").collect()
 
     sums = [F.sum(c).alias(c) for c in ("bad", "good", "bad_uses", "good_uses", "kinds")]
     prefixes = stats.where("length(word) > 4").select(F.expr("explode(transform(sequence(4, least(8, length(word) - 1)), n -> substring(word, 1, n)))").alias("p"), "*")
@@ -251,16 +257,21 @@ def learn(
     # a stem has several forms, none of which makes up most of its uses
     stem_rows = accepted(stems.where("forms >= 4 AND most <= 0.5 * bad"), 1.5 * least_evidence)
     found_stems: dict[str, float] = {}
+    stray: set[str] = set()
     expected = 0.0
     for r in sorted(stem_rows, key=lambda r: (len(r["word"]), r["word"])):
         if not any(r["word"].startswith(s) for s in found_stems):
             found_stems[r["word"]] = float(r["ratio"])
             expected += r["surplus"]
+            if r["stray"]:
+                stray.add(r["word"])
     words: dict[str, float] = {}
     for r in accepted(stats.where("length(word) > 1"), least_evidence):
         if not any(r["word"].startswith(s) for s in found_stems):
             words[r["word"]] = float(r["ratio"])
             expected += r["surplus"]
+            if r["stray"]:
+                stray.add(r["word"])
     lexicon = spark.sparkContext.broadcast(FuzzyLexicon(words, found_stems))
 
     def misspelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +290,7 @@ def learn(
     innocent = loose.where("term IS NOT NULL AND good > 0").withColumn("ratio", ratio).where(F.col("ratio") < least_ratio).select("word").collect()
     # a stem's misspelled forms count together, if they tell anything
     of_stems = accepted(loose.where("stem IS NOT NULL").groupBy(F.col("stem").alias("word")).agg(*sums), least_evidence)
-    model = ToxicityModel(prior, words, found_stems, {r["word"]: float(r["ratio"]) for r in of_stems}, frozenset(r["word"] for r in innocent), expected)
+    model = ToxicityModel(prior, words, found_stems, {r["word"]: float(r["ratio"]) for r in of_stems}, frozenset(r["word"] for r in innocent), frozenset(stray), expected)
     discard(stats)
     discard(loose)
     return model
@@ -291,8 +302,8 @@ def score_texts(df: DataFrame, model: ToxicityModel, *, text_col: str = "text",
     Null texts count as empty and get the prior. The model (bounded by its number of terms) is broadcast.
     """
     spark = df.sparkSession
-    values = (model.prior, model.words, model.stems, model.loose_stems, model.innocent, model.expected)
-    key = hashlib.sha256(repr([*values[:4], sorted(model.innocent), model.expected]).encode()).hexdigest()
+    values = (model.prior, model.words, model.stems, model.loose_stems, model.innocent, model.stray, model.expected)
+    key = hashlib.sha256(repr([*values[:4], sorted(model.innocent), sorted(model.stray), model.expected]).encode()).hexdigest()
     parts = spark.sparkContext.broadcast(values)
     fields = {f.name: f.dataType.simpleString() for f in df.schema}
 
