@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, decontaminate, embed_dedup, fill_middle, minhash, secrets, sharding, token_output, toxicity, url_filter, warc
+from . import best_fit, byte_bpe, decontaminate, embed_dedup, fill_middle, minhash, secrets, sharding, token_output, toxicity, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_dedup": _over(minhash.op8, "documents"),
     "op9_toxicity": _over(toxicity.op9, "documents", "labels"),
     "op10_byte_bpe": _over(byte_bpe.op10, "documents"),
+    "op11_best_fit_packing": _over(best_fit.op11, "documents"),
     "op13_fill_middle": _over(fill_middle.op13, "documents"),
 }
 
