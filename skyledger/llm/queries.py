@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, byte_bpe, decontaminate, embed_dedup, fill_middle, minhash, secrets, sharding, token_output, toxicity, url_filter, warc
+from . import ball_trees, best_fit, byte_bpe, decontaminate, embed_dedup, fill_middle, minhash, secrets, sharding, token_output, toxicity, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": _over(toxicity.op9, "documents", "labels"),
     "op10_byte_bpe": _over(byte_bpe.op10, "documents"),
     "op11_best_fit_packing": _over(best_fit.op11, "documents"),
+    "op12_vector_codes": _over(ball_trees.op12, "embeddings"),
     "op13_fill_middle": _over(fill_middle.op13, "documents"),
 }
 
@@ -38,5 +39,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_url_filter": url_filter.op4_sql(),
     "op6_secret_scan": secrets.op6_sql(),
     "op7_decontamination": decontaminate.op7_sql(),
+    "op12_vector_codes": ball_trees.op12_sql(),
     "op13_fill_middle": fill_middle.op13_sql(),
 }
