@@ -91,18 +91,33 @@ def circulant_signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     return best
 
 
+def text_digest(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode(), digest_size=16).digest()
+
+
+def _halves(digests: list[bytes]) -> list[pa.Array]:
+    """128-bit digests as two columns of longs."""
+    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return [pa.array(both[:, 0]), pa.array(both[:, 1])]
+
+
+SIGNATURES = "doc_id bigint, n_shingles bigint, node binary, t1 bigint, t2 bigint, bands array<bigint>"
+
+
 def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, node, bands``: node is a 128-bit digest of the shingle set, null for an empty one or a null id."""
+    """``SIGNATURES``: node is a 128-bit digest of the shingle set, null for an empty one; t1 and t2 are a digest of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(shingle)
         number = np.arange(bands, dtype=np.uint64)
         for batch in batches:
-            n, nodes, keys = [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                h = hasher(text.as_py())
+            n, nodes, digests, keys = [], [], [], []
+            for text in batch["text"]:
+                text = text.as_py()
+                h = hasher(text)
                 n.append(len(h))
-                if not len(h) or not doc_id.is_valid:
+                digests.append(text_digest(text))
+                if not len(h):
                     nodes.append(None)
                     keys.append([])
                     continue
@@ -112,39 +127,39 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
                     key = (key ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
                     key ^= key >> np.uint64(32)
                 keys.append(key.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "bands"]
-            )
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), *_halves(digests), pa.array(keys, pa.list_(pa.int64()))], names=names)
 
+    names = [c.split()[0] for c in SIGNATURES.split(", ")]
     source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    return source.mapInArrow(bounded(run), "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>")
+    return source.mapInArrow(bounded(run), SIGNATURES)
 
 
-def _texts(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """``node, text`` for each wanted ``doc_id``, one text of each node, packed (see ``unpacked``) before any shuffle.
+def _texts(df: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+    """``node, text`` for each row of ``wanted`` (``node, t1, t2``), by the texts' digests, packed (see ``unpacked``) before any shuffle.
 
-    A filter of the wanted ids, bounded in size, keeps most other texts out of the shuffle; the semi-join decides.
+    Ids don't matter. A filter of the wanted digests, bounded in size, keeps most other texts out of the shuffle, and a task lets a text
+    through once for as many copies as it has (of those it remembers); the join decides.
     """
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(BitFilter.of(wanted, wanted.count()))
+    shared = spark.sparkContext.broadcast(BitFilter.of(wanted.select("t1"), wanted.count()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        packer, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
-            known = batch.filter(batch["doc_id"].is_valid())
-            some = known.filter(pa.array(shared.value.might_hold(known["doc_id"].to_numpy())))
-            texts = [packer.compress((t.as_py() or "").encode()) for t in some["text"]]
-            yield pa.RecordBatch.from_arrays([some["doc_id"], pa.array(texts, pa.binary())], names=["doc_id", "text"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = ShingleHasher(shingle)
-        for batch in batches:
-            nodes = [hashlib.blake2b(hasher(unpacked(t.as_py())).tobytes(), digest_size=16).digest() for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), batch["text"]], names=["node", "text"])
-
-    source = df.select(df[id_col].cast("bigint").alias("doc_id"), df[text_col].alias("text"))
-    source = source.mapInArrow(bounded(pack), "doc_id bigint, text binary").join(wanted, "doc_id", "left_semi")
-    return source.select("text").mapInArrow(bounded(run), "node binary, text binary").dropDuplicates(["node"])
+            digests = [text_digest(t.as_py()) for t in batch["text"]]
+            may = shared.value.might_hold(np.frombuffer(b"".join(digests), np.int64)[::2])
+            rows = []
+            for i in np.flatnonzero(may).tolist():
+                if digests[i] not in seen:
+                    seen.add(digests[i])
+                    rows.append(i)
+            texts = [packer.compress((batch["text"][i].as_py() or "").encode()) for i in rows]
+            yield pa.RecordBatch.from_arrays([*_halves([digests[i] for i in rows]), pa.array(texts, pa.binary())], names=["t1", "t2", "text"])
+            if len(seen) > MAX_REMEMBERED:
+                seen.clear()
+
+    packed = df.select(df[text_col].alias("text")).mapInArrow(bounded(pack), "t1 bigint, t2 bigint, text binary")
+    return packed.join(wanted, ["t1", "t2"]).dropDuplicates(["t1", "t2"]).select("node", "text")
 
 
 def unpacked(text: bytes) -> str:
@@ -232,24 +247,26 @@ def near_duplicates(
 
     Linked are documents with ``100 * intersection >= percent * union`` of their sets of
     ``shingle``-word shingles; ``component_id`` is the least id reachable, ``kept`` marks
-    the document with that id. Null or empty texts have an empty set and stand alone, as do rows with
-    a null id (their component is null and they are kept). Repeated rows are all returned.
+    the document with that id. Rows are told apart by what they hold, never by their ids: those with a null or shared id are compared as
+    all others are. A null id is no component's id, unless the component has no other: then it is null and one of its rows is kept.
+    Null or empty texts have an empty set and stand alone (kept). Repeated rows are all returned.
     Ids must be castable to bigint; other columns are ignored.
     """
-    docs = written(signatures(df, id_col, text_col, shingle, bands, rows), "signatures")
-    # one row for each distinct set; equal sets have equal bands
+    numbered = signatures(df, id_col, text_col, shingle, bands, rows).withColumn("row", F.monotonically_increasing_id())
+    docs = written(numbered, "signatures")
+    # one row for each distinct set; equal sets have equal bands, and any of their texts stands for them
     sets = docs.where("node IS NOT NULL").groupBy("node")
-    keyed = sets.agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")).select("doc_id", F.explode("bands").alias("key"))
-    # only keys and short ids of all nodes are shuffled; counting ids lets Spark use one exchange of the sets for both sides.
-    # Where rows share an id, one id stands for several sets: more candidates, no fewer
-    shared = keyed.groupBy("key").agg(F.count("doc_id").alias("n")).where("n > 1").select("key")
-    found = keyed.join(shared, "key").join(sets.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "doc_id")
-    found = written(found.select("key", "node", "doc_id", "n"), "members")
+    sets = written(sets.agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), F.min(F.struct("t1", "t2")).alias("t")), "sets")
+    keyed = sets.select("node", F.explode("bands").alias("key"))
+    # only keys are counted; what few buckets hold several sets is joined
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    found = written(keyed.join(shared, "key").join(sets.select("node", "n"), "node"), "members")
     leaders = found.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("other")).where("leader <> other").select("key", "leader")
-    members = written(found.join(leaders, "key").select("key", "node", "doc_id", "n", "leader"), "members")
+    members = written(found.join(leaders, "key").select("key", "node", "n", "leader"), "members")
     discard(found)
-    wanted = written(members.select("doc_id").distinct(), "wanted")
-    texts = written(_texts(df, id_col, text_col, wanted, shingle), "texts")
+    wanted = written(sets.select("node", "t.t1", "t.t2").join(members.select("node").distinct(), "node", "left_semi"), "wanted")
+    discard(sets)
+    texts = written(_texts(df, text_col, wanted), "texts")
     discard(wanted)
 
     similar = f"100 * least(n, m) >= {percent} * greatest(n, m)"
@@ -292,11 +309,11 @@ def near_duplicates(
             break
         # this round's leaders have met every other node of their buckets
         live = live.where("node <> leader").select("key", "node", "n", "leader")
-    parts = docs.select("doc_id", "n_shingles", "node").join(labels, "node", "left").withColumn("part", F.coalesce("label", "node"))
-    least = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("least"))
-    out = parts.join(least, "part", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    out = out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return settled(out, "near_duplicates", labels, *made)
+    parts = docs.select("doc_id", "n_shingles", "node", "row").join(labels, "node", "left").withColumn("part", F.coalesce("label", "node"))
+    least = parts.where("part IS NOT NULL").groupBy("part").agg(F.min("doc_id").alias("least"), F.min("row").alias("first"))
+    out = parts.join(least, "part", "left").withColumn("component_id", F.coalesce("least", F.when(F.col("part").isNull(), F.col("doc_id"))))
+    kept = F.when(F.col("part").isNull(), True).when(F.col("least").isNull(), F.col("row") == F.col("first")).otherwise(F.col("doc_id").eqNullSafe(F.col("least")))
+    return settled(out.select("doc_id", "n_shingles", "component_id", kept.alias("kept")), "near_duplicates", labels, *made)
 
 
 def op8(documents: DataFrame) -> DataFrame:

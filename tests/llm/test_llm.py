@@ -470,3 +470,26 @@ def test_pipeline_duplicates_odd_ids(spark):
     kept = [tuple(r) for r in got]
     assert len(kept) == 6 and {(5, one), (5, two), (3, four), (7, None), (7, "")} < set(kept)
     assert sum(t in ((None, three), (None, three + " more")) for t in kept) == 1
+
+
+def test_minhash_null_and_many_shared_ids(spark):
+    rng = random.Random(8)
+    a = words(rng, 101, 5000)
+    b, c = [*a], [*a]
+    for w in (b, c):
+        w[10] = w[20] = w[30] = "x1"
+    for k in (50, 60, 70):
+        c[k] = "y1"
+    rows = [(1, " ".join(a)), (None, " ".join(b)), (2, " ".join(c)), (None, "same text here"), (None, "same text here"), (None, None), (None, "")]
+    sets = [minhash.shingle_set(minhash.words_of(t), 2) for _, t in rows[:3]]
+    assert 100 * len(sets[0] & sets[2]) < 80 * len(sets[0] | sets[2])
+    got = minhash.op8(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or 0), r.component_id or 0, r.kept) for r in got if r.n_shingles > 5) == [(0, 1, False), (1, 1, True), (2, 1, False)]
+    assert sorted(r.kept for r in got if r.n_shingles == 2) == [False, True] and [r.kept for r in got if not r.n_shingles] == [True, True]
+    # a third of the rows under one id: candidates grow with the rows
+    made = []
+    for i in range(600):
+        w = words(rng, 30, 5000)
+        made += [(7 if i % 3 else i + 10, " ".join(w)), (7 if i % 3 else -i - 10, " ".join([*w, "more"]))]
+    out = minhash.op8(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in out} == {(d, 7 if i % 3 else -i - 10) for i in range(600) for d in ([7] if i % 3 else [i + 10, -i - 10])}
