@@ -356,7 +356,7 @@ def vector_codes(
     """(``vec_id, code, error, label_error, codebooks_sha256``, codebooks): the codes of ``df``'s vectors and the entries, by part and entry.
 
     Components are floor(256 x). Vectors that are null, empty or hold null or non-finite components are left out. The first ``entries`` vectors by
-    id (null ids last; equal ids by vector) begin the codebooks. A vector whose length isn't the first one's, or with a component
+    id (null ids last; equal ids by vector) begin the codebooks. A vector whose length isn't that of most (of those that the parts divide), or with a component
     of ``component_bound`` or more in size, can't be coded: its row has a null code and error. Null and shared ids, and equal rows, are rows
     like all others; other columns are ignored. An empty table gives no rows.
     """
@@ -367,7 +367,7 @@ def vector_codes(
     fine = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (F.size("vec") > 0)
     rows = df.select(df[id_col].cast("bigint").alias("vec_id"), df[label_col].alias("label"), df[vector_col].cast("array<double>").alias("vec")).where(vector.isNotNull() & fine)
     ids = [F.col("vec_id").asc_nulls_last(), F.col("vec").asc()]
-    head = rows.where(F.size("vec") % parts == 0).orderBy(*ids).select(F.size("vec").alias("n")).first()
+    head = rows.groupBy(F.size("vec").alias("n")).count().where(F.col("n") % parts == 0).orderBy(F.desc("count"), "n").first()
     dim = head["n"] if head else parts
     bound = component_bound(dim)
     small = (F.size("vec") == dim) & F.forall("vec", lambda x: F.abs(x) < bound / 256)
