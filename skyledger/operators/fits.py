@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import C_LIGHT, complex_product, known, phase, suffixed, wrap_angle
+from ..sources.durable import checkpointed
 
 
 def reject_outliers(fits: DataFrame, metrics: tuple[str, ...] = ("chi2dof", "sigma_resid"), nstd: float = 3.0, cross_pol: bool = True) -> DataFrame:
@@ -97,31 +100,74 @@ def fit_phase(gains: DataFrame, niter: int = 1) -> DataFrame:
     return gains.select("obs_id", "tile_id", "pol", "freq_hz", "re", "im", "weight").groupBy("obs_id", "tile_id", "pol").applyInPandas(one, PHASE_FITS)
 
 
-def robust_outliers(value: np.ndarray, good: np.ndarray, degree: int, threshold: float, rounds: int = 10, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(kept, residual) of a polynomial fit over the places ``at`` with outliers rejected by |r - median| / MAD.
+def _one_round(rows: DataFrame, key: tuple[str, ...], values: tuple[str, ...], degree: int, threshold: float) -> DataFrame:
+    """One round for all groups: ``_kept_v`` and ``_residual_v`` of each value v anew, and ``_same`` where no point of the group changed.
 
-    Each round judges all ``good`` points anew, so one that was rejected may come back. Residuals are of all points.
+    The polynomial is a sum of orthogonal ones over the kept points, each made from the two before it, so it needs nothing but sums of
+    the group. Every sum, median and count is a window over the same key: one exchange and one sort for the round.
+    """
+    w = Window.partitionBy(*key)
+    kept = {v: F.col(f"_kept_{v}") for v in values}
+    now = {f"_rest_{v}": F.col(v) for v in values} | {f"_p_{v}": F.lit(1.0) for v in values} | {f"_q_{v}": F.lit(0.0) for v in values} | {f"_before_{v}": F.lit(1.0) for v in values}
+    rows = rows.withColumns(now)
+    for _ in range(degree + 1):
+        sums = {}
+        for v in values:
+            p = F.col(f"_p_{v}")
+            for name, term in (("s", p * p), ("t", p * F.col(f"_rest_{v}")), ("u", F.col("_x") * p * p)):
+                sums[f"_{name}_{v}"] = F.sum(F.when(kept[v], term)).over(w)
+        rows, step = rows.withColumns(sums), {}
+        for v in values:
+            p, q, s = F.col(f"_p_{v}"), F.col(f"_q_{v}"), F.nullif(F.col(f"_s_{v}"), F.lit(0.0))
+            step[f"_rest_{v}"] = F.col(f"_rest_{v}") - F.coalesce(F.col(f"_t_{v}") / s, F.lit(0.0)) * p
+            step[f"_p_{v}"] = (F.col("_x") - F.coalesce(F.col(f"_u_{v}") / s, F.lit(0.0))) * p - F.coalesce(s / F.col(f"_before_{v}"), F.lit(0.0)) * q
+            step[f"_q_{v}"], step[f"_before_{v}"] = p, s
+        rows = rows.withColumns(step)
+    rows = rows.withColumns({f"_m_{v}": F.median(F.when(kept[v], F.col(f"_rest_{v}"))).over(w) for v in values} | {f"_n_{v}": F.count_if(kept[v]).over(w) for v in values})
+    away = {v: F.abs(F.col(f"_rest_{v}") - F.col(f"_m_{v}")) for v in values}
+    rows = rows.withColumns({f"_mad_{v}": F.median(F.when(kept[v], away[v])).over(w) for v in values} | {f"_size_{v}": F.max(F.when(kept[v], F.abs(v))).over(w) for v in values})
+    # a spread that is nothing but rounding is none
+    flat = {v: F.col(f"_mad_{v}") <= 1e-14 * F.col(f"_size_{v}") for v in values}
+    few = {v: F.col(f"_n_{v}") < degree + 2 for v in values}
+    told = {f"_new_{v}": F.when(few[v], F.col(f"_residual_{v}")).when(flat[v], F.lit(0.0)).otherwise(away[v] / F.col(f"_mad_{v}")) for v in values}
+    rows = rows.withColumns(told)
+    near = {v: F.col(f"_good_{v}") & (F.col(f"_new_{v}") <= threshold) for v in values}
+    rows = rows.withColumns({f"_left_{v}": F.count_if(near[v]).over(w) for v in values})
+    # a polynomial through fewer points than it has places for would bend to them: the set stays
+    after = {v: F.when(few[v] | flat[v] | (F.col(f"_left_{v}") < degree + 2), kept[v]).otherwise(near[v]) for v in values}
+    changed = reduce(Column.__or__, [after[v] != kept[v] for v in values])
+    rows = rows.withColumn("_same", ~F.bool_or(changed).over(w))
+    state = [after[v].alias(f"_kept_{v}") for v in values] + [F.col(f"_new_{v}").alias(f"_residual_{v}") for v in values]
+    drop = {f"_{n}_{v}" for v in values for n in ("rest", "p", "q", "before", "s", "t", "u", "m", "n", "mad", "size", "new", "left", "kept", "residual")}
+    return rows.select(*[c for c in rows.columns if c not in drop], *state)
+
+
+def reject_by_polynomial(rows: DataFrame, key: tuple[str, ...], place: str, values: tuple[str, ...], good: str, degree: int = 2, threshold: float = 5.0, rounds: int = 10) -> DataFrame:
+    """Adds ``kept_v`` and ``residual_v`` for each of ``values``: points of a group that lie near its polynomial over ``place``.
+
+    A round fits the kept points, and judges all that were ``good`` (and finite) at the start by the distance of their residual from the
+    median over the median of such distances (of the kept ones, unscaled); so a point may come back. A group is done
+    when nothing changes, and all at once after ``rounds``. With fewer than ``degree + 2`` points there is no judgement (residual null); no spread makes
+    all residuals 0. Only groups that aren't done go into the next round, each round on a checkpointed table.
     """
-    at = np.arange(len(value), dtype=float) if at is None else at.astype(float)
-    span = np.ptp(at) if len(at) else 0
-    # the same polynomial over a range that keeps numbers small
-    kept, x = good.copy(), (at - at.min()) / span * 2 - 1 if span else np.zeros(len(value))
-    residual = np.full(len(value), np.nan)
+    w = Window.partitionBy(*key)
+    low, span = F.min(place).over(w), F.max(place).over(w) - F.min(place).over(w)
+    start = {"_x": F.coalesce((F.col(place) - low) * 2.0 / F.nullif(span, F.lit(0)) - 1, F.lit(0.0))}
+    for v in values:
+        start[f"_good_{v}"] = F.coalesce(F.col(good) & known(F.col(v)).isNotNull(), F.lit(False))
+        start[f"_kept_{v}"], start[f"_residual_{v}"] = start[f"_good_{v}"], F.lit(None).cast("double")
+    live, done = rows.withColumns(start), None
     for _ in range(rounds):
-        if kept.sum() < degree + 2:
-            break
-        r = value - np.polyval(np.polyfit(x[kept], value[kept], degree), x)
-        middle = np.median(r[kept])
-        mad = np.median(np.abs(r[kept] - middle))
-        if mad == 0:
-            residual = np.zeros(len(value))
+        after = checkpointed(_one_round(live, key, values, degree, threshold))
+        same = after.where("_same").drop("_same")
+        done = same if done is None else done.unionByName(same)
+        live = after.where("NOT _same").drop("_same")
+        if live.isEmpty():
             break
-        residual = np.abs(r - middle) / mad
-        after = good & (residual <= threshold)
-        if after.sum() < degree + 2 or (after == kept).all():
-            break
-        kept = after
-    return kept, residual
+    else:
+        done = live if done is None else done.unionByName(live)
+    out = done.withColumnsRenamed({f"_{n}_{v}": f"{n}_{v}" for n in ("kept", "residual") for v in values})
+    return out.drop("_x", *[f"_good_{v}" for v in values])
 
 
 def base_flags(gains: DataFrame, blocks: DataFrame, tile_flags: DataFrame) -> DataFrame:
@@ -159,20 +205,15 @@ def usable_gains(gains: DataFrame, tiles: DataFrame) -> DataFrame:
 
 
 def flag_bad_gains(gains: DataFrame, degree: int = 2, threshold: float = 5.0) -> DataFrame:
-    """``obs_id, tile_id, chan_idx, bad, new_flag, residual`` of ``gains`` (``xx_re .. yy_im, base_bad``, see ``base_flags``), tile by tile."""
+    """``obs_id, tile_id, chan_idx, bad, new_flag, residual`` of ``gains`` (``xx_re .. yy_im, base_bad``, see ``base_flags``), tile by tile.
 
-    def one(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("chan_idx")
-        base = g["base_bad"].to_numpy(bool)
-        bad, residual = base.copy(), np.full(len(g), np.nan)
-        for p in ("xx", "yy"):
-            amp = np.hypot(g[f"{p}_re"].to_numpy(float), g[f"{p}_im"].to_numpy(float))
-            kept, r = robust_outliers(amp, ~base & np.isfinite(amp), degree, threshold, at=g["chan_idx"].to_numpy())
-            bad |= ~kept
-            residual = np.fmax(residual, r)
-        return pd.DataFrame({"obs_id": key[0], "tile_id": key[1], "chan_idx": g["chan_idx"].to_numpy(), "bad": bad, "new_flag": bad & ~base, "residual": residual})
-
-    return gains.groupBy("obs_id", "tile_id").applyInPandas(one, "obs_id bigint, tile_id int, chan_idx int, bad boolean, new_flag boolean, residual double")
+    The amplitudes of XX and YY over the channels are each held against a polynomial; bad in one is bad. The residual is the larger one.
+    """
+    pols = ("xx", "yy")
+    rows = gains.select("obs_id", "tile_id", "chan_idx", "base_bad", (~F.col("base_bad")).alias("usable"), *[F.hypot(f"{p}_re", f"{p}_im").alias(p) for p in pols])
+    out = reject_by_polynomial(rows, ("obs_id", "tile_id"), "chan_idx", pols, "usable", degree, threshold)
+    bad = F.col("base_bad") | ~F.col("kept_xx") | ~F.col("kept_yy")
+    return out.select("obs_id", "tile_id", "chan_idx", bad.alias("bad"), (bad & ~F.col("base_bad")).alias("new_flag"), F.greatest("residual_xx", "residual_yy").alias("residual"))
 
 
 def interpolate_gains(gains: DataFrame, values: list[str], key: tuple[str, ...] = ("obs_id", "tile_id")) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import bucket_of, extension
+from ..sources.commits import CommittedTables
 
 
 def append_data_files(new_files: DataFrame, observations: DataFrame, bucket_prefix: str) -> tuple[DataFrame, DataFrame]:
@@ -33,6 +34,38 @@ def mark_archived(data_files: DataFrame, updates: DataFrame) -> tuple[DataFrame,
     return out, checked.where("n_rows <> 1 OR n_updates <> 1").select(*key, "n_updates", "n_rows")
 
 
+FILES = "data_files"
+_BY_BUCKET = {FILES: "obs_bucket"}
+
+
+def append_batch(tables: CommittedTables, batch: str, new_files: DataFrame, observations: DataFrame, bucket_prefix: str) -> DataFrame:
+    """``append_data_files`` committed as ``batch`` to the table ``data_files``, once however often it is called; the orphaned rows."""
+    accepted, orphaned = append_data_files(new_files, observations, bucket_prefix)
+    tables.commit(batch, adds={FILES: accepted}, partition=_BY_BUCKET)
+    return orphaned
+
+
+def archive_batch(tables: CommittedTables, batch: str, updates: DataFrame, bucket_prefix: str) -> DataFrame:
+    """``mark_archived`` committed as ``batch``; the violations, judged against the ledger as it is now.
+
+    Only the partitions that the updates name are read and rewritten; one in which every update is a violation is left alone.
+    """
+    at = tables.snapshot()
+    held = tables.read(FILES, _buckets(updates, bucket_prefix), at)
+    out, violations = mark_archived(held, updates)
+    bad = violations.select("observation_num", "filename")
+    good = updates.join(bad, ["observation_num", "filename"], "left_anti")
+    changed = _buckets(good, bucket_prefix)
+    if changed:
+        tables.commit(batch, replaces={FILES: out.where(F.col("obs_bucket").isin(changed)).select(*held.columns)}, partition=_BY_BUCKET, based_on=at)
+    return violations
+
+
+def _buckets(rows: DataFrame, bucket_prefix: str) -> list[str]:
+    """The buckets of ``rows``, as few as the days that they are from."""
+    return [r[0] for r in rows.select(bucket_of(F.col("observation_num"), bucket_prefix).alias("b")).where("b IS NOT NULL").distinct().collect()]
+
+
 def verify_archive(files: DataFrame, data_files: DataFrame) -> DataFrame:
     """Adds ``decision`` to files on disk (``obs_id, filename, size, checksum``): archive, retry, drop or error.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import is_mode, slot_of
+from ..sources.commits import CommittedTables
 
 #: States in which a job is over.
 FINISHED = ("Cancelled", "Error", "Ready")
@@ -14,8 +15,9 @@ STATES = ("Queued", "WaitCal", "Staging", "Staged", "Downloading", "Preprocessin
 
 def unrequested_cal_obs(observations: DataFrame, schedule: DataFrame, data_files: DataFrame, fits: DataFrame, requests: DataFrame, oldest: int, mode_prefix: str = "") -> DataFrame:
     """``obs_id`` of calibrators nobody asked for: correlator mode, archivable, with visibility files, no fit, no request, not the Sun."""
-    cal = schedule.where("calibration AND calibrators <> 'SUN'").select(F.col("observation_number").alias("obs_id"))
-    files = data_files.where("filetype = 18 AND NOT deleted AND deleted_timestamp IS NULL").select(F.col("observation_num").alias("obs_id"))
+    # a null name of the calibrator, and files without a name, drop out
+    cal = schedule.where("calibration AND upper(calibrators) <> 'SUN'").select(F.col("observation_number").alias("obs_id"))
+    files = data_files.where("filetype = 18 AND filename IS NOT NULL AND deleted_timestamp IS NULL").select(F.col("observation_num").alias("obs_id"))
     return (
         observations.where((F.col("mode") == mode_prefix + "CORRELATOR") & (F.col("project_id") != "C123") & (F.col("obs_id") > oldest))
         .select("obs_id").distinct().join(cal, "obs_id", "left_semi").join(files, "obs_id", "left_semi")
@@ -223,6 +225,18 @@ def fit_header(batch: DataFrame, *, fit_time: str, creator: str, code_version: s
     )
 
 
+def commit_fits(tables: CommittedTables, batch: str, header: DataFrame, solutions: DataFrame) -> bool:
+    """Headers (``fit_header``) and the rows of all their tiles published together, once; False if ``batch`` is published already.
+
+    Solutions without a header, and headers without a solution, are an error before anything is published: a reader never meets half a fit.
+    """
+    key = ["fitid", "obsid"]
+    apart = header.select(*key).distinct().withColumn("_h", F.lit(1)).join(solutions.select(*key).distinct().withColumn("_s", F.lit(1)), key, "full").where("_h IS NULL OR _s IS NULL")
+    if not apart.isEmpty():
+        raise ValueError("headers and solutions don't belong together")
+    return tables.commit(batch, adds={"calibration_fits": header, "calibration_solutions": solutions})
+
+
 def solution_for_channel(requests: DataFrame, solution_files: DataFrame) -> DataFrame:
     """``cal_obs, rec_chan, path``: the file that holds a channel's solution; one for all channels goes first, then by first channel and path."""
     files = solution_files.where("obs_id IS NOT NULL").select(F.col("obs_id").alias("cal_obs"), "path", F.when(F.col("all_chans"), 0).otherwise(F.col("chan_from")).alias("_from"), "chan_to", "all_chans")

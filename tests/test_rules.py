@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 from collections import defaultdict
 
 import numpy as np
@@ -11,9 +12,12 @@ from pyspark.sql import functions as F
 from skyledger.functions import exprs
 from skyledger.operators import catalog, fits, requests, retry, solutions
 from skyledger.plans import queries as plans
+from skyledger.plans.standins import view
 from skyledger.sources import files as sources
 from skyledger.streaming import streams
 
+SF = os.environ.get("SKYLEDGER_SF", "/root/testdata/sf0.001")
+
 
 def clipped(amplitudes, initial, degree, threshold):
     """The rule in plain numpy: every round judges all points that were valid at the start."""
@@ -34,20 +38,45 @@ def clipped(amplitudes, initial, degree, threshold):
     return valid, residual
 
 
-def test_rejected_points_may_return():
+def test_rejected_points_may_return(spark):
     rng = np.random.default_rng(5)
+    groups = []
     for _ in range(300):
         n = int(rng.integers(3, 40))
         a = 1 + 0.05 * rng.normal(size=n)
         a[rng.integers(0, n, n // 6)] += rng.normal(scale=3, size=n // 6)
-        good = rng.random(n) > 0.1
-        want, residual = clipped(a, good, 2, 3.0)
-        kept, got = fits.robust_outliers(a, good, 2, 3.0)
-        assert (kept == want).all() and np.allclose(got, residual, rtol=1e-6, atol=1e-6, equal_nan=True)
-    flat, residual = fits.robust_outliers(np.zeros(9), np.arange(9) > 1, 2, 5.0)
-    assert list(flat) == [False] * 2 + [True] * 7 and (residual == 0).all()
-    few, residual = fits.robust_outliers(np.ones(3), np.ones(3, bool), 2, 5.0)
-    assert few.all() and np.isnan(residual).all()
+        groups.append((a, rng.random(n) > 0.1))
+    groups += [(np.zeros(9), np.arange(9) > 1), (np.ones(3), np.ones(3, bool)), (np.full(12, 0.1), np.ones(12, bool)), (np.array([1, 1.1, 1, 1.1, 9, 1, 1.1, 1]), np.ones(8, bool))]
+    rows = [(g, c, float(v), bool(ok), float(-v)) for g, (a, good) in enumerate(groups) for c, (v, ok) in enumerate(zip(a, good, strict=True))]
+    df = spark.createDataFrame(rows, "g int, c int, a double, ok boolean, b double")
+    found = defaultdict(dict)
+    for r in fits.reject_by_polynomial(df, ("g",), "c", ("a", "b"), "ok", 2, 2.9).collect():
+        found[r.g][r.c] = r
+    # 2.9, as five even points may make ratios of 3 exactly; numpy's own rounding decides for equal values
+    for g, (a, good) in enumerate(groups[:302]):
+        want, residual = clipped(a, good, 2, 2.9)
+        got = [found[g][c] for c in range(len(a))]
+        for v in ("a", "b"):
+            assert [r[f"kept_{v}"] for r in got] == want.tolist()
+            assert np.allclose([math.nan if r[f"residual_{v}"] is None else r[f"residual_{v}"] for r in got], residual, rtol=1e-6, atol=1e-6, equal_nan=True)
+    assert not found[303][4].kept_a and all(r.residual_a == 0 for r in found[302].values())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_bad_gains_of_all_rows(spark):
+    """The registered query against plain numpy, every row of its table."""
+    gains = view(spark, SF, "gains").toPandas()
+    want = {}
+    for (obs, tile), g in gains.sort_values("chan_idx").groupby(["obs_id", "tile_id"]):
+        base, amp = (g["weight"] == 0).to_numpy(), np.hypot(g["re"], g["im"]).to_numpy()
+        kept, residual = clipped(amp, ~base, 2, 5.0)
+        for c, b, k, r in zip(g["chan_idx"], base, kept, residual, strict=True):
+            want[obs, tile, c] = (bool(b or not k), bool(not b and not k), r)
+    got = plans.QUERIES["e6_flag_bad_gains"](spark, SF).collect()
+    assert len(got) == len(want)
+    for r in got:
+        bad, new, residual = want[r.obs_id, r.tile_id, r.chan_idx]
+        assert (r.bad, r.new_flag) == (bad, new) and r.residual == pytest.approx(residual, rel=1e-6, abs=1e-9)
 
 
 def test_bad_gains(spark):
