@@ -166,8 +166,8 @@ def apply_rules(events: DataFrame) -> DataFrame:
     return events.withColumns({"payload": payload, "touches": touches})
 
 
-def _by_ids(events: DataFrame) -> Column:
-    """Whether an event is keyed by its ``request_ids``."""
+def is_named(events: DataFrame) -> Column:
+    """Whether an event (after ``apply_rules``) is keyed by its ``request_ids``."""
     if "slurm_job_id" not in events.columns:
         return F.lit(True)
     named = F.col("slurm_job_id").isNull() | F.coalesce(F.array_contains("touches", "slurm_job_id"), F.lit(False))
@@ -182,7 +182,7 @@ def resolve_requests(events: DataFrame) -> DataFrame:
     """
     if "slurm_job_id" not in events.columns:
         return events.withColumn("id", F.explode("request_ids"))
-    named = _by_ids(events)
+    named = is_named(events)
     at = F.struct("ts", "event_id")
     sets = events.where(F.array_contains("touches", "slurm_job_id")).select(F.explode("request_ids").alias("id"), at.alias("_from"), F.col("payload")["slurm_job_id"].try_cast("bigint").alias("_job"))
     held = sets.withColumn("_to", F.lead("_from").over(Window.partitionBy("id").orderBy("_from"))).where("_job IS NOT NULL").distinct()
@@ -211,7 +211,7 @@ def check_touched(events: DataFrame, requests: DataFrame) -> DataFrame:
     """
     ruled = apply_rules(events)
     hits = resolve_requests(ruled).select("event_id", "id").join(requests.select("id").withColumn("_hit", F.lit(1)), "id", "left").groupBy("event_id").agg(F.count("_hit").alias("n_hit"))
-    named = F.when(_by_ids(events) & F.col("request_ids").isNotNull(), F.size("request_ids").cast("bigint"))
+    named = F.when(is_named(events) & F.col("request_ids").isNotNull(), F.size("request_ids").cast("bigint"))
     rows = ruled.select("event_id", named.alias("n_named")).join(hits, "event_id", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("bigint")))
     return rows.where("n_named <> n_hit OR n_named IS NULL AND n_hit = 0")
 

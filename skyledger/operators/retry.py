@@ -30,6 +30,11 @@ def retry_state(attempts: DataFrame, *, policy: str = "linear", initial: float =
     state = attempts.join(last, "item").groupBy("item").agg(
         n.cast("bigint").alias("failures"), F.max("ts").alias("last_ts"), F.max_by("priority", at).alias("_priority")
     )
+    return with_backoff(state, policy=policy, initial=initial, factor=factor, limit=limit)
+
+
+def with_backoff(state: DataFrame, *, policy: str, initial: float, factor: float, limit: float) -> DataFrame:
+    """``item, failures, backoff_sec, next_attempt, priority`` of ``item, failures, last_ts, _priority`` (that of the last attempt)."""
     f = F.col("failures")
     backoff = F.lit(initial * factor) * f if policy == "linear" else F.lit(initial) * F.pow(F.lit(factor), f - 1)
     backoff = F.when(f == 0, F.lit(0.0)).otherwise(F.least(F.lit(float(limit)), backoff.cast("double")))

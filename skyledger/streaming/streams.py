@@ -1,4 +1,4 @@
-"""Streams of arrivals, observation completion, worker health, request events and retries."""
+"""Streams of arrivals, observation completion and worker health."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import basename
 from ..operators.catalog import parse_names, route_ingest, validate_files, with_priority
-from ..operators.requests import FIELDS, apply_rules, resolve_requests
 
 WATERMARK = "10 minutes"
 
@@ -121,43 +120,3 @@ def missing_hosts(rows: DataFrame, now: str, timeout_sec: int) -> DataFrame:
     """Hosts whose last packet is older than ``timeout_sec``."""
     last = rows.groupBy("host").agg(F.max("ts").alias("last_ts"))
     return last.where(F.unix_micros(F.to_timestamp(F.lit(now))) - F.unix_micros(F.col("last_ts").cast("timestamp")) > timeout_sec * 1_000_000)
-
-
-def retry_stream(attempts: DataFrame) -> DataFrame:
-    """``item, failures``: failures of each item since its last success, updated by every batch of a stream of attempts."""
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        for ok in rows["success"]:
-            n = 0 if ok else n + 1
-        state.update((n,))
-        yield pd.DataFrame({"item": [key[0]], "failures": [n]})
-
-    return attempts.groupBy("item").applyInPandasWithState(step, "item string, failures bigint", "failures bigint", "update", "NoTimeout")
-
-
-def fold_stream(events: DataFrame, fields: list[str] | None = None) -> DataFrame:
-    """State of each request, updated by every batch of a stream of events that name their requests: ``id`` and the ``fields``.
-
-    For each field the last event that touches it, by (ts, event_id), counts, in whatever order events arrive, so the last row of an id equals
-    ``requests.fold_requests`` of all events so far. Events keyed by a compute job need all submissions before them: fold those in
-    ``foreachBatch`` by the batch form.
-    """
-    fields = FIELDS if fields is None else fields
-    rows = resolve_requests(apply_rules(events)).select("id", F.col("ts").cast("string").alias("ts"), "event_id", "payload", "touches")
-
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        # of each field: the time and id of its last event, and what that wrote
-        held = dict(zip(fields, zip(*state.get, strict=True), strict=True)) if state.exists else {}
-        for frame in frames:
-            for ts, event, payload, touches in frame[["ts", "event_id", "payload", "touches"]].itertuples(index=False):
-                for f in set(touches) & set(fields):
-                    if f not in held or held[f][0] is None or (ts, event) >= tuple(held[f][:2]):
-                        held[f] = (ts, int(event), dict(payload).get(f))
-        columns = [[held[f][i] if f in held else None for f in fields] for i in range(3)]
-        state.update(tuple(columns))
-        yield pd.DataFrame([[key[0], *columns[2]]], columns=["id", *fields])
-
-    kept = "at array<string>, event array<bigint>, value array<string>"
-    return rows.groupBy("id").applyInPandasWithState(step, "id bigint, " + ", ".join(f"`{f}` string" for f in fields), kept, "update", "NoTimeout")

@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )

@@ -191,32 +191,6 @@ def test_ingest_stream_equals_batch(spark, tmp_path):
     assert sorted(r.path for r in both.collect()) == sorted({r[0] for r in rows})
 
 
-def test_retry_stream_equals_batch(spark, tmp_path):
-    rng = np.random.default_rng(3)
-    rows = [(f"i{rng.integers(4)}", i, i, bool(rng.random() < 0.4), 1) for i in range(60)]
-    attempts = spark.createDataFrame(rows, "item string, ts int, event_id int, success boolean, priority int").withColumn("ts", F.timestamp_seconds("ts"))
-    frames = [attempts.where(f"event_id >= {a} AND event_id < {a + 20}") for a in (0, 20, 40)]
-    live: dict = {}
-    for r in drain(streams.retry_stream(feed(spark, tmp_path / "in", frames, attempts.schema)), "retried", "update", tmp_path):
-        live[r["item"]] = r.failures
-    assert live == {r["item"]: r.failures for r in retry.retry_state(attempts).collect()}
-
-
-def test_fold_stream_equals_batch(spark, tmp_path):
-    rng = np.random.default_rng(4)
-    data = []
-    for i in range(40):
-        touches = [f for f in ("a", "b", "c") if rng.random() < 0.5]
-        payload = {f: f"{f}{i}" for f in touches if rng.random() < 0.7}
-        data.append((i, int(rng.integers(100)), [int(x) for x in rng.integers(0, 5, 2)], payload, touches))
-    events = spark.createDataFrame(data, "event_id long, ts int, request_ids array<long>, payload map<string,string>, touches array<string>").withColumn("ts", F.timestamp_seconds("ts"))
-    frames = [events.where(f"event_id % 3 = {k}") for k in (2, 0, 1)]  # out of order
-    live: dict = defaultdict(tuple)
-    for r in drain(streams.fold_stream(feed(spark, tmp_path / "in", frames, events.schema), ["a", "b", "c"]), "folded", "update", tmp_path):
-        live[r.id] = tuple(r)
-    assert dict(live) == {r.id: tuple(r) for r in requests.fold_requests(events, ["a", "b", "c"]).collect()}
-
-
 def test_dumps_and_modes(spark):
     h = spark.createDataFrame([(t, m) for t in (1000, 1496, 1504, 5000) for m in ("P_VCS", "Q_VCS", None)], "subobs_id long, mode string")
     d = spark.createDataFrame([(1400, 1504), (1504, 1504), (9, 3)], "start_gps long, end_gps long")
