@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from functools import lru_cache
 
 import numpy as np
@@ -48,23 +49,25 @@ def _local_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="skyledger-")
 
 
-_SCOPES: list[list[str]] = []
+#: Paths made within each call of ``written_alone`` that is under way in this thread, outermost first.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    for scope in _SCOPES:
+    for scope in _SCOPES.get():
         scope.append(path)
     return path
 
 
 def written_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """What ``make`` returns, written; all other tables that were written on the way are deleted."""
-    _SCOPES.append([])
+    made: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), made))
     try:
         out = written(df := make(), name)
     finally:
-        made = _SCOPES.pop()
+        _SCOPES.reset(token)
     for path in made[:-1]:
         _delete(df.sparkSession, path)
     return out

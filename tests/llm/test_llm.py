@@ -493,3 +493,25 @@ def test_minhash_null_and_many_shared_ids(spark):
         made += [(7 if i % 3 else i + 10, " ".join(w)), (7 if i % 3 else -i - 10, " ".join([*w, "more"]))]
     out = minhash.op8(spark.createDataFrame(made, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.component_id) for r in out} == {(d, 7 if i % 3 else -i - 10) for i in range(600) for d in ([7] if i % 3 else [i + 10, -i - 10])}
+
+
+def test_tables_of_two_threads(spark):
+    """What one thread writes isn't deleted with the tables of another."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    meet = Barrier(2)
+
+    def one(k):
+        def make():
+            meet.wait(60)
+            inner = common.written(spark.range(k), "inner")
+            meet.wait(60)
+            return inner
+
+        out = common.written_alone(make, "outer")
+        meet.wait(60)
+        return out.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(one, [3, 5])) == [3, 5]
