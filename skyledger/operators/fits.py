@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import C_LIGHT, complex_product, known, phase, suffixed, wrap_angle
@@ -33,6 +35,28 @@ def reject_outliers(fits: DataFrame, metrics: tuple[str, ...] = ("chi2dof", "sig
     return rows
 
 
+#: Points of a grid of frequencies, at most; spacings that would need more are searched delay by delay.
+GRID = 1 << 21
+
+
+def _start_delay(x: np.ndarray, u: np.ndarray, step: float) -> float:
+    """The delay whose phasors fit ``u`` at frequencies ``x`` (from 0) best, of four to a resolution element, as far as the least spacing ``step`` can tell.
+
+    The phasors, turned by the least delay, are put on an even grid of the spacing or an eighth of it; one transform of the grid, padded to four times its
+    length, holds the sums for all delays.
+    """
+    delays = np.arange(-0.5 / step, 0.5 / step, 1 / (4 * x[-1]))
+    fine = 1 if np.abs(x / step - np.rint(x / step)).max() < 1e-3 else 8
+    places = np.rint(x / step * fine).astype(np.int64)
+    if places[-1] >= GRID:
+        power = np.concatenate([np.abs(np.exp(-2j * np.pi * d[:, None] * x) @ u) for d in np.array_split(delays, max(1, len(delays) // 512))])
+    else:
+        grid = np.zeros(4 * places[-1], complex)
+        np.add.at(grid, places, u * np.exp(1j * np.pi * x / step))
+        power = np.abs(np.fft.fft(grid))[: len(delays)]
+    return delays[power.argmax()]
+
+
 def fit_ramp(freq: np.ndarray, z: np.ndarray, weight: np.ndarray, niter: int = 1, clip_sigma: float = 2.0) -> dict | None:
     """Phase ramp angle(z) = slope * freq + intercept; None for fewer than two valid points.
 
@@ -50,10 +74,7 @@ def fit_ramp(freq: np.ndarray, z: np.ndarray, weight: np.ndarray, niter: int = 1
     step = np.diff(np.unique(f)).min()
     centre, wrap = f.mean(), lambda a: (a + np.pi) % (2 * np.pi) - np.pi
     u, x = z / np.abs(z) * w, f - f.mean()
-    # delays that the spacing can tell apart, four to a resolution element
-    delays = np.arange(-0.5 / step, 0.5 / step, 1 / (4 * (f[-1] - f[0])))
-    power = np.concatenate([np.abs(np.exp(-2j * np.pi * d[:, None] * x) @ u) for d in np.array_split(delays, max(1, len(delays) // 512))])
-    slope = 2 * np.pi * delays[power.argmax()]
+    slope = 2 * np.pi * _start_delay(x - x[0], u, step)
     level = np.angle((u * np.exp(-1j * slope * x)).mean())
     angle = np.angle(z)
     for _ in range(niter):
@@ -89,15 +110,21 @@ PHASE_FITS = "obs_id bigint, tile_id int, pol string, length double, intercept d
 def fit_phase(gains: DataFrame, niter: int = 1) -> DataFrame:
     """One row for each (obs, tile, pol) of ``gains`` (``freq_hz, re, im, weight``); a group that can't be fitted has null values.
 
-    A group is one tile's channels, at most a few thousand numbers, so grouped numpy is bounded.
+    A group is one tile's channels, at most some thousands of numbers, so it travels as one row, and a task takes many at a time.
     """
-
-    def one(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        found = fit_ramp(g["freq_hz"].to_numpy(float), g["re"].to_numpy(float) + 1j * g["im"].to_numpy(float), g["weight"].to_numpy(float), niter) or {}
-        row = {k.split()[0]: found.get(k.split()[0]) for k in PHASE_FITS.split(", ")[3:]}
-        return pd.DataFrame([{"obs_id": key[0], "tile_id": key[1], "pol": key[2]} | row])
-
-    return gains.select("obs_id", "tile_id", "pol", "freq_hz", "re", "im", "weight").groupBy("obs_id", "tile_id", "pol").applyInPandas(one, PHASE_FITS)
+    names = [k.split()[0] for k in PHASE_FITS.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = batch["points"]
+            ends = points.offsets.to_numpy() - points.offsets[0].as_py()
+            f, re, im, w = (c.to_numpy(zero_copy_only=False) for c in points.flatten().flatten())
+            found = [fit_ramp(f[a:b], re[a:b] + 1j * im[a:b], w[a:b], niter) or {} for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array([x.get(n) for x in found], pa.float64()) for n in names[3:]]], names=names)
+
+    point = F.struct(*[F.col(c).cast("double").alias(c) for c in ("freq_hz", "re", "im", "weight")])
+    tiles = gains.groupBy(F.col("obs_id").cast("bigint").alias("obs_id"), F.col("tile_id").cast("int").alias("tile_id"), "pol").agg(F.collect_list(point).alias("points"))
+    return tiles.mapInArrow(run, PHASE_FITS)
 
 
 def _one_round(rows: DataFrame, key: tuple[str, ...], values: tuple[str, ...], degree: int, threshold: float) -> DataFrame:

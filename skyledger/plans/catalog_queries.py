@@ -135,9 +135,9 @@ def _(transfers: DataFrame, rows: DataFrame) -> DataFrame:
     return rows.select("event_id", r(exprs.wrap_angle(F.expr("CAST(event_id * 37 % 1000000007 AS DOUBLE) / 1e7 - 40")), "angle"))
 
 
-@query("s3_slope_length", "SELECT obs_id, tile_id, round(re * 1e-7 * 299792458.0 / (2 * pi()), 6) AS length FROM gains WHERE chan_idx = 0", "gains")
+@query("s3_slope_length", "SELECT obs_id, tile_id, round(re * 1e-7 * 299792458.0 / (2 * pi()), 6) AS length, chan_idx FROM gains", "gains")
 def _(gains: DataFrame) -> DataFrame:
-    return gains.where("chan_idx = 0").select("obs_id", "tile_id", r(exprs.slope_to_length(F.col("re") * 1e-7), "length"))
+    return gains.select("obs_id", "tile_id", "chan_idx", r(exprs.slope_to_length(F.col("re") * 1e-7), "length"))
 
 
 @query("s4_number_list", "SELECT id, round(CAST(id AS DOUBLE) + 0.5 + obs_id, 3) AS total, CAST(4 AS INT) AS n FROM jobs", "jobs")
@@ -152,6 +152,11 @@ def _(subfiles: DataFrame) -> DataFrame:
     return subfiles.select("path", *[exprs.is_mode(F.col("mode"), k, "XYZ_").alias(k) for k in ("correlator", "vcs", "beamformer", "buffer", "no_capture")])
 
 
-@query("s7_integers", "SELECT event_id, event_id % 7 = 6 AND false AS number, regexp_matches(substr(text, 1, 4), '^[0-9]+$') AS digits FROM tool_lines", "tool_lines")
+_TEXTS = """SELECT event_id, CASE event_id % 9 WHEN 0 THEN CAST(event_id AS {s}) WHEN 1 THEN '-' || CAST(event_id AS {s}) WHEN 2 THEN ' ' || CAST(event_id AS {s}) || ' ' WHEN 3 THEN CAST(event_id AS {s}) || '.5' WHEN 4 THEN '99999999999999999999' || CAST(event_id AS {s})
+  WHEN 5 THEN '+' || CAST(event_id AS {s}) WHEN 6 THEN '' WHEN 7 THEN 'x' || CAST(event_id AS {s}) END AS text FROM {t}"""
+
+
+@query("s7_integers", ", t AS (" + _TEXTS.format(s="VARCHAR", t="tool_lines") + ") SELECT event_id, coalesce(regexp_matches(text, '^ *[+-]?[0-9]{1,18} *$'), false) AS number FROM t", "tool_lines")
 def _(lines: DataFrame) -> DataFrame:
-    return lines.select("event_id", exprs.is_integer(F.concat(F.lit("x"), "text")).alias("number"), exprs.is_integer(F.substring("text", 1, 4)).alias("digits"))
+    texts = lines.sparkSession.sql(_TEXTS.format(s="STRING", t="{lines}"), lines=lines)
+    return texts.select("event_id", exprs.is_integer(F.col("text")).alias("number"))
\ No newline at end of file

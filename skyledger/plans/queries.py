@@ -9,6 +9,7 @@ from ..operators import catalog, fits, ledger, requests, retry, solutions
 from ..sources import files as sources
 from ..streaming import streams
 from .registry import ORACLE_SQL, QUERIES, query, r
+from .request_queries import UNREQUESTED, schedule_files_requests
 from .standins import duck
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -141,7 +142,9 @@ _OPEN = "slurm_job_id IS NULL AND (realtime OR (NOT realtime AND download_comple
 
 
 def _jobs(rows: DataFrame) -> DataFrame:
-    return rows.where("id % 50 = 1").select(F.col("id").alias("job_id"), F.array("id").alias("request_ids"), F.when(F.col("id") % 100 == 1, "Ready").otherwise("Queued").alias("state"))
+    """One job for each request; those of most track none (a negative number) and are ready."""
+    tracked = F.col("id") % 50 == 3
+    return rows.select(F.col("id").alias("job_id"), F.array(F.when(tracked, F.col("id")).otherwise(-F.col("id") - 1)).alias("request_ids"), F.when(F.col("id") % 100 == 3, "Queued").otherwise("Ready").alias("state"))
 
 
 @query("b3_open_requests", f"SELECT id, realtime, bulk_request FROM requests WHERE {_OPEN}", "requests")
@@ -154,26 +157,22 @@ def _(rows):
     return requests.job_class(rows).select("id", "nice", "wall_hours", "partition")
 
 
-@query("e4_admission", f""", o AS (SELECT * FROM requests WHERE {_OPEN}), b AS (SELECT count(*) AS busy FROM requests WHERE id % 50 = 1 AND id % 100 <> 1),
-w AS (SELECT id, row_number() OVER (ORDER BY bulk_request ASC NULLS LAST, request_added_datetime ASC NULLS LAST, id) AS rank FROM o WHERE NOT realtime AND id % 50 <> 1)
-SELECT o.id, CASE WHEN w.rank <= 1000 - busy THEN w.rank END AS rank, CASE WHEN realtime THEN 'realtime' WHEN o.id % 50 = 1 THEN 'tracked' WHEN w.rank <= 1000 - busy THEN 'admit' ELSE 'queued' END AS decision FROM o CROSS JOIN b LEFT JOIN w ON o.id = w.id""", "requests")
+@query("e4_admission", f""", o AS (SELECT * FROM requests WHERE {_OPEN}), b AS (SELECT count(*) AS busy FROM requests WHERE id % 100 = 3),
+w AS (SELECT id, row_number() OVER (ORDER BY bulk_request ASC NULLS LAST, request_added_datetime ASC NULLS LAST, id) AS rank FROM o WHERE NOT realtime AND id % 50 <> 3)
+SELECT o.id, CASE WHEN w.rank <= 1000 - busy THEN w.rank END AS rank, CASE WHEN realtime THEN 'realtime' WHEN o.id % 50 = 3 THEN 'tracked' WHEN w.rank <= 1000 - busy THEN 'admit' ELSE 'queued' END AS decision FROM o CROSS JOIN b LEFT JOIN w ON o.id = w.id""", "requests")
 def _(rows):
     return requests.admit(requests.open_requests(rows), _jobs(rows), 1000).select("id", "rank", "decision")
 
 
-@query("d14_queue_counters", f"SELECT count(*) FILTER (WHERE realtime) AS open_realtime, count(*) FILTER (WHERE NOT realtime AND coalesce(bulk_request, false)) AS open_bulk, count(*) FILTER (WHERE NOT realtime AND NOT coalesce(bulk_request, false)) AS open_download, (SELECT count(*) FROM requests WHERE id % 50 = 1 AND id % 100 <> 1) AS in_progress FROM requests WHERE {_OPEN}", "requests")
+@query("d14_queue_counters", f"SELECT count(*) FILTER (WHERE realtime) AS open_realtime, count(*) FILTER (WHERE NOT realtime AND coalesce(bulk_request, false)) AS open_bulk, count(*) FILTER (WHERE NOT realtime AND NOT coalesce(bulk_request, false)) AS open_download, (SELECT count(*) FROM requests WHERE id % 100 = 3) AS in_progress FROM requests WHERE {_OPEN}", "requests")
 def _(rows):
     return requests.queue_counters(requests.open_requests(rows), _jobs(rows))
 
 
-@query("b2_unrequested", "SELECT DISTINCT obs_id FROM observations o WHERE mode = 'XYZ_CORRELATOR' AND project_id <> 'C123' AND obs_id > 1244980000 AND calibrator AND calibrator_source <> 'SUN' AND o_orderkey IN (SELECT observation_num FROM ledger WHERE filetype = 18 AND NOT deleted) AND obs_id NOT IN (SELECT cal_id FROM requests WHERE id % 3 = 0) AND o_orderkey % 5 <> 2", "observations", "ledger", "requests")
+@query("b2_unrequested", UNREQUESTED + " SELECT DISTINCT obs_id FROM u WHERE o_orderkey % 5 <> 2", "observations", "ledger", "requests")
 def _(obs, rows, asked):
-    schedule = obs.select(F.col("obs_id").alias("observation_number"), F.col("calibrator").alias("calibration"), F.col("calibrator_source").alias("calibrators"))
-    # the ledger's rows of an observation are keyed by its order
-    held = rows.select("observation_num", "filetype", "deleted", F.lit(None).cast("timestamp").alias("deleted_timestamp"))
-    held = held.join(obs.select(F.col("o_orderkey").alias("observation_num"), "obs_id"), "observation_num").drop("observation_num").withColumnRenamed("obs_id", "observation_num")
-    fitted = obs.where("o_orderkey % 5 = 2").select(F.col("obs_id").alias("obsid"))
-    return requests.unrequested_cal_obs(obs, schedule, held, fitted, asked.where("id % 3 = 0"), 1244980000, "XYZ_")
+    fitted = obs.select(F.when(F.col("o_orderkey") % 5 == 2, F.col("obs_id")).otherwise(-F.col("obs_id")).alias("obsid"))
+    return requests.unrequested_cal_obs(obs, *schedule_files_requests(obs, rows, asked, fitted), 1244980000, "XYZ_")
 
 
 @query("c3_fold_requests", "SELECT CAST(item AS BIGINT) AS id, arg_max(CASE WHEN success THEN CAST(event_id AS VARCHAR) ELSE 'none' END, (ts, event_id)) AS job, arg_max(CAST(event_id AS VARCHAR), (ts, event_id)) FILTER (WHERE NOT success) AS error FROM attempts GROUP BY item", "attempts")
@@ -188,9 +187,9 @@ def _(rows):
 
 
 # solutions
-@query("d2_coarse_ranges", ", c AS (SELECT DISTINCT obs_id, tile_id + 3 * (tile_id // 8) AS ch FROM tiles), i AS (SELECT *, ch - row_number() OVER (PARTITION BY obs_id ORDER BY ch) AS run FROM c), x AS (SELECT obs_id, min(ch) AS chan_from, max(ch) AS chan_to, count(*) AS n_chans FROM i GROUP BY obs_id, run) SELECT obs_id, CAST(row_number() OVER (PARTITION BY obs_id ORDER BY chan_from) - 1 AS INT) AS range_idx, chan_from, chan_to, n_chans FROM x", "tiles")
+@query("d2_coarse_ranges", ", c AS (SELECT DISTINCT obs_id, tile_id // 7 + 3 * (tile_id // 70) + tile_id % 7 AS ch FROM tiles), i AS (SELECT *, ch - row_number() OVER (PARTITION BY obs_id ORDER BY ch) AS run FROM c), x AS (SELECT obs_id, min(ch) AS chan_from, max(ch) AS chan_to, count(*) AS n_chans FROM i GROUP BY obs_id, run) SELECT obs_id, CAST(row_number() OVER (PARTITION BY obs_id ORDER BY chan_from) - 1 AS INT) AS range_idx, chan_from, chan_to, n_chans FROM x", "tiles")
 def _(tiles):
-    return solutions.coarse_ranges(tiles.select("obs_id", F.expr("CAST(tile_id + 3 * (tile_id div 8) AS INT) AS rec_chan")))
+    return solutions.coarse_ranges(tiles.select("obs_id", F.expr("CAST(tile_id div 7 + 3 * (tile_id div 70) + tile_id % 7 AS INT) AS rec_chan")))
 
 
 @query("d1_refant", "SELECT obs_id, min(tile_id) FILTER (WHERE NOT flag AND tile_id > 20) AS tile_id, 'Tile' || CAST(min(tile_id) FILTER (WHERE NOT flag AND tile_id > 20) AS VARCHAR) AS name FROM tiles GROUP BY obs_id", "tiles")
@@ -244,11 +243,12 @@ def _(gains):
 c AS (SELECT *, freq_hz - avg(CASE WHEN y IS NOT NULL THEN freq_hz END) OVER (PARTITION BY obs_id, tile_id, coarse) AS x FROM y),
 s AS (SELECT obs_id, tile_id, coarse, count(y) AS n_valid, sum(y * w) / sum(w) AS gain, sum(w * w) AS s, sum(w * w * x) AS sx, sum(w * w * y) AS sy, sum(w * w * x * x) AS sxx, sum(w * w * x * y) AS sxy FROM c WHERE y IS NOT NULL GROUP BY ALL),
 f AS (SELECT *, (s * sxy - sx * sy) / (s * sxx - sx * sx) AS slope FROM s), l AS (SELECT *, (sy - slope * sx) / s AS level FROM f),
-res AS (SELECT c.*, y - level - slope * x AS r, n_valid, gain FROM c JOIN l USING (obs_id, tile_id, coarse)), g AS (SELECT *, stddev_pop(r) OVER (PARTITION BY obs_id, tile_id, coarse) AS sigma FROM res)
-SELECT obs_id, tile_id, coarse, round(any_value(gain), 5) AS gain, round(any_value(sigma), 5) AS sigma_resid, any_value(n_valid) AS n_valid FROM g GROUP BY obs_id, tile_id, coarse""", "gains")
+res AS (SELECT c.*, y - level - slope * x AS r, n_valid, gain, slope FROM c JOIN l USING (obs_id, tile_id, coarse)), g AS (SELECT *, stddev_pop(r) OVER (PARTITION BY obs_id, tile_id, coarse) AS sigma FROM res),
+q AS (SELECT *, count(*) FILTER (WHERE r IS NOT NULL AND (sigma < 1e-10 OR abs(r) < 2 * sigma)) OVER (PARTITION BY obs_id, tile_id) / count(*) OVER (PARTITION BY obs_id, tile_id) AS q FROM g)
+SELECT obs_id, tile_id, coarse, round(any_value(gain), 5) AS gain, round(any_value(sigma), 5) AS sigma_resid, any_value(n_valid) AS n_valid, round(any_value(slope) * 1e6, 4) AS slope, round(any_value(q), 6) AS quality FROM q GROUP BY obs_id, tile_id, coarse""", "gains")
 def _(gains):
     out = solutions.fit_gains(gains.withColumn("pol", F.lit("XX")))
-    return out.select("obs_id", "tile_id", "coarse", r("gain", "gain", 5), r("sigma_resid", "sigma_resid", 5), "n_valid")
+    return out.select("obs_id", "tile_id", "coarse", r("gain", "gain", 5), r("sigma_resid", "sigma_resid", 5), "n_valid", r(F.col("pol1") * 1e6, "slope", 4), r("quality", "quality"))
 
 
 _FITS = ", t AS (SELECT obs_id, tile_id, 'XX' AS pol, any_value(rx) AS rx, avg(re) AS chi2dof, avg(im * im) AS sigma_resid, avg(re) * 100 AS length FROM gains GROUP BY obs_id, tile_id UNION ALL SELECT obs_id, tile_id, 'YY', any_value(rx), avg(re * re), avg(im), avg(im) * 100 FROM gains GROUP BY obs_id, tile_id)"
@@ -278,10 +278,10 @@ def _(gains):
     return fits.reject_outliers(_fits(gains), nstd=2).select("obs_id", "tile_id", "pol", "outlier")
 
 
-@query("d7_rx_lengths", _FITS + " SELECT obs_id, rx, pol, count(*) AS n, round(avg(length), 6) AS mean_length, round(quantile_cont(length, 0.5), 6) AS median_length FROM t GROUP BY obs_id, rx, pol", "gains")
+@query("d7_rx_lengths", _FITS + " SELECT obs_id, rx, pol, count(*) AS n, round(avg(length), 6) AS mean_length, round(quantile_cont(length, 0.25), 6) AS low_length, round(quantile_cont(length, 0.5), 6) AS median_length, round(quantile_cont(length, 0.75), 6) AS high_length FROM t GROUP BY obs_id, rx, pol", "gains")
 def _(gains):
     out = fits.rx_lengths(_fits(gains).withColumn("outlier", F.lit(False)))
-    return out.select("obs_id", "rx", "pol", "n", r("mean_length", "mean_length"), r(F.col("quartiles")[1], "median_length"))
+    return out.select("obs_id", "rx", "pol", "n", r("mean_length", "mean_length"), *[r(F.col("quartiles")[i], n) for i, n in enumerate(("low_length", "median_length", "high_length"))])
 
 
 @query("b10_pivot_fits", _FITS + " SELECT x.obs_id, x.tile_id, round(x.chi2dof, 6) AS chi2dof_xx, round(y.chi2dof, 6) AS chi2dof_yy, round(x.length, 6) AS length_xx, round(y.length, 6) AS length_yy FROM t x JOIN t y ON x.obs_id = y.obs_id AND x.tile_id = y.tile_id AND x.pol = 'XX' AND y.pol = 'YY'", "gains")
@@ -350,4 +350,4 @@ def _(obs):
 
 
 # further queries by area, registered as they are imported
-from . import catalog_queries, request_queries, solution_queries  # noqa: E402, F401
+from . import catalog_queries, lifecycle_queries, request_queries, solution_queries  # noqa: E402, F401

@@ -19,9 +19,9 @@ FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey""",
     "files": f"""
 SELECT '/data/' || CAST(o_orderkey % 3 AS STRING) || '/' || CASE o_orderkey % 11
   WHEN 0 THEN {_S} || '_' || {_S} || '_109.sub' WHEN 1 THEN {_S} || '_metafits.fits' WHEN 2 THEN {_S} || '_metafits_ppds.fits' WHEN 3 THEN {_S} || '.metafits'
-  WHEN 4 THEN {_S} || '_flags.zip' WHEN 5 THEN {_S} || '_ch123_beam00.vdif' WHEN 6 THEN {_S} || '_' || {_S} || '_ch123_beam00.fil' WHEN 7 THEN 'x' || {_S} || '.fits' WHEN 8 THEN {_S} || '.txt'
+  WHEN 4 THEN {_S} || CASE WHEN o_custkey % 3 = 0 THEN '_flag.zip' ELSE '_flags.zip' END WHEN 5 THEN {_S} || '_ch123_beam00.vdif' WHEN 6 THEN {_S} || '_' || {_S} || '_ch123_beam00.fil' WHEN 7 THEN 'x' || {_S} || '.fits' WHEN 8 THEN {_S} || '.txt'
   WHEN 10 THEN {_S} || '_' || @STAMP@ || '.fits.part' || CAST(o_custkey % 4 AS STRING)
-  ELSE {_S} || '_' || @STAMP@ || '_ch' || lpad(CAST(o_custkey % 256 AS STRING), 3, '0') || '_000.fits' END AS path, o_orderkey, o_orderdate AS modification_time
+  ELSE {_S} || '_' || @STAMP@ || '_ch' || lpad(CAST(o_custkey % 256 AS STRING), 3, '0') || '_00' || CAST(o_custkey % 2 AS STRING) || '.fits' END AS path, o_orderkey, o_orderdate AS modification_time
 FROM {{orders}}""",
     "ledger": """
 SELECT l_orderkey AS obs_id, l_orderkey AS observation_num, CAST(l_linenumber AS STRING) || '.fits' AS filename, CAST(l_suppkey AS STRING) AS host, CAST(floor(l_extendedprice) AS BIGINT) AS size,
