@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.exprs import basename
+from .order import backlog_order
 
 
 def rank_backlog(files: DataFrame, limit: int | None = None) -> DataFrame:
@@ -12,7 +12,7 @@ def rank_backlog(files: DataFrame, limit: int | None = None) -> DataFrame:
 
     A total order: Spark sorts by ranges, or keeps the first ``limit`` of each task.
     """
-    ordered = files.orderBy(F.col("priority").asc_nulls_last(), basename(F.col("path")), "path")
+    ordered = files.orderBy(*backlog_order())
     return ordered.limit(limit) if limit is not None else ordered
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import exprs
-from ..operators import catalog, fits, ledger, requests, retry, solutions
+from ..operators import catalog, fits, ledger, order, requests, retry, solutions
 from ..sources import files as sources
 from ..streaming import streams
 from .registry import ORACLE_SQL, QUERIES, query, r
@@ -72,6 +72,11 @@ def _(listing, obs):
     return retry.rank_backlog(_prioritised(listing, obs).where("valid"), 100).select("path", "priority")
 
 
+@query("e1_backlog_rank", _files_sql("SELECT path, priority, row_number() OVER (ORDER BY priority ASC NULLS LAST, split_part(path, '/', 4), path) AS rank FROM p"), *_VIEWS)
+def _(listing, obs):
+    return order.rank_files(_prioritised(listing, obs)).select("path", "priority", "rank")
+
+
 @query("a19_beam_names", "SELECT path, TRY_CAST(nullif(regexp_extract(split_part(path, '/', 4), '^([0-9]{10})_([0-9]{10})_ch([0-9]{1,3})_beam([0-9]{2})\\.(vdif|hdr|fil)$', 2), '') AS BIGINT) AS subobs_id, "
        "CASE WHEN ends_with(path, '.fil') THEN regexp_replace(path, '([0-9]{10})_[0-9]{10}(_ch[0-9]{1,3}_beam[0-9]{2}\\.[a-z]+)$', '\\1\\2') END AS stitched FROM files", "files")
 def _(listing):
