@@ -228,15 +228,27 @@ def _jones(gains: DataFrame) -> DataFrame:
     return gains.select("obs_id", F.lit(0).alias("time_idx"), F.col("tile_id").alias("ant_idx"), "chan_idx", *[v.alias(f"{p}_{x}") for p, c in cells.items() for x, v in zip(("re", "im"), c, strict=True)])
 
 
-@query("b8_normalise_to_ref", _JONES + """, q AS (SELECT j.obs_id, chan_idx, xr AS rxr, xi AS rxi, ar AS rar, ai AS rai, br AS rbr, bi AS rbi, yr AS ryr, yi AS ryi FROM j WHERE tile_id < 7),
-d AS (SELECT *, rxr * ryr - rxi * ryi - (rar * rbr - rai * rbi) AS dr, rxr * ryi + rxi * ryr - (rar * rbi + rai * rbr) AS di, xr * ryr - xi * ryi - (ar * rbr - ai * rbi) AS nr, xr * ryi + xi * ryr - (ar * rbi + ai * rbr) AS ni FROM j JOIN q USING (obs_id, chan_idx)),
-v AS (SELECT obs_id, tile_id, chan_idx, (nr * dr + ni * di) / nullif(dr * dr + di * di, 0) AS re, (ni * dr - nr * di) / nullif(dr * dr + di * di, 0) AS im FROM d)
-SELECT obs_id, tile_id AS ant_idx, chan_idx, round(re / (1 + abs(re)), 5) AS xx_re, round(im / (1 + abs(im)), 5) AS xx_im FROM v""", "gains")
+def _normalised_sql() -> str:
+    """All four products of each matrix with the inverse of the reference's."""
+    times = lambda p, q: (f"({p}r * {q}r - {p}i * {q}i)", f"({p}r * {q}i + {p}i * {q}r)")
+    minus = lambda p, q: tuple(f"({u} - {v})" for u, v in zip(p, q, strict=True))
+    det = minus(times("rx", "ry"), times("ra", "rb"))
+    tops = {"xx": minus(times("x", "ry"), times("a", "rb")), "xy": minus(times("a", "rx"), times("x", "ra")), "yx": minus(times("b", "ry"), times("y", "rb")), "yy": minus(times("y", "rx"), times("b", "ra"))}
+    cells = ", ".join(f"{re} AS {p}r, {im} AS {p}i" for p, (re, im) in tops.items())
+    shown = ", ".join(
+        f"round(({v}) / (1 + abs({v})), 5) + 0.0 AS {p}_{x}"  # no negative zeros
+        for p in tops for x, v in (("re", f"(({p}r * dr + {p}i * di) / nullif(dr * dr + di * di, 0))"), ("im", f"(({p}i * dr - {p}r * di) / nullif(dr * dr + di * di, 0))"))
+    )
+    return f"""{_JONES}, q AS (SELECT j.obs_id, chan_idx, xr AS rxr, xi AS rxi, ar AS rar, ai AS rai, br AS rbr, bi AS rbi, yr AS ryr, yi AS ryi FROM j WHERE tile_id < 7),
+d AS (SELECT obs_id, tile_id, chan_idx, {det[0]} AS dr, {det[1]} AS di, {cells} FROM j JOIN q USING (obs_id, chan_idx)) SELECT obs_id, tile_id AS ant_idx, chan_idx, {shown} FROM d"""
+
+
+@query("b8_normalise_to_ref", _normalised_sql(), "gains")
 def _(gains):
     """Every row; values are shown as x / (1 + |x|), which is exact to so many digits for small and large ones alike."""
     j = _jones(gains)
     out = solutions.normalise_to_ref(j, j.where("ant_idx < 7").select("obs_id", "ant_idx").distinct())
-    return out.select("obs_id", "ant_idx", "chan_idx", *[r(F.col(c) / (1 + F.abs(c)), c, 5) for c in ("xx_re", "xx_im")])
+    return out.select("obs_id", "ant_idx", "chan_idx", *[r(F.col(c) / (1 + F.abs(c)), c, 5) for p in solutions.POLS for c in (f"{p}_re", f"{p}_im")])
 
 
 @query("d10_clip_report", _JONES + ", a AS (SELECT obs_id, sqrt(xr * xr + xi * xi) AS a, sqrt(ar * ar + ai * ai) AS b, sqrt(br * br + bi * bi) AS c, sqrt(yr * yr + yi * yi) AS d FROM j) SELECT obs_id, count(*) FILTER (WHERE a > 2.1) + count(*) FILTER (WHERE b > 2.1) + count(*) FILTER (WHERE c > 2.1) + count(*) FILTER (WHERE d > 2.1) AS n_samples, count(*) FILTER (WHERE greatest(a, b, c, d) > 2.1) AS n_matrices, 4 * count(*) FILTER (WHERE greatest(a, b, c, d) > 2.1) AS n_values, round(max(a), 6) AS max_xx, round(max(d), 6) AS max_yy FROM a GROUP BY obs_id", "gains")
