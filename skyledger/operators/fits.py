@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import C_LIGHT, complex_product, known, phase, suffixed, wrap_angle
 from ..sources.durable import checkpointed
+from .quantiles import exact_quantiles
 
 
 def reject_outliers(fits: DataFrame, metrics: tuple[str, ...] = ("chi2dof", "sigma_resid"), nstd: float = 3.0, cross_pol: bool = True) -> DataFrame:
@@ -308,18 +309,21 @@ def pivot_phase_fits(fits: DataFrame, tiles: DataFrame) -> DataFrame:
 
 
 def rx_lengths(fits: DataFrame) -> DataFrame:
-    """Mean and quartiles of cable length by receiver over fits that aren't outliers."""
-    return fits.where("NOT outlier").groupBy("obs_id", "rx", "pol").agg(
-        F.count("*").alias("n"), F.avg("length").alias("mean_length"), F.expr("percentile(length, array(0.25, 0.5, 0.75))").alias("quartiles")
-    )
+    """Mean and exact quartiles of cable length by receiver over fits that aren't outliers."""
+    key = ("obs_id", "rx", "pol")
+    good = fits.where("NOT outlier")
+    means = good.groupBy(F.struct(*key).alias("_g")).agg(F.count("*").alias("n"), F.avg("length").alias("mean_length"))
+    quartiles = exact_quantiles(good, key, F.col("length"), (0.25, 0.5, 0.75)).select(F.struct(*key).alias("_g"), F.col("quantiles").alias("quartiles"))
+    return means.join(quartiles, "_g").select("_g.*", "n", "mean_length", "quartiles")
 
 
 def residual_spectrum(gains: DataFrame, fits: DataFrame) -> DataFrame:
-    """Median over tiles of the wrapped phase residual by (obs, flavor, pol, freq); missing values don't count."""
+    """Exact median over tiles of the wrapped phase residual by (obs, flavor, pol, freq); missing values don't count."""
     ramp = 2 * 3.141592653589793 / C_LIGHT * F.col("length") * F.col("freq_hz") + F.col("intercept")
     rows = gains.join(fits.select("obs_id", "tile_id", "pol", "flavor", "length", "intercept"), ["obs_id", "tile_id", "pol"])
     r = wrap_angle(phase(known(F.col("re")), known(F.col("im"))) - ramp)
-    return rows.groupBy("obs_id", "flavor", "pol", "freq_hz").agg(F.median(r).alias("residual"), F.count(r).alias("n_tiles"))
+    key = ("obs_id", "flavor", "pol", "freq_hz")
+    return exact_quantiles(rows, key, r, (0.5,)).select(*key, F.col("quantiles")[0].alias("residual"), F.col("n").alias("n_tiles"))
 
 
 def polynomial_text(coeffs: list[float], variable: str = "x") -> str:
