@@ -7,14 +7,20 @@ runs gives shards that all match the mixture.
 
 A source may hold any share of the rows: ranks are counted per (source, bucket
 of the seeded key), and offsets come from summed bucket counts, so no task sees
-a whole source. The same is done for the global order. Only ids, keys and sizes
-are shuffled, never texts.
+a whole source. The same is done for the global order, in cells of equal
+fractions. Rows that are equal in all that is ordered by are interchangeable:
+they travel as one row with a count until their cell is put in order, so that
+no task sees all copies either. Only ids, keys and sizes are shuffled, never
+texts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Equal runs of fractional ranks, each put in order by itself, and the most copies of a row that are made at a time.
+CELLS, STRETCH = 4096, 65_536
+
 
 def stratified_shards(
     df: DataFrame,
@@ -31,8 +37,9 @@ def stratified_shards(
     in all of these are interchangeable. Returns ``carry`` columns, ``shard`` (int) and
     ``slot`` (long, gapless from 0). Shard sizes differ by one row at most.
     A null source counts as a source of its own; an empty table gives no rows.
-    Sums of at most 4096 counts are the only work of a single task.
+    Sums of at most 4096 counts are the only work of a single task. A source may have up to 2^40 rows.
     """
+    ties = ["_key", *carry]
     rows = df.select(
         # nulls get a key of their own, apart from every string
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n")).alias("_source"),
@@ -40,7 +47,9 @@ def stratified_shards(
         F.col(order_key).alias("_key"),
         *carry,
     )
-    counts = rows.groupBy("_source", "_bucket").agg(F.count("*").alias("_n"))
+    # equal rows travel as one, with their number
+    rows = rows.groupBy("_source", "_bucket", *ties).agg(F.count("*").alias("_copies"))
+    counts = rows.groupBy("_source", "_bucket").agg(F.sum("_copies").alias("_n"))
     in_source = Window.partitionBy("_source")
     before = counts.select(
         "_source",
@@ -48,27 +57,39 @@ def stratified_shards(
         (F.sum("_n").over(in_source.orderBy("_bucket")) - F.col("_n")).alias("_before"),
         F.sum("_n").over(in_source).alias("_total"),
     )
-    ties = ["_key", *carry]
-    at = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy(*ties)) - 1
+    w = Window.partitionBy("_source", "_bucket").orderBy(*ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        rows.withColumn("_at", at)
+        rows.withColumn("_upto", F.sum("_copies").over(w))
         .join(before, ["_source", "_bucket"])
-        .withColumn("_fraction", (F.col("_before") + F.col("_at") + 0.5) / F.col("_total"))
-        .withColumn("_cell", F.floor(F.col("_fraction") * 4096).cast("int"))
-        .drop("_at", "_before", "_total", "_bucket")
+        .withColumn("_end", F.col("_before") + F.col("_upto"))
+        .withColumn("_start", F.col("_end") - F.col("_copies"))
     )
-    cells = ranked.groupBy("_cell").agg(F.count("*").alias("_n"))
+    # the copies of a row are cut where cells begin: rank i is in cell (i + 1/2) * CELLS div total
+    cell = lambda rank: f"((2 * ({rank}) + 1) * {CELLS}) div (2 * _total)"
+    first = lambda c: f"(({c}) * _total + {CELLS // 2 - 1}) div {CELLS}"
+    pieces = ranked.select(
+        "_source", *ties, "_total", "_start", "_end", F.explode(F.expr(f"sequence({cell('_start')}, {cell('_end - 1')})")).alias("_cell")
+    )
+    pieces = pieces.withColumns({"_start": F.greatest("_start", F.expr(first("_cell"))), "_end": F.least("_end", F.expr(first("_cell + 1")))}).where("_start < _end")
+    cells = pieces.groupBy("_cell").agg(F.sum(F.col("_end") - F.col("_start")).alias("_n"))
     whole = Window.partitionBy(F.lit(0))
     cells = cells.select(
         "_cell",
         (F.sum("_n").over(whole.orderBy("_cell")) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(whole).alias("_total"),
+        F.sum("_n").over(whole).alias("_rows"),
+    )
+    # copies become rows again only where their cell is put in order, a stretch at a time
+    spread = (
+        pieces.repartition("_cell")
+        .withColumn("_from", F.explode(F.expr(f"sequence(_start, _end - 1, {STRETCH}L)")))
+        .withColumn("_rank", F.explode(F.expr(f"sequence(_from, least(_from + {STRETCH - 1}, _end - 1))")))
     )
+    spread = spread.select("_cell", "_source", *ties, ((F.col("_rank") + 0.5) / F.col("_total")).alias("_fraction"))
     place = F.row_number().over(Window.partitionBy("_cell").orderBy("_fraction", "_source", *ties)) - 1
-    # at most 4096 rows, whatever the input
-    placed = ranked.withColumn("_at", place).join(F.broadcast(cells), "_cell").withColumn("_position", F.col("_before") + F.col("_at"))
-    shard = F.expr(f"(_position * {n_shards}) div _total")
-    start = F.expr(f"((_position * {n_shards}) div _total * _total + {n_shards - 1}) div {n_shards}")
+    # at most CELLS rows, whatever the input
+    placed = spread.withColumn("_at", place).join(F.broadcast(cells), "_cell").withColumn("_position", F.col("_before") + F.col("_at"))
+    shard = F.expr(f"(_position * {n_shards}) div _rows")
+    start = F.expr(f"((_position * {n_shards}) div _rows * _rows + {n_shards - 1}) div {n_shards}")
     return placed.select(*carry, shard.cast("int").alias("shard"), (F.col("_position") - start).cast("long").alias("slot"))
 
 
