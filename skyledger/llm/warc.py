@@ -17,11 +17,17 @@ CRLF = "\r\n"
 REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 NAMES = {**name2codepoint, "apos": 0x27, "nbsp": 0x20}
 #: Applied in order to the markup: what goes with its content (what is never closed goes to the end of the page, as in a browser),
-#: what ends a line, all other tags. A tag has no ``<`` inside, so that a search never reads a stretch of the page twice.
+#: what begins or ends a line, what parts the cells of a row, all other tags. A tag has no ``<`` inside, so that a search never reads a stretch of the page twice.
 WHOLE = [r"!--.*?(?:-->|\z)", *[rf"{tag}[^<>]*>.*?(?:</{tag}[^<>]*>|\z)" for tag in ("script", "style", "title")]]
+BLOCKS = (
+    "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h[1-6] head header hr html "
+    "legend li main menu nav ol option p pre search section select summary table tbody tfoot thead tr ul"
+).split()
+_REST = r"(?:[ \t\r\n\f/][^<>]*)?>"
 STRIP = [
     (rf"(?is)<(?:{'|'.join(WHOLE)})", ""),
-    (r"(?i)<(br|/p|/div|/h[1-6]|/li|/tr|/article|/nav|/footer)[ \t\r\n]*/?>", "\n"),
+    (rf"(?i)</?(?:{'|'.join(BLOCKS)}){_REST}", "\n"),
+    (rf"(?i)</?(?:td|th){_REST}", " "),
     (r"<[a-zA-Z/!?][^<>]*>", ""),
 ]
 SPACES = [(r"[ \t\r\f]+", " "), (r" ?\n[ \n]*", "\n")]
@@ -52,7 +58,8 @@ def decode_references(text: Column) -> Column:
 
 
 def html_to_text(html: Column) -> Column:
-    """Plain text of a page: no scripts, styles, comments or title; one line for each block; references decoded; white space collapsed."""
+    """Plain text of a page: no scripts, styles, comments or title; one line for each block and each row of a table, a space between its cells;
+    references decoded; white space collapsed (in preformatted text too)."""
     for pattern, to in STRIP:
         html = F.regexp_replace(html, pattern, to)
     html = decode_references(html)
