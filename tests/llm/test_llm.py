@@ -68,6 +68,21 @@ def test_warc_odd_pages(spark):
     assert any(r.block.startswith("title: ’é\r\n") for r in rows)
 
 
+def test_warc_blocks(spark):
+    """Cells, rows, sections, preformatted text, quotations and lists of terms don't run into each other; inline tags part nothing."""
+    html = (
+        "<table class=x><tr><th>n</th><td>a</td><td\n>b</td></tr><tr><td>c<td>d</table>x<section id='1'>s</section><pre>p  q</pre>r<BLOCKQUOTE>t</BLOCKQUOTE>"
+        "<dl><dt>u</dt><dd>v</dd></dl>one<b>two</b><i>3</i><prefix>4</prefix><th5>5<h5>6</h5>7<p/>8<ul><li>9<li>10</ul>"
+    )
+    pages = spark.createDataFrame([(1, "http://a/", html)], "page_id long, url string, html string")
+    [block] = [r.block for r in warc.op1(pages).collect() if r.record_type == "conversion"]
+    assert block == "n a b\nc d\nx\ns\np q\nr\nt\nu\nv\nonetwo345\n6\n7\n8\n9\n10"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.execute("INSERT INTO pages VALUES (1, 'http://a/', ?)", [html])
+    assert block in [r[-1] for r in con.execute(queries.ORACLE_SQL["op1_warc_derivatives"]).fetchall()]
+
+
 @pytest.mark.parametrize("piece", ["<!-- ", "<script ", "<script>", "</script", "<a ", "<", "<title>", "&#", "<br "])
 def test_warc_long_pages(spark, piece):
     pages = spark.createDataFrame([(1, "u", piece * 20_000)], "page_id long, url string, html string")
@@ -121,6 +136,41 @@ def test_shards(spark):
     assert sharding.op3(df.where("false")).count() == 0
 
 
+def plain_shards(rows, n_shards):
+    """Places by sorting each source and all rows, in plain Python; rows are (source, key, id)."""
+    sources = {}
+    for source, key, i in rows:
+        sources.setdefault(source, []).append((key, i))
+    placed = []
+    for source, held in sources.items():
+        held.sort()
+        placed += [((at + 0.5) / len(held), source, key, i) for at, (key, i) in enumerate(held)]
+    placed.sort()
+    n = len(placed)
+    shard = [p * n_shards // n for p in range(n)]
+    return sorted((i, k, p - shard.index(k)) for p, ((*_, i), k) in enumerate(zip(placed, shard, strict=True)))
+
+
+@pytest.mark.parametrize("stretch", [7, 65_536])
+def test_shards_of_equal_rows(spark, monkeypatch, stretch):
+    """A third and more of all rows are equal in everything: they count as many, and no task makes them all."""
+    monkeypatch.setattr(sharding, "STRETCH", stretch)
+    rng = random.Random(4)
+    key = lambda x: hashlib.md5(str(x).encode()).hexdigest()
+    rows = [("a", key("same"), 5)] * 9000 + [(rng.choice("abc"), key(i), i) for i in range(5000)] + [("c", key(3), 3)] * 40 + [("d", key(1), 1)] * 3
+    df = spark.createDataFrame(rows, "source string, order_key string, doc_id long")
+    out = sharding.stratified_shards(df, 16, carry=("doc_id",))
+    assert sorted(map(tuple, out.collect())) == plain_shards(rows, 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        by_task = sharding.stratified_shards(df, 16, carry=("doc_id",)).where("doc_id = 5").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(by_task) == 4 and max(r["count"] for r in by_task) < 3000
+    few = spark.createDataFrame([("a", "000", 1)] * 5, "source string, order_key string, doc_id long")
+    assert sorted(map(tuple, sharding.stratified_shards(few, 3, carry=("doc_id",)).collect())) == plain_shards([("a", "000", 1)] * 5, 3)
+
+
 def test_urls(spark):
     urls = [None, "", "no", "http://A.B.example.NET/en/x?q", "http://example.net/en", "http://example.net", "http://net/", "http://x.org/fr/", "http://x.com/de/y", "http://a.example.com/de/", "http://notexample.com/de/", "x://h\n/p"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
@@ -324,6 +374,33 @@ def test_components(spark):
     assert {got[i] for i in range(31)} == {0} and got[41] == got[50] == 40 and 60 not in got
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2])
+def test_fuzzy_lexicon_is_edit_distance(edits):
+    """Random lexicons over few letters, so that words lie close together, against plain dynamic programming."""
+    rng = random.Random(edits)
+    word = lambda low, high: "".join(rng.choice("abé") for _ in range(rng.randint(low, high)))
+    for _ in range(12):
+        terms = {word(3, 8): 1.0 for _ in range(12)}
+        stems = {word(3, 6): 1.0 for _ in range(4)}
+        lexicon = toxicity.FuzzyLexicon(terms, stems, edits=edits)
+        held, heads = [t for t in terms if len(t) >= toxicity.FUZZY_FROM], [t for t in stems if len(t) >= toxicity.FUZZY_FROM]
+        asked = [word(1, 10) for _ in range(80)] + list(terms) + [s + word(0, 5) for s in stems]
+        for w in asked:
+            near = min(((d, t) for t in held if (d := edit_distance(w, t)) <= edits), default=None)
+            stem = min(((d, t) for t in heads if (d := min(edit_distance(w[:n], t) for n in range(1, len(w) + 1))) <= edits), default=None)
+            assert lexicon.near(w) == (near and near[::-1]), (w, terms)
+            assert lexicon.near_stem(w) == (stem and stem[::-1]), (w, stems)
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     bad = ["grobnik", "fizzwart", "plonker"]
