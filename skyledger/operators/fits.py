@@ -360,9 +360,15 @@ def residual_poly(spectrum: DataFrame, max_order: int = 8) -> DataFrame:
     return spectrum.groupBy("obs_id", "flavor", "pol").applyInPandas(one, "obs_id bigint, flavor string, pol string, cost double, variable string, order int, coeffs array<double>, text string")
 
 
-def residual_report(spectrum: DataFrame) -> DataFrame:
-    """A row for each (obs, frequency) with one column for each flavour and polarisation, by name; their values are few."""
-    names = sorted(r["n"] for r in spectrum.select(F.concat_ws("_", "flavor", "pol").alias("n")).distinct().collect())
+def residual_report(spectrum: DataFrame, names: list[str] | None = None, max_columns: int = 1000) -> DataFrame:
+    """A row for each (obs, frequency) with one column for each flavour and polarisation (``flavor_pol``), by name.
+
+    ``names`` are the columns wanted; without them all that occur, which must be ``max_columns`` at most.
+    """
+    if names is None:
+        names = sorted(r["n"] for r in spectrum.select(F.concat_ws("_", "flavor", "pol").alias("n")).distinct().limit(max_columns + 1).collect())
+        if len(names) > max_columns:
+            raise ValueError(f"more than {max_columns} flavours and polarisations")
     return spectrum.withColumn("n", F.concat_ws("_", "flavor", "pol")).groupBy("obs_id", "freq_hz").pivot("n", names).agg(F.first("residual")).orderBy("obs_id", "freq_hz")
 
 

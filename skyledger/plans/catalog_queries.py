@@ -92,10 +92,11 @@ def _(lines: DataFrame) -> DataFrame:
     return sources.etag_manifest(lines.select(F.col("event_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content")), 16)
 
 
-@query("a9_plot_index_upsert", "SELECT id AS fitid, f AS filename, CASE WHEN f = 'b.png' THEN 30 WHEN id % 2 = 0 THEN 20 ELSE 10 END AS image_width, CASE WHEN f = 'b.png' THEN 40 WHEN id % 2 = 0 THEN 10 ELSE 20 END AS image_height, 2 AS version, 'now' AS generated_at FROM jobs, (SELECT unnest(['a.png', 'b.png']) AS f) WHERE f = 'a.png' OR id % 3 = 0", "jobs")
+@query("a9_plot_index_upsert", "SELECT id AS fitid, f AS filename, CASE WHEN f = 'b.png' THEN 30 WHEN id % 2 = 0 THEN 20 ELSE 10 END AS image_width, CASE WHEN f = 'b.png' THEN 40 WHEN id % 2 = 0 THEN 10 ELSE 20 END AS image_height, 2 AS version, 'now' AS generated_at FROM jobs, (SELECT unnest(['a.png', 'b.png']) AS f) WHERE f = 'a.png' OR id % 3 = 0 UNION ALL SELECT -id, f, 30, 40, 2, 'now' FROM jobs, (SELECT unnest(['a.png', 'b.png']) AS f) WHERE id % 3 <> 0", "jobs")
 def _(jobs: DataFrame) -> DataFrame:
     old = jobs.select(F.col("id").alias("fitid"), F.lit("a.png").alias("filename"), F.lit(10).alias("image_width"), F.lit(20).alias("image_height"), F.expr("CASE WHEN id % 2 = 0 THEN 1 ELSE 2 END AS version"))
-    new = jobs.where("id % 3 = 0").select(F.col("id").alias("fitid"), F.explode(F.array(F.lit("a.png"), F.lit("b.png"))).alias("filename"), F.lit(30).alias("image_width"), F.lit(40).alias("image_height"), F.lit(2).alias("version"))
+    # two thirds of the new documents are of other fits
+    new = jobs.select(F.expr("CASE WHEN id % 3 = 0 THEN id ELSE -id END AS fitid"), F.explode(F.array(F.lit("a.png"), F.lit("b.png"))).alias("filename"), F.lit(30).alias("image_width"), F.lit(40).alias("image_height"), F.lit(2).alias("version"))
     return sources.upsert_plot_index(old, new, "now")
 
 

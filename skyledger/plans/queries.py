@@ -59,7 +59,7 @@ def _(listing, obs):
 
 @query("a15_release_cal", _files_sql(f"SELECT path, CASE WHEN {_ARCH} THEN 'outgoing' ELSE 'dont_archive' END AS route FROM p WHERE obs_id IN (SELECT obs_id FROM observations WHERE o_orderkey % 3 = 0)"), *_VIEWS)
 def _(listing, obs):
-    return catalog.release_cal(_prioritised(listing, obs), obs.where("o_orderkey % 3 = 0"), True).select("path", "route")
+    return catalog.release_cal(_prioritised(listing, obs), obs.select(F.expr("CASE WHEN o_orderkey % 3 = 0 THEN obs_id ELSE -obs_id END AS obs_id")), True).select("path", "route")
 
 
 @query("a17_bucket", _files_sql("SELECT path, 'site-' || substr(CAST(obs_id AS VARCHAR), 1, 5) AS bucket FROM p WHERE valid"), *_VIEWS)
@@ -324,7 +324,8 @@ def _(gains):
 
 @query("b12_pad_channels", "SELECT obs_id, tile_id, array_to_string(list_transform([-1, 0, 1, 2, 3], lambda c: CASE WHEN c < 0 OR c = tile_id % 4 THEN 'none' ELSE CAST(c AS VARCHAR) END), ',') AS chans FROM (SELECT DISTINCT obs_id, tile_id FROM gains)", "gains")
 def _(gains):
-    have = gains.where("coarse <> tile_id % 4").select("obs_id", "tile_id", F.lit("XX").alias("pol"), "coarse", F.col("coarse").alias("chans")).distinct()
+    gains = gains.withColumn("coarse", F.expr("CASE WHEN coarse = tile_id % 4 THEN 99 ELSE coarse END"))
+    have = gains.select("obs_id", "tile_id", F.lit("XX").alias("pol"), "coarse", F.col("coarse").alias("chans")).distinct()
     expected = gains.select("obs_id", F.explode(F.array(*[F.lit(x) for x in (-1, 0, 1, 2, 3)])).alias("rec_chan")).distinct()
     return solutions.pad_channels(have, expected, ["chans"]).select("obs_id", "tile_id", F.array_join("chans", ",", "none").alias("chans"))
 

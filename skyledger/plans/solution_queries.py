@@ -20,9 +20,9 @@ def _(gains: DataFrame) -> DataFrame:
     return solutions.check_chanblocks(blocks, 20_000, 1_280_000, expected)[0]
 
 
-@query("d3_file_count", ", f AS (SELECT obs_id, count(DISTINCT rx) AS n_files FROM gains GROUP BY obs_id), w AS (SELECT obs_id, count(DISTINCT tile_id) AS n_ranges FROM gains WHERE tile_id < 40 OR obs_id % 2 = 0 GROUP BY obs_id) SELECT obs_id, coalesce(n_files, 0) AS n_files, coalesce(n_ranges, 0) AS n_ranges FROM f FULL JOIN w USING (obs_id) WHERE coalesce(n_files, 0) <> coalesce(n_ranges, 0)", "gains")
+@query("d3_file_count", ", f AS (SELECT obs_id, count(DISTINCT rx) AS n_files FROM gains GROUP BY obs_id), w AS (SELECT obs_id, count(DISTINCT CASE WHEN tile_id < 40 OR obs_id % 2 = 0 THEN tile_id ELSE tile_id % 40 - 40 END) AS n_ranges FROM gains GROUP BY obs_id) SELECT obs_id, coalesce(n_files, 0) AS n_files, coalesce(n_ranges, 0) AS n_ranges FROM f FULL JOIN w USING (obs_id) WHERE coalesce(n_files, 0) <> coalesce(n_ranges, 0)", "gains")
 def _(gains: DataFrame) -> DataFrame:
-    ranges = gains.where("tile_id < 40 OR obs_id % 2 = 0").select("obs_id", "tile_id").distinct()
+    ranges = gains.select("obs_id", F.expr("CASE WHEN tile_id < 40 OR obs_id % 2 = 0 THEN tile_id ELSE tile_id % 40 - 40 END AS tile_id")).distinct()
     return solutions.check_file_count(gains.select("obs_id", F.col("rx").alias("band")), ranges)
 
 
@@ -58,20 +58,22 @@ def _(gains: DataFrame) -> DataFrame:
     return fits.base_flags(rows, blocks, flags).select("obs_id", "tile_id", "chan_idx", "base_bad")
 
 
+#: Every 14th tile is listed under another number, and as many are listed twice.
+_ODD_TILES = "explode(CASE tile_id % 14 WHEN 0 THEN array(-1 - tile_id) WHEN 7 THEN array(tile_id, tile_id) ELSE array(tile_id) END) AS tile_id"
+
+
 @query("e8_phase_rejects", """, g AS (SELECT DISTINCT obs_id, tile_id, rx FROM gains), n AS (SELECT obs_id, tile_id, CASE WHEN tile_id % 7 = 0 THEN 'not exactly one tile' WHEN rx = 3 THEN 'flagged' WHEN tile_id % 5 = 1 THEN 'too few points or no fit' END AS reason FROM g)
 SELECT obs_id, tile_id, 'XX' AS pol, reason FROM n WHERE reason IS NOT NULL""", "gains")
 def _(gains: DataFrame) -> DataFrame:
     rows = gains.select("obs_id", "tile_id", "rx").distinct()
-    twice = rows.where("tile_id % 14 = 7")
-    tiles = rows.where("tile_id % 14 <> 0").unionAll(twice).select("obs_id", "tile_id", (F.col("rx") == 3).alias("flag"))
+    tiles = rows.select("obs_id", F.expr(_ODD_TILES), (F.col("rx") == 3).alias("flag"))
     fitted = rows.select("obs_id", "tile_id", F.lit("XX").alias("pol"), F.when(F.expr("tile_id % 5 <> 1"), F.lit(1.0)).alias("length"))
     return fits.phase_rejects(gains.withColumn("pol", F.lit("XX")), tiles, fitted)
 
 
 @query("e8_usable_gains", "SELECT obs_id, tile_id, count(*) AS n FROM gains WHERE rx <> 3 AND tile_id % 7 <> 0 GROUP BY obs_id, tile_id", "gains")
 def _(gains: DataFrame) -> DataFrame:
-    rows = gains.select("obs_id", "tile_id", (F.col("rx") == 3).alias("flag")).distinct()
-    tiles = rows.where("tile_id % 14 <> 0").unionAll(rows.where("tile_id % 14 = 7"))
+    tiles = gains.select("obs_id", "tile_id", "rx").distinct().select("obs_id", F.expr(_ODD_TILES), (F.col("rx") == 3).alias("flag"))
     return fits.usable_gains(gains, tiles).groupBy("obs_id", "tile_id").agg(F.count("*").alias("n"))
 
 
@@ -106,18 +108,22 @@ def _(gains: DataFrame, tiles: DataFrame, setups: DataFrame) -> DataFrame:
     return out.select("obs_id", "tile_id", "chan_idx", r("re", "re"), r("im", "im"))
 
 
-@query("a10_residual_report", ", c AS (SELECT obs_id, freq_hz, rx, chan_idx, count(*) AS n FROM gains WHERE rx < 2 GROUP BY ALL) SELECT obs_id, freq_hz, max(CASE WHEN rx = 0 THEN CAST(chan_idx + 0.5 AS DOUBLE) END) AS \"0_XX\", max(CASE WHEN rx = 1 THEN CAST(chan_idx + 0.5 AS DOUBLE) END) AS \"1_XX\" FROM c GROUP BY obs_id, freq_hz", "gains")
+_RX = range(10)
+
+
+@query("a10_residual_report", ", c AS (SELECT DISTINCT obs_id, freq_hz, rx, chan_idx FROM gains) SELECT obs_id, freq_hz, " + ", ".join(f'max(CASE WHEN rx = {i} THEN CAST(chan_idx + {i} + 0.5 AS DOUBLE) END) AS "{i}_XX"' for i in _RX) + " FROM c GROUP BY obs_id, freq_hz", "gains")
 def _(gains: DataFrame) -> DataFrame:
-    spectrum = gains.where("rx < 2").select("obs_id", "freq_hz", F.col("rx").cast("string").alias("flavor"), F.lit("XX").alias("pol"), (F.col("chan_idx") + 0.5).cast("double").alias("residual")).distinct()
-    return fits.residual_report(spectrum)
+    spectrum = gains.select("obs_id", "freq_hz", F.col("rx").cast("string").alias("flavor"), F.lit("XX").alias("pol"), (F.col("chan_idx") + F.col("rx") + 0.5).cast("double").alias("residual")).distinct()
+    return fits.residual_report(spectrum, [f"{i}_XX" for i in _RX])
 
 
 @query("b11_empty_solutions", ", x AS (SELECT obs_id, tile_id, tile_id % 4 <> 0 AS has FROM tiles) SELECT obs_id AS obsid, count(*) AS n_tiles, count(*) FILTER (WHERE NOT has) AS n_empty FROM x GROUP BY obs_id", "tiles")
 def _(tiles: DataFrame) -> DataFrame:
     from ..operators import requests
 
-    some = tiles.where("tile_id % 4 <> 0").select("obs_id", "tile_id", F.explode(F.array(F.lit("XX"), F.lit("YY"))).alias("pol"))
-    gains = some.where("tile_id % 4 = 1").withColumns({c: F.array(F.lit(1.0), F.lit(None).cast("double")) for c in ("gains", "pol0", "pol1", "sigma_resid")} | {"quality": F.lit(1.0)})
-    phases = some.where("tile_id % 4 > 1 AND pol = 'YY'").withColumns({c: F.lit(1.0) for c in ("length", "intercept", "sigma_resid", "chi2dof", "quality")})
+    # fits of other tiles than these have numbers that aren't in ``tiles``
+    every = tiles.select("obs_id", "tile_id", F.explode(F.array(F.lit("XX"), F.lit("YY"))).alias("pol"))
+    gains = every.withColumn("tile_id", F.expr("CASE WHEN tile_id % 4 = 1 THEN tile_id ELSE -1 - tile_id END")).withColumns({c: F.array(F.lit(1.0), F.lit(None).cast("double")) for c in ("gains", "pol0", "pol1", "sigma_resid")} | {"quality": F.lit(1.0)})
+    phases = every.withColumn("tile_id", F.expr("CASE WHEN tile_id % 4 > 1 AND pol = 'YY' THEN tile_id ELSE -1 - tile_id END")).withColumns({c: F.lit(1.0) for c in ("length", "intercept", "sigma_resid", "chi2dof", "quality")})
     header = requests.fit_header(tiles, fit_time="2024-01-01 00:00:00", creator="batch", code_version="1", niter=1, limit=20)
     return fits.count_empty(fits.assemble_solutions(tiles, gains, phases, header, 2))
