@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Speed of light in m/s (fixed value).
@@ -28,6 +30,11 @@ LEAP_GPS = [
 GPS_EPOCH_UNIX = 315_964_800
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import C_LIGHT, complex_product, known, phase, suffixed, wrap_angle
-from ..sources.durable import checkpointed
+from ..functions.exprs import C_LIGHT, complex_product, known, let, phase, suffixed, wrap_angle
 from .quantiles import exact_quantiles
 
 
@@ -128,46 +126,63 @@ def fit_phase(gains: DataFrame, niter: int = 1) -> DataFrame:
     return tiles.mapInArrow(run, PHASE_FITS)
 
 
-def _one_round(rows: DataFrame, key: tuple[str, ...], values: tuple[str, ...], degree: int, threshold: float) -> DataFrame:
-    """One round for all groups: ``_kept_v`` and ``_residual_v`` of each value v anew, and ``_same`` where no point of the group changed.
+def _median(numbers: Column) -> Column:
+    """The median of an array of numbers without nulls; null for none."""
+    n = F.size(numbers)
+    return F.when(n > 0, let(F.sort_array(numbers), lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2))
 
-    The polynomial is a sum of orthogonal ones over the kept points, each made from the two before it, so it needs nothing but sums of
-    the group. Every sum, median and count is a window over the same key: one exchange and one sort for the round.
+
+def _judged(points: Column, degree: int, threshold: float) -> Column:
+    """One round over a group's points (``x, y, good, kept, residual``): struct ``points, done``, with ``kept`` and ``residual`` anew.
+
+    The polynomial is a sum of orthogonal ones over the kept points, each made from the two before it, so it needs nothing but sums.
     """
-    w = Window.partitionBy(*key)
-    kept = {v: F.col(f"_kept_{v}") for v in values}
-    now = {f"_rest_{v}": F.col(v) for v in values} | {f"_p_{v}": F.lit(1.0) for v in values} | {f"_q_{v}": F.lit(0.0) for v in values} | {f"_before_{v}": F.lit(1.0) for v in values}
-    rows = rows.withColumns(now)
-    for _ in range(degree + 1):
-        sums = {}
-        for v in values:
-            p = F.col(f"_p_{v}")
-            for name, term in (("s", p * p), ("t", p * F.col(f"_rest_{v}")), ("u", F.col("_x") * p * p)):
-                sums[f"_{name}_{v}"] = F.sum(F.when(kept[v], term)).over(w)
-        rows, step = rows.withColumns(sums), {}
-        for v in values:
-            p, q, s = F.col(f"_p_{v}"), F.col(f"_q_{v}"), F.nullif(F.col(f"_s_{v}"), F.lit(0.0))
-            step[f"_rest_{v}"] = F.col(f"_rest_{v}") - F.coalesce(F.col(f"_t_{v}") / s, F.lit(0.0)) * p
-            step[f"_p_{v}"] = (F.col("_x") - F.coalesce(F.col(f"_u_{v}") / s, F.lit(0.0))) * p - F.coalesce(s / F.col(f"_before_{v}"), F.lit(0.0)) * q
-            step[f"_q_{v}"], step[f"_before_{v}"] = p, s
-        rows = rows.withColumns(step)
-    rows = rows.withColumns({f"_m_{v}": F.median(F.when(kept[v], F.col(f"_rest_{v}"))).over(w) for v in values} | {f"_n_{v}": F.count_if(kept[v]).over(w) for v in values})
-    away = {v: F.abs(F.col(f"_rest_{v}") - F.col(f"_m_{v}")) for v in values}
-    rows = rows.withColumns({f"_mad_{v}": F.median(F.when(kept[v], away[v])).over(w) for v in values} | {f"_size_{v}": F.max(F.when(kept[v], F.abs(v))).over(w) for v in values})
-    # a spread that is nothing but rounding is none
-    flat = {v: F.col(f"_mad_{v}") <= 1e-14 * F.col(f"_size_{v}") for v in values}
-    few = {v: F.col(f"_n_{v}") < degree + 2 for v in values}
-    told = {f"_new_{v}": F.when(few[v], F.col(f"_residual_{v}")).when(flat[v], F.lit(0.0)).otherwise(away[v] / F.col(f"_mad_{v}")) for v in values}
-    rows = rows.withColumns(told)
-    near = {v: F.col(f"_good_{v}") & (F.col(f"_new_{v}") <= threshold) for v in values}
-    rows = rows.withColumns({f"_left_{v}": F.count_if(near[v]).over(w) for v in values})
-    # a polynomial through fewer points than it has places for would bend to them: the set stays
-    after = {v: F.when(few[v] | flat[v] | (F.col(f"_left_{v}") < degree + 2), kept[v]).otherwise(near[v]) for v in values}
-    changed = reduce(Column.__or__, [after[v] != kept[v] for v in values])
-    rows = rows.withColumn("_same", ~F.bool_or(changed).over(w))
-    state = [after[v].alias(f"_kept_{v}") for v in values] + [F.col(f"_new_{v}").alias(f"_residual_{v}") for v in values]
-    drop = {f"_{n}_{v}" for v in values for n in ("rest", "p", "q", "before", "s", "t", "u", "m", "n", "mad", "size", "new", "left", "kept", "residual")}
-    return rows.select(*[c for c in rows.columns if c not in drop], *state)
+    same = ("x", "y", "good", "kept", "residual")
+    point = lambda r, **more: F.struct(*[r[c].alias(c) for c in same if c not in more], *[c.alias(n) for n, c in more.items()])
+    none = F.struct(*[F.lit(0.0).alias(c) for c in "stu"])
+
+    def add(acc: Column, r: Column) -> Column:
+        p = r["p"]
+        return F.when(r["kept"], F.struct((acc["s"] + p * p).alias("s"), (acc["t"] + p * r["rest"]).alias("t"), (acc["u"] + r["x"] * p * p).alias("u"))).otherwise(acc)
+
+    def lowered(rows: Column, sums: Column, before: Column) -> Column:
+        s = F.nullif(sums["s"], F.lit(0.0))
+        share, centre, back = (F.coalesce(x, F.lit(0.0)) for x in (sums["t"] / s, sums["u"] / s, s / F.nullif(before, F.lit(0.0))))
+        scale = let(F.struct(share.alias("share"), centre.alias("centre"), back.alias("back")), lambda k: F.transform(
+            rows, lambda r: point(r, rest=r["rest"] - k["share"] * r["p"], p=(r["x"] - k["centre"]) * r["p"] - k["back"] * r["q"], q=r["p"])
+        ))
+        return F.struct(scale.alias("rows"), sums["s"].alias("before"))
+
+    start = F.transform(points, lambda r: point(r, rest=r["y"], p=F.lit(1.0), q=F.lit(0.0)))
+    state = F.struct(start.alias("rows"), F.lit(1.0).alias("before"))
+    fitted = F.aggregate(
+        F.sequence(F.lit(0), F.lit(degree)), state, lambda a, _: let(F.aggregate(a["rows"], none, add), lambda sums: lowered(a["rows"], sums, a["before"])), lambda a: a["rows"]
+    )
+
+    def judge(rows: Column) -> Column:
+        kept = F.filter(rows, lambda r: r["kept"])
+        return let(_median(F.transform(kept, lambda r: r["rest"])), lambda m: let(
+            F.struct(
+                m.alias("m"), _median(F.transform(kept, lambda r: F.abs(r["rest"] - m))).alias("mad"), F.array_max(F.transform(kept, lambda r: F.abs(r["y"]))).alias("size"), F.size(kept).alias("n")
+            ),
+            lambda k: settle(rows, k),
+        ))
+
+    def settle(rows: Column, k: Column) -> Column:
+        # a spread that is nothing but rounding is none
+        few, flat = k["n"] < degree + 2, k["mad"] <= 1e-14 * k["size"]
+        told = lambda r: F.when(few, r["residual"]).when(flat, F.lit(0.0)).otherwise(F.abs(r["rest"] - k["m"]) / k["mad"])
+        return let(F.transform(rows, lambda r: point(r, was=r["kept"], residual=told(r))), lambda new: let(near_of(new), lambda near: closed(near, few | flat)))
+
+    def near_of(new: Column) -> Column:
+        return F.transform(new, lambda r: point(r, was=r["was"], kept=F.coalesce(r["good"] & (r["residual"] <= threshold), F.lit(False))))
+
+    def closed(near: Column, idle: Column) -> Column:
+        # a polynomial through fewer points than it has places for would bend to them: the set stays
+        stays = idle | (F.size(F.filter(near, lambda r: r["kept"])) < degree + 2) | F.forall(near, lambda r: r["kept"] == r["was"])
+        return let(stays, lambda end: F.struct(F.transform(near, lambda r: point(r, kept=F.when(end, r["was"]).otherwise(r["kept"]))).alias("points"), end.alias("done")))
+
+    return let(fitted, judge)
 
 
 def reject_by_polynomial(rows: DataFrame, key: tuple[str, ...], place: str, values: tuple[str, ...], good: str, degree: int = 2, threshold: float = 5.0, rounds: int = 10) -> DataFrame:
@@ -175,27 +190,33 @@ def reject_by_polynomial(rows: DataFrame, key: tuple[str, ...], place: str, valu
 
     A round fits the kept points, and judges all that were ``good`` (and finite) at the start by the distance of their residual from the
     median over the median of such distances (of the kept ones, unscaled); so a point may come back. A group is done
-    when nothing changes, and all at once after ``rounds``. With fewer than ``degree + 2`` points there is no judgement (residual null); no spread makes
-    all residuals 0. Only groups that aren't done go into the next round, each round on a checkpointed table.
+    when nothing changes, and after ``rounds``. With fewer than ``degree + 2`` points there is no judgement (residual null); no spread makes
+    all residuals 0.
+
+    A group is one tile's channels, at most some thousands of rows, so it travels as one row, in the order of ``place``: one exchange for all
+    rounds, which are steps of a fold over built-in functions. No column may be of a type without an order (a map).
     """
-    w = Window.partitionBy(*key)
-    low, span = F.min(place).over(w), F.max(place).over(w) - F.min(place).over(w)
-    start = {"_x": F.coalesce((F.col(place) - low) * 2.0 / F.nullif(span, F.lit(0)) - 1, F.lit(0.0))}
-    for v in values:
-        start[f"_good_{v}"] = F.coalesce(F.col(good) & known(F.col(v)).isNotNull(), F.lit(False))
-        start[f"_kept_{v}"], start[f"_residual_{v}"] = start[f"_good_{v}"], F.lit(None).cast("double")
-    live, done = rows.withColumns(start), None
-    for _ in range(rounds):
-        after = checkpointed(_one_round(live, key, values, degree, threshold))
-        same = after.where("_same").drop("_same")
-        done = same if done is None else done.unionByName(same)
-        live = after.where("NOT _same").drop("_same")
-        if live.isEmpty():
-            break
-    else:
-        done = live if done is None else done.unionByName(live)
-    out = done.withColumnsRenamed({f"_{n}_{v}": f"{n}_{v}" for n in ("kept", "residual") for v in values})
-    return out.drop("_x", *[f"_good_{v}" for v in values])
+    held = [c for c in rows.columns if c != place]
+    packed = rows.groupBy(F.struct(*key).alias("_g")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(place), *held))).alias("_rows"), F.min(place).alias("_low"), (F.max(place) - F.min(place)).alias("_span")
+    )
+
+    def folded(v: str) -> Column:
+        x = lambda r: F.coalesce((r[place] - F.col("_low")) * 2.0 / F.nullif(F.col("_span"), F.lit(0)) - 1, F.lit(0.0))
+        usable = lambda r: F.coalesce(r[good] & known(r[v]).isNotNull(), F.lit(False))
+        nothing = F.lit(None).cast("double")
+        points = F.transform("_rows", lambda r: F.struct(x(r).alias("x"), r[v].cast("double").alias("y"), usable(r).alias("good"), usable(r).alias("kept"), nothing.alias("residual")))
+        # fields in the order in which a round returns them
+        order = ("x", "y", "good", "residual", "kept")
+        tidy = lambda a: F.transform(a, lambda r: F.struct(*[r[c].alias(c) for c in order]))
+        one = lambda s: let(_judged(s["points"], degree, threshold), lambda n: F.struct(tidy(n["points"]).alias("points"), n["done"].alias("done")))
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(rounds)), F.struct(tidy(points).alias("points"), F.lit(False).alias("done")), lambda s, _: F.when(s["done"], s).otherwise(one(s)), lambda s: s["points"]
+        )
+
+    told = packed.select("_rows", *[folded(v).alias(f"_p{i}") for i, v in enumerate(values)])
+    flat = told.select(F.inline(F.arrays_zip(F.col("_rows").alias("_r"), *[F.col(f"_p{i}").alias(f"_p{i}") for i in range(len(values))])))
+    return flat.select(*[F.col("_r")[c].alias(c) for c in rows.columns], *[F.col(f"_p{i}")[n].alias(f"{n}_{v}") for i, v in enumerate(values) for n in ("kept", "residual")])
 
 
 def base_flags(gains: DataFrame, blocks: DataFrame, tile_flags: DataFrame) -> DataFrame:
