@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,8 +27,10 @@ def either_case(word: str) -> str:
 ASSIGN = "({})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)".format("|".join(map(either_case, ("password", "passwd", "secret", "token", "api_?key"))))
 BASE: list[tuple[str, str]] = [("assign", ASSIGN), ("access", "AKIA[A-Z0-9]+"), ("hex", "[0-9a-f]{24,}")]
 KINDS = ["assign", "access", "hex", "entropy"]
-#: Stands for a character of a base match while candidates are looked for; in texts it counts as a space then.
-COVER = "\x01"
+#: So many characters of a key in a row are in every match of kind access or hex, and in every candidate of the default rule.
+RUN = "[A-Za-z0-9+/_=-]{20}"
+#: Beyond any place in a text.
+LAST = 2**31 - 1
 
 
 @dataclass(frozen=True)
@@ -62,12 +65,15 @@ PORTION = 128
 
 def _before(values: Column, join: Callable[[Column, Column], Column]) -> Column:
     """For each of ``values`` (integers) what ``join`` makes of 0 and all those before it."""
-    portion = lambda c: F.slice(values, c * PORTION + 1, F.lit(PORTION))
-    portions = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / PORTION).cast("int"))).otherwise(F.array().cast("array<int>"))
     grow = lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x)))
-    totals = F.transform(portions, lambda c: F.aggregate(portion(c), F.lit(0), join))
-    starts = F.aggregate(totals, F.array(F.lit(0)), grow)
-    return _let(starts, lambda s: F.flatten(F.transform(portions, lambda c: _let(F.aggregate(portion(c), F.array(F.get(s, c)), grow), lambda r: F.slice(r, 1, F.size(r) - 1)))))
+
+    def totals(v: Column) -> Column:
+        portion = lambda c: F.slice(v, c * PORTION + 1, F.lit(PORTION))
+        portions = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.floor((F.size(v) - 1) / PORTION).cast("int"))).otherwise(F.array().cast("array<int>"))
+        starts = F.aggregate(F.transform(portions, lambda c: F.aggregate(portion(c), F.lit(0), join)), F.array(F.lit(0)), grow)
+        return _let(starts, lambda s: F.flatten(F.transform(portions, lambda c: _let(F.aggregate(portion(c), F.array(F.get(s, c)), grow), lambda r: F.slice(r, 1, F.size(r) - 1)))))
+
+    return _let(values, totals)
 
 
 def _matches(text: Column, pattern: str, kind: str) -> Column:
@@ -116,20 +122,31 @@ def window_entropy(candidate: Column, window: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, step, lambda acc: acc["best"])
 
 
-def _holds(text: Column, kind: str) -> Column:
-    """A cheap test that every text with a match passes."""
+def _holds(text: Column, run: Column, kind: str) -> Column:
+    """A cheap test that every text with a match passes; ``run`` tells whether the text matches ``RUN``, as it does wherever a key of kind access or hex stands."""
     if kind == "access":
-        return text.contains("AKIA")
-    return text.rlike("[0-9a-f]{24}" if kind == "hex" else "|".join(map(either_case, ("passw", "secret", "token", "api"))))
+        return run & text.contains("AKIA")
+    if kind == "hex":
+        return run & text.rlike("[0-9a-f]{24}")
+    # words without an i, whose lower case depends on the locale
+    return _let(F.lower(text), lambda t: reduce(Column.__or__, [t.contains(word) for word in ("passw", "secret", "token", "key")]))
+
+
+def _clear(base: Column, candidates: Column) -> Column:
+    """Those of ``candidates`` that share no character with any of ``base``; both are spans sorted by start, and candidates don't overlap.
+
+    In one order of both, the latest end of the base spans before a candidate and the least start of those after it decide, and
+    both are running totals, so the work doesn't grow with the product of the two.
+    """
+    is_base, latest = (lambda x: x["kind"] != "entropy"), (lambda a, b: F.greatest(a, b))
 
+    def among(every: Column) -> Column:
+        ended = _before(F.transform(every, lambda x: F.when(is_base(x), x["end"]).otherwise(0)), latest)
+        ahead = F.reverse(_before(F.transform(F.reverse(every), lambda x: F.when(is_base(x), F.lit(LAST) - x["start"]).otherwise(0)), latest))
+        free = lambda x, i, e, a: ~is_base(x) & (F.get(e, i) <= x["start"]) & (F.lit(LAST) - F.get(a, i) >= x["end"])
+        return _let(F.struct(ended.alias("e"), ahead.alias("a")), lambda t: F.filter(every, lambda x, i: free(x, i, t["e"], t["a"])))
 
-def _covered(text: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
-    """``text`` with each character of its kept matches replaced by ``COVER``, which stands nowhere else in it."""
-    pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    clean = lambda c: F.translate(c, COVER, " ")
-    piece = lambda x: F.concat(clean(x["p"]), F.when(x["m"].isNull(), "").when(keep(x["m"]), F.repeat(F.lit(COVER), F.length(x["m"]))).otherwise(clean(x["m"])))
-    return F.array_join(F.transform(F.arrays_zip(matches.alias("m"), pieces.alias("p")), piece), "")
+    return F.when((F.size(base) > 0) & (F.size(candidates) > 0), _let(F.array_sort(F.concat(base, candidates)), among)).otherwise(candidates)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -148,7 +165,7 @@ def find_secrets(df: DataFrame, text_col: str = "text", out: str = "secret_spans
     Null texts count as empty and have none. Texts are scanned whole, in time that grows with the text however many
     matches it has. All other columns are kept as they are, whatever their names; ``out`` takes the place of one of its name.
     """
-    text, base, clear = F.coalesce(F.col(text_col), F.lit("")), free_name(df, "base"), free_name(df, "clear")
+    text, base, clear, run = F.coalesce(F.col(text_col), F.lit("")), *[free_name(df, c) for c in ("base", "clear", "run")]
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,match:string>>")
     keep = {
         "assign": lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6,
@@ -156,8 +173,8 @@ def find_secrets(df: DataFrame, text_col: str = "text", out: str = "secret_spans
         "hex": lambda m: F.lit(True),
     }
     of_match = lambda test: lambda x: test(x["match"])
-    of_kind = lambda kind: lambda x: x["kind"] == kind
-    found = [F.when(_holds(text, k), F.filter(_matches(text, p, k), of_match(keep[k]))).otherwise(none) for k, p in BASE]
+    df = df.withColumn(run, text.rlike(RUN))
+    found = [F.when(_holds(text, F.col(run), k), F.filter(_matches(text, p, k), of_match(keep[k]))).otherwise(none) for k, p in BASE]
     df = df.withColumn(base, F.array_sort(F.concat(*found)))
 
     def likely(x: Column) -> Column:
@@ -168,21 +185,12 @@ def find_secrets(df: DataFrame, text_col: str = "text", out: str = "secret_spans
             allowed = allowed | x["match"].rlike(pattern)
         return F.when(allowed | (level > math.log2(entropy.window)), False).otherwise(window_entropy(x["match"], entropy.window) >= level)
 
-    # candidates clear of a kind: those of the text in which its matches are covered, where covers count as part of a candidate
-    shown = lambda x: F.concat_ws(":", x["start"].cast("string"), x["match"])
-    candidates = F.when(text.rlike(entropy.candidate), _matches(text, entropy.candidate, "entropy")).otherwise(none)
-    covering = entropy.candidate.replace("[", "[" + COVER, 1)
-    df = df.withColumn(clear, F.transform(candidates, shown))
-    for kind, pattern in BASE:
-        apart = F.transform(F.filter(_matches(_covered(text, pattern, keep[kind]), covering, "entropy"), lambda x: ~x["match"].contains(COVER)), shown)
-        df = df.withColumn(clear, F.when(F.exists(base, of_kind(kind)) & (F.size(clear) > 0), F.array_intersect(clear, apart)).otherwise(F.col(clear)))
-
-    def read(x: Column) -> Column:
-        start, match = F.substring_index(x, ":", 1).cast("int"), F.substring_index(x, ":", -1)
-        return F.struct(start.alias("start"), F.lit(KINDS.index("entropy")).alias("rank"), F.lit("entropy").alias("kind"), (start + F.length(match)).alias("end"), match.alias("match"))
-
-    spans = F.transform(F.array_sort(F.concat(base, F.filter(F.transform(clear, read), likely))), lambda x: x.dropFields("match"))
-    return df.withColumn(out, spans).drop(base, clear)
+    may = F.col(run) if entropy.candidate == EntropyRule.candidate else text.rlike(entropy.candidate)
+    candidates = F.when(may, _matches(text, entropy.candidate, "entropy")).otherwise(none)
+    df = df.withColumn(clear, candidates)
+    df = df.withColumn(clear, _clear(F.col(base), F.col(clear)))
+    spans = F.transform(F.array_sort(F.concat(base, F.filter(clear, likely))), lambda x: x.dropFields("match"))
+    return df.withColumn(out, spans).drop(base, clear, run)
 
 
 def redact(df: DataFrame, spans_col: str = "secret_spans", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
