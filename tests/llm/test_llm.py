@@ -263,6 +263,21 @@ def test_long_text_of_secrets(spark):
         assert found.text.count("[SECRET]") == n and (found.base, found.clear) == ("a", "b")
 
 
+def test_candidates_clear_of_base_spans(spark):
+    """The running totals against every pair, for spans that touch, nest, repeat or are absent."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(300):
+        cuts = sorted(rng.sample(range(400), 2 * rng.randrange(0, 40)))
+        free = [(a, b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        base = sorted((a, a + rng.randrange(1, rng.choice((5, 60)))) for a in (rng.randrange(400) for _ in range(rng.randrange(0, 200 if k % 9 == 0 else 6))))
+        rows.append((k, [(a, 0, "assign", b) for a, b in base], [(a, 3, "entropy", b) for a, b in free]))
+    span = "array<struct<start:int,rank:int,kind:string,end:int>>"
+    df = spark.createDataFrame(rows, f"k int, base {span}, free {span}")
+    for r in df.withColumn("got", secrets._clear(F.col("base"), F.col("free"))).collect():
+        assert [tuple(x) for x in r.got] == [tuple(c) for c in r.free if not any(b.start < c.end and c.start < b.end for b in r.base)]
+
+
 def test_winnowing(spark, monkeypatch):
     rng = random.Random(5)
     items = [" ".join(words(rng, n)) for n in (30, 13, 20, 5, 1)] + [None, "", "..."]
