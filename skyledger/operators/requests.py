@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import is_mode, slot_of
 from ..sources.commits import CommittedTables
+from .order import running
 
 #: States in which a job is over.
 FINISHED = ("Cancelled", "Error", "Ready")
@@ -174,34 +175,60 @@ def is_named(events: DataFrame) -> Column:
     return named | F.coalesce(F.col("kind").isin(*SUBMITS), F.lit(False)) if "kind" in events.columns else named
 
 
+def _at() -> Column:
+    return F.struct("ts", "event_id")
+
+
+def _held(events: DataFrame) -> DataFrame:
+    """``id, _from, _to, _job``: from when to when (null: still) a request has the job that a computing submission set."""
+    sets = events.where(F.array_contains("touches", "slurm_job_id")).select(F.explode("request_ids").alias("id"), _at().alias("_from"), F.col("payload")["slurm_job_id"].try_cast("bigint").alias("_job"))
+    held = sets.withColumn("_to", F.lead("_from").over(Window.partitionBy("id").orderBy("_from")))
+    return held.where("_job IS NOT NULL AND (_to IS NULL OR _from < _to)").distinct()
+
+
 def resolve_requests(events: DataFrame) -> DataFrame:
     """Each event (after ``apply_rules``) once for each request it touches, as ``id``.
 
     Submissions and events without a ``slurm_job_id`` touch their ``request_ids``; other events touch the requests
-    whose last computing submission before them, by (ts, event_id), set that job.
+    whose last computing submission before them, by (ts, event_id), set that job. An event of a job that many requests
+    share gives as many rows: what needs only the last event or a number takes ``running`` along the job's times instead.
     """
     if "slurm_job_id" not in events.columns:
         return events.withColumn("id", F.explode("request_ids"))
-    named = is_named(events)
-    at = F.struct("ts", "event_id")
-    sets = events.where(F.array_contains("touches", "slurm_job_id")).select(F.explode("request_ids").alias("id"), at.alias("_from"), F.col("payload")["slurm_job_id"].try_cast("bigint").alias("_job"))
-    held = sets.withColumn("_to", F.lead("_from").over(Window.partitionBy("id").orderBy("_from"))).where("_job IS NOT NULL").distinct()
-    by_job = events.where(~named).withColumn("_at", at).join(held, (F.col("slurm_job_id") == F.col("_job")) & (F.col("_at") > F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to"))))
+    named, held = is_named(events), _held(events)
+    by_job = events.where(~named).withColumn("_at", _at()).join(held, (F.col("slurm_job_id") == F.col("_job")) & (F.col("_at") > F.col("_from")) & (F.col("_to").isNull() | (F.col("_at") < F.col("_to"))))
     return events.where(named).withColumn("id", F.explode("request_ids")).unionByName(by_job.select(*events.columns, "id"))
 
 
+def _sliced(rows: DataFrame) -> DataFrame:
+    """Adds ``_slice``, the hour of ``_at``; what has no time because it lies after all events (``_open``) has the last."""
+    return rows.withColumn("_slice", F.when(F.col("_open"), F.lit(2**62)).otherwise(F.floor(F.unix_seconds(F.col("_at.ts").cast("timestamp")) / 3600)))
+
+
+def _along() -> list[Column]:
+    """Order along a job's times: of equal ones an end goes before an event, and a start after it."""
+    return [F.col("_open").asc(), F.col("_at").asc(), F.col("_step").asc()]
+
+
 def fold_requests(events: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Current row of each request: for each field what the last event that touches it wrote, which may be null.
 
-    ``events``: ``event_id, ts, request_ids, payload (map), touches (array of fields)`` and, where there are, ``kind``
+    ``events``: ``event_id, ts (a time or a number), request_ids, payload (map), touches (array of fields)`` and, where there are, ``kind``
     (which then gives payload and touches by ``RULES``) and ``slurm_job_id``; values stay strings. One aggregation with
-    partial results, whatever the number of events of a request. Events are taken as accepted (see ``validate_events``).
+    partial results, whatever the number of events of a request. Of the events of a job a request needs the last one of each field before
+    it leaves the job, so events aren't repeated for the requests that share it. Events are taken as accepted (see ``validate_events``).
     """
     fields = FIELDS if fields is None else fields
-    rows = resolve_requests(apply_rules(events)).select("ts", "event_id", "payload", "touches", "id")
-    at = F.struct("ts", "event_id")
-    last = [F.max_by(F.struct(F.col("payload")[f].alias("v")), F.when(F.array_contains("touches", f), at)).alias(f) for f in fields]
-    return rows.groupBy("id").agg(*last).select("id", *[F.col(f"{f}.v").alias(f) for f in fields])
+    ruled = apply_rules(events)
+    last = [f"_{i}" for i in range(len(fields))]
+    written = [F.when(F.array_contains("touches", f), F.struct(_at().alias("at"), F.col("payload")[f].alias("v"))).alias(n) for f, n in zip(fields, last, strict=True)]
+    rows = ruled.where(is_named(ruled)).select(F.explode("request_ids").alias("id"), *written)
+    if "slurm_job_id" in events.columns:
+        told = ruled.where(~is_named(ruled)).select(F.col("slurm_job_id").try_cast("bigint").alias("_job"), F.lit(False).alias("_open"), _at().alias("_at"), F.lit(1).alias("_step"), *written)
+        asked = _held(ruled).select("_job", F.col("_to").isNull().alias("_open"), F.col("_to").alias("_at"), F.lit(0).alias("_step"), "id", "_from")
+        known = running(_sliced(told.unionByName(asked, allowMissingColumns=True)), ["_job"], ["_slice"], _along(), {n: F.max for n in last}).where("_step = 0")
+        rows = rows.unionByName(known.select("id", *[F.when(F.col(n)["at"] > F.col("_from"), F.col(n)).alias(n) for n in last]))
+    return rows.groupBy("id").agg(*[F.max(n).alias(n) for n in last]).select("id", *[F.col(n)["v"].alias(f) for f, n in zip(fields, last, strict=True)])
 
 
 def check_touched(events: DataFrame, requests: DataFrame) -> DataFrame:
