@@ -234,10 +234,19 @@ def fold_requests(events: DataFrame, fields: list[str] | None = None) -> DataFra
 def check_touched(events: DataFrame, requests: DataFrame) -> DataFrame:
     """Events that don't hit exactly the requests they name: ``event_id, n_named, n_hit``.
 
-    An event keyed by its compute job names no number (``n_named`` is null), so it is one of these if it hits none.
+    An event keyed by its compute job names no number (``n_named`` is null), so it is one of these if it hits none. Its hits are counted along the
+    job's times: requests that have come to the job before it, less those that have left.
     """
-    ruled = apply_rules(events)
-    hits = resolve_requests(ruled).select("event_id", "id").join(requests.select("id").withColumn("_hit", F.lit(1)), "id", "left").groupBy("event_id").agg(F.count("_hit").alias("n_hit"))
+    ruled, there = apply_rules(events), requests.groupBy("id").agg(F.count("*").alias("n_hit"))
+    hits = ruled.where(is_named(ruled)).select("event_id", F.explode("request_ids").alias("id")).join(there, "id").select("event_id", "n_hit")
+    if "slurm_job_id" in events.columns:
+        told = ruled.where(~is_named(ruled)).select(F.col("slurm_job_id").try_cast("bigint").alias("_job"), _at().alias("_at"), F.lit(1).alias("_step"), "event_id", F.lit(0).cast("bigint").alias("n_hit"))
+        held = _held(ruled).join(there, "id")
+        come = held.select("_job", F.col("_from").alias("_at"), F.lit(2).alias("_step"), "n_hit")
+        left = held.where("_to IS NOT NULL").select("_job", F.col("_to").alias("_at"), F.lit(0).alias("_step"), (-F.col("n_hit")).alias("n_hit"))
+        along = told.unionByName(come, allowMissingColumns=True).unionByName(left, allowMissingColumns=True).withColumn("_open", F.lit(False))
+        hits = hits.unionByName(running(_sliced(along), ["_job"], ["_slice"], _along(), {"n_hit": F.sum}).where("_step = 1").select("event_id", "n_hit"))
+    hits = hits.groupBy("event_id").agg(F.sum("n_hit").alias("n_hit"))
     named = F.when(is_named(events) & F.col("request_ids").isNotNull(), F.size("request_ids").cast("bigint"))
     rows = ruled.select("event_id", named.alias("n_named")).join(hits, "event_id", "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("bigint")))
     return rows.where("n_named <> n_hit OR n_named IS NULL AND n_hit = 0")

@@ -58,6 +58,20 @@ def test_fold_does_not_pair_events_with_requests(spark, events):
     assert not range_joins(out)
 
 
+def test_touched_does_not_pair_events_with_requests(spark, events):
+    data, df = events
+    there = spark.createDataFrame([(i,) for i in range(30) if i % 3 != 1] + [(5,)], "id long")
+    weight = {i: 1 + (i == 5) for i in range(30) if i % 3 != 1}
+    count = dict.fromkeys((r[0] for r in data), 0)
+    for e, i in touched(data):
+        count[e] += weight.get(i, 0)
+    named = {r[0]: len(r[3]) if r[3] is not None else None for r in data}
+    out = requests.check_touched(df, there)
+    got = sorted((r.event_id, r.n_named, r.n_hit) for r in out.collect())
+    assert got == sorted((e, named[e], n) for e, n in count.items() if (n == 0 if named[e] is None else n != named[e]))
+    assert not range_joins(out)
+
+
 def test_running_over_slices(spark):
     rng = random.Random(3)
     data = [(rng.choice(["a", "b", None]), rng.randrange(400), i, rng.choice([None, rng.randrange(90)])) for i in range(500)]
