@@ -123,9 +123,6 @@ def slot_of(gps: Column) -> Column:
     return F.floor(gps / SLOT)
 
 
-def slots_of(start: Column, end: Column) -> Column:
-    """The slots that a window touches, as an array."""
-    return F.sequence(slot_of(start), slot_of(end))
 
 
 def suffixed(df: DataFrame, suffix: str, keep: tuple[str, ...]) -> DataFrame:

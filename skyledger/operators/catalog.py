@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.exprs import basename, bucket_of, extension, is_mode, number_list, slot_of, slots_of, stem
+from ..functions.exprs import basename, bucket_of, extension, is_mode, number_list, slot_of, stem
+from .order import running
 
 #: File type codes.
 HW_LFILES, FLAG, PPD, VOLTAGES, VISIBILITIES, VDIF, FILTERBANK = 8, 10, 14, 17, 18, 19, 20
@@ -95,17 +96,16 @@ def dispatch_subfiles(headers: DataFrame, host_mode: str, dumps: DataFrame, free
 
     ``host_mode`` C takes correlator and voltage modes, B beamformer modes. A mode that is both counts as
     correlator first, so B hosts ignore it and don't free it, unless ``free_corr_bf``.
-    ``dumps``: windows ``start_gps, end_gps``, end excluded; cut at the first and last subfile, they are joined by the slots of
-    ``exprs.SLOT`` seconds that they span.
+    ``dumps``: windows ``start_gps, end_gps``, end excluded, of any length and number: a subfile is in one of them if the latest
+    end of those that have started by then is after it, which is a running maximum along time.
     """
-    mode = F.col("mode")
-    starts = headers.select("subobs_id").distinct().withColumn("_slot", slot_of(F.col("subobs_id")))
-    ends = headers.agg(F.min("subobs_id").alias("_low"), (F.max("subobs_id") + 1).alias("_high"))  # one row
-    windows = dumps.select("start_gps", "end_gps").distinct().crossJoin(F.broadcast(ends))
-    windows = windows.select(F.greatest("start_gps", "_low").alias("start_gps"), F.least("end_gps", "_high").alias("end_gps")).where("start_gps < end_gps")
-    windows = windows.withColumn("_slot", F.explode(slots_of(F.col("start_gps"), F.col("end_gps"))))
-    hit = starts.join(windows, "_slot").where("subobs_id >= start_gps AND subobs_id < end_gps").select("subobs_id").distinct()
-    rows = headers.join(hit.withColumn("_dump", F.lit(True)), "subobs_id", "left")
+    mode, top = F.col("mode"), F.lit(2**63 - 1)
+    files = headers.withColumns({"_at": F.col("subobs_id"), "_step": F.lit(1), "_end": F.lit(None).cast("bigint")})
+    # a window without a start or an end is open there
+    windows = dumps.select(F.col("start_gps").cast("bigint").alias("_at"), F.lit(0).alias("_step"), F.coalesce(F.col("end_gps").cast("bigint"), top).alias("_end"))
+    along = files.unionByName(windows, allowMissingColumns=True).withColumn("_slot", slot_of(F.col("_at"))).withColumn("_span", F.floor(F.col("_slot") / 1024))
+    rows = running(along, [], ["_slot", "_span"], [F.col("_at").asc(), F.col("_step").asc()], {"_end": F.max}).where("_step = 1")
+    rows = rows.withColumn("_dump", F.col("_end") > F.col("subobs_id")).select(*headers.columns, "_dump")
     corr, vcs, beam = (is_mode(mode, k, mode_prefix) for k in ("correlator", "vcs", "beamformer"))
     action = (
         F.when(F.col("_dump"), "dump")

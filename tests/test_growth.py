@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import order, requests
+from skyledger.operators import catalog, order, requests
 
 EVENTS = "event_id long, ts timestamp, kind string, request_ids array<long>, slurm_job_id long, payload map<string,string>"
 
@@ -84,3 +84,18 @@ def test_running_over_slices(spark):
         got = order.running(df, ["k"], slices, [F.col("t").asc(), F.col("i").asc()], {"v": F.max, "n": F.sum})
         assert {r.i: (r.v, r.n) for r in got.collect()} == want
     assert {r.v for r in order.running(df, [], ["_b", "_c"], [F.col("t").asc()], {"v": F.max}).where("t = 399 OR t = 398").collect()} <= {max(v for *_, v in data if v is not None)}
+
+
+def test_dispatch_of_long_windows(spark):
+    """Windows that span everything cost a row each, not one for each slot; those that overlap, touch, are empty or open at an end count as before."""
+    rng = random.Random(5)
+    files = [(i, 8 * rng.randrange(2**28)) for i in range(300)] + [(1000, 512), (1001, 511), (1002, 8 * 2**28)]
+    windows = [(s, s + rng.choice([-8, 0, 8, 512, 2**20])) for s in (8 * rng.randrange(2**28) for _ in range(60))] + [(s, s + 4096) for _, s in files[:20]] + [(e - 4096, e) for _, e in files[20:40]]
+    h = spark.createDataFrame(files, "path long, subobs_id long").withColumn("mode", F.lit("CORRELATOR"))
+    for more in ([], [(0, 512)], [(0, 2**40)], [(None, 4096)]):
+        d = spark.createDataFrame(windows + more, "start_gps long, end_gps long")
+        out = catalog.dispatch_subfiles(h, "C", d)
+        got = {r.path for r in out.where("action = 'dump'").collect()}
+        assert got == {i for i, s in files if any((a is None or s >= a) and s < b for a, b in windows + more)}
+        assert out.columns == ["path", "subobs_id", "mode", "action", "pause", "free"] and out.count() == len(files)
+    assert "Generate explode(sequence" not in out._jdf.queryExecution().optimizedPlan().toString() and not range_joins(out)
