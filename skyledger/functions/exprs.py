@@ -123,7 +123,5 @@ def slot_of(gps: Column) -> Column:
     return F.floor(gps / SLOT)
 
 
-
-
 def suffixed(df: DataFrame, suffix: str, keep: tuple[str, ...]) -> DataFrame:
     return df.withColumnsRenamed({c: c + suffix for c in df.columns if c not in keep})

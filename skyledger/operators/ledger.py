@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import bucket_of, extension
 from ..sources.commits import CommittedTables
@@ -15,23 +15,50 @@ def append_data_files(new_files: DataFrame, observations: DataFrame, bucket_pref
     return rows.join(known, "observation_num", "left_semi"), rows.join(known, "observation_num", "left_anti")
 
 
+_KEY = ["observation_num", "filename"]
+
+
+def _side_by_side(data_files: DataFrame, updates: DataFrame) -> DataFrame:
+    """Ledger and updates (``_asked``) dealt by file, with what an update sets as ``_to``.
+
+    Almost every file has one row, so rows travel as they are: partial sums would hold a task's whole share of the files and save nothing. All shuffle
+    partitions are used, as the rows are so small that those put together by their bytes have millions.
+    """
+    asked = updates.select(*_KEY, F.lit(True).alias("_asked"), F.struct("location", "bucket", "folder").alias("_to"))
+    both = data_files.withColumn("_asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+    return both.repartition(int(data_files.sparkSession.conf.get("spark.sql.shuffle.partitions")), *_KEY)
+
+
+def _counts() -> dict[str, Column]:
+    """Rows of a file in the ledger (an unknown file has none) and updates of it."""
+    named = F.col("observation_num").isNotNull() & F.col("filename").isNotNull()
+    return {"n_updates": F.count_if("_asked"), "n_rows": F.count_if(~F.col("_asked") & named)}
+
+
+def _checked(data_files: DataFrame, updates: DataFrame) -> DataFrame:
+    """``observation_num, filename, n_updates, n_rows`` of each file with updates."""
+    return _side_by_side(data_files, updates).groupBy(*_KEY).agg(*[c.alias(n) for n, c in _counts().items()]).where("n_updates > 0")
+
+
+_GOOD = "n_updates = 1 AND n_rows = 1"
+
+
 def mark_archived(data_files: DataFrame, updates: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ledger, violations): the ledger with location columns of ``updates`` set, by observation and file name.
 
     An update must touch exactly one row; others change nothing and are returned as violations with ``n_rows``.
     Repeated updates of one file count as one violation each.
     """
-    key = ["observation_num", "filename"]
-    matches = data_files.groupBy(*key).agg(F.count("*").alias("n_rows"))
-    asked = updates.groupBy(*key).agg(F.count("*").alias("n_updates"), F.max(F.struct("location", "bucket", "folder")).alias("to"))
-    checked = asked.join(matches, key, "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
-    good = checked.where("n_rows = 1 AND n_updates = 1").select(*key, "to")
-    out = data_files.join(good, key, "left").select(
-        *[c for c in data_files.columns if c not in ("remote_archived", "location", "bucket", "folder")],
-        (F.col("remote_archived") | F.col("to").isNotNull()).alias("remote_archived"),
-        *[F.when(F.col("to").isNotNull(), F.col(f"to.{c}")).otherwise(F.col(c)).alias(c) for c in ("location", "bucket", "folder")],
+    over = Window.partitionBy(*_KEY)
+    rows = _side_by_side(data_files, updates).withColumns({n: c.over(over) for n, c in (_counts() | {"_new": F.max("_to")}).items()}).where("NOT _asked")
+    rows = rows.withColumn("_new", F.when(F.expr(_GOOD), F.col("_new")))
+    kept = [c for c in data_files.columns if c not in ("remote_archived", "location", "bucket", "folder")]
+    out = rows.select(
+        *[F.col(c).cast(data_files.schema[c].dataType).alias(c) if c in _KEY else F.col(c) for c in kept],
+        (F.col("remote_archived") | F.col("_new").isNotNull()).alias("remote_archived"),
+        *[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in ("location", "bucket", "folder")],
     )
-    return out, checked.where("n_rows <> 1 OR n_updates <> 1").select(*key, "n_updates", "n_rows")
+    return out, _checked(data_files, updates).where(f"NOT ({_GOOD})")
 
 
 FILES = "data_files"

@@ -5,7 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import catalog, order, requests
+from skyledger.operators import catalog, ledger, order, requests
+from skyledger.sources.commits import CommittedTables
+from skyledger.sources.durable import new_folder
 
 EVENTS = "event_id long, ts timestamp, kind string, request_ids array<long>, slurm_job_id long, payload map<string,string>"
 
@@ -99,3 +101,25 @@ def test_dispatch_of_long_windows(spark):
         assert got == {i for i, s in files if any((a is None or s >= a) and s < b for a, b in windows + more)}
         assert out.columns == ["path", "subobs_id", "mode", "action", "pause", "free"] and out.count() == len(files)
     assert "Generate explode(sequence" not in out._jdf.queryExecution().optimizedPlan().toString() and not range_joins(out)
+
+
+def test_updates_travel_without_map_sides(spark):
+    """The ledger's rows are dealt once, with no sums or sorts before that, which would hold all files of a task; keys that are null match nothing."""
+    cols = "observation_num long, filename string, size long, remote_archived boolean, location int, bucket string, folder string"
+    rng = random.Random(11)
+    key = lambda: (rng.choice([None, *range(12)]), rng.choice([None, "a", "b", "c"]))
+    held = [(*key(), i, rng.random() < 0.2, None, "old", None) for i in range(60)]
+    asked = [(*key(), i, "b", None) for i in range(25)]
+    updates = spark.createDataFrame(asked, "observation_num int, filename string, location int, bucket string, folder string")
+    out, bad = ledger.mark_archived(spark.createDataFrame(held, cols), updates)
+    n = lambda rows, k: 0 if None in k else sum(r[:2] == k for r in rows)
+    good = {r[:2]: r for r in asked if n(held, r[:2]) == 1 and n(asked, r[:2]) == 1}
+    want = [(*h[:3], True, *good[h[:2]][2:]) if h[:2] in good else h for h in held]
+    assert good and out.schema.simpleString() == spark.createDataFrame([], cols).schema.simpleString()
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    assert {tuple(r) for r in bad.collect()} == {(*k, sum(r[:2] == k for r in asked), n(held, k)) for k in {r[:2] for r in asked} - set(good)}
+    for df in (out, bad):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+        before = plan[plan.index("Exchange hashpartitioning") :]
+        assert not any(x in before for x in ("Aggregate", "Sort"))
