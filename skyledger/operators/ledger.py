@@ -80,9 +80,8 @@ def archive_batch(tables: CommittedTables, batch: str, updates: DataFrame, bucke
     at = tables.snapshot()
     held = tables.read(FILES, _buckets(updates, bucket_prefix), at)
     out, violations = mark_archived(held, updates)
-    bad = violations.select("observation_num", "filename")
-    good = updates.join(bad, ["observation_num", "filename"], "left_anti")
-    changed = _buckets(good, bucket_prefix)
+    # a batch that is published already has nothing to look for
+    changed = [] if batch in at.batches else _buckets(_checked(held, updates).where(_GOOD), bucket_prefix)
     if changed:
         tables.commit(batch, replaces={FILES: out.where(F.col("obs_bucket").isin(changed)).select(*held.columns)}, partition=_BY_BUCKET, based_on=at)
     return violations

@@ -123,3 +123,15 @@ def test_updates_travel_without_map_sides(spark):
         assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
         before = plan[plan.index("Exchange hashpartitioning") :]
         assert not any(x in before for x in ("Aggregate", "Sort"))
+
+
+def test_a_published_update_runs_nothing_again(spark, monkeypatch):
+    tables = CommittedTables(spark, new_folder(spark, "ledger"))
+    files = spark.createDataFrame([(1000000001, "a", False, None, None, None, -1)], "observation_num long, filename string, remote_archived boolean, location int, bucket string, folder string, trigger_id long")
+    ledger.append_batch(tables, "one", files, files.select(F.col("observation_num").alias("obs_id")), "s-")
+    updates = files.select("observation_num", "filename", F.lit(2).alias("location"), F.lit("b").alias("bucket"), F.lit("f").alias("folder"))
+    asked, buckets = [], ledger._buckets
+    monkeypatch.setattr(ledger, "_buckets", lambda *a: asked.append(1) or buckets(*a))
+    assert ledger.archive_batch(tables, "set", updates, "s-").count() == 0 and len(asked) == 2
+    assert ledger.archive_batch(tables, "set", updates, "s-").count() == 0 and len(asked) == 3
+    assert [(r.remote_archived, r.bucket) for r in tables.read(ledger.FILES).collect()] == [(True, "b")]
