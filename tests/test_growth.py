@@ -135,3 +135,20 @@ def test_a_published_update_runs_nothing_again(spark, monkeypatch):
     assert ledger.archive_batch(tables, "set", updates, "s-").count() == 0 and len(asked) == 2
     assert ledger.archive_batch(tables, "set", updates, "s-").count() == 0 and len(asked) == 3
     assert [(r.remote_archived, r.bucket) for r in tables.read(ledger.FILES).collect()] == [(True, "b")]
+
+
+def test_dump_of_long_windows(spark):
+    """A window of any length takes few rows in the join, and still each of its files once."""
+    rng = random.Random(9)
+    files = [(f"{i:04}", 1000 + 8 * rng.randrange(2**18), i if i % 3 == 0 else None) for i in range(400)]
+    span = 512 * requests.SPAN
+    starts = [0, 1000, *(8 * rng.randrange(2**18) for _ in range(20)), 3 * span, 3 * span + 1, 3 * span - 1]
+    dumps = [(i, s, s + d, 9000 + i) for i, (s, d) in enumerate((s, d) for s in starts for d in (-8, 0, 8, 511, 512, span - 1, span, 2 * span, 2**40))]
+    f = spark.createDataFrame(files, "path string, subobs_id long, trigger_id long").withColumn("mode", F.lit("CORRELATOR"))
+    d = spark.createDataFrame(dumps, "request_id long, start_gps long, end_gps long, trigger_id long")
+    got = sorted(tuple(r) for r in requests.select_dump(f, d).collect())
+    assert got == sorted((i, p, s, t if t is not None else u) for i, a, b, u in dumps for p, s, t in files[2:] if (a == 0 or s >= a) and s <= b)
+    places = spark.range(200).select(F.col("id").alias("a"), F.explode(F.array(*[F.col("id") + n for n in (0, 1, 62, 63, 64, 300, 4500, 9000)])).alias("b")).withColumn("p", requests._places(F.col("a"), F.col("b"))).collect()
+    for r in places[::7]:
+        assert sorted(x for p in r.p for x in range(p.number * requests.SPAN**p.level, (p.number + 1) * requests.SPAN**p.level)) == list(range(r.a, r.b + 1))
+    assert spark.range(1).select(F.size(requests._places(F.lit(5).cast("long"), F.lit(100_000).cast("long"))).alias("n")).first().n < 300
