@@ -152,3 +152,43 @@ def test_dump_of_long_windows(spark):
     for r in places[::7]:
         assert sorted(x for p in r.p for x in range(p.number * requests.SPAN**p.level, (p.number + 1) * requests.SPAN**p.level)) == list(range(r.a, r.b + 1))
     assert spark.range(1).select(F.size(requests._places(F.lit(5).cast("long"), F.lit(100_000).cast("long"))).alias("n")).first().n < 300
+
+
+def shuffled(spark, run):
+    """What ``run`` returns, and the rows that its jobs dealt out."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group := f"shuffled-{random.random()}", group)
+    try:
+        out = run()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = {s for j in sc.statusTracker().getJobIdsForGroup(group) for s in sc.statusTracker().getJobInfo(j).stageIds}
+    done = [sc._jsc.sc().statusStore().lastStageAttempt(s) for s in stages]
+    return out, sum(s.shuffleWriteRecords() for s in done if s.status().toString() == "COMPLETE")
+
+
+def test_dump_deals_each_file_once(spark, monkeypatch):
+    """Without a broadcast a file is dealt once; the same in many slices and chunks. Files without path or time, and windows without a bound, are in no result."""
+    rng = random.Random(4)
+    files = [(f"{i:05}", 1000 + rng.randrange(2**20) if i % 50 else 5000, i if i % 3 == 0 else None) for i in range(400)] + [(None, 7000, None), (None, 7001, 3), ("x", None, None)]
+    starts = [0, 1, 999, 5000, *(rng.randrange(2**20) for _ in range(6))]
+    dumps = [(i, s, s + d, 9000 + i) for i, (s, d) in enumerate((s, d) for s in starts for d in (-1, 0, 300, 2**14, 2**16 + 5, 2**40))] + [(900, None, 2**40, 1), (901, 0, None, 2), (902, 5000, 5000, None)]
+    f = spark.createDataFrame(files, "path string, subobs_id long, trigger_id long").withColumn("mode", F.lit("CORRELATOR"))
+    d = spark.createDataFrame(dumps, "request_id long, start_gps long, end_gps long, trigger_id long")
+    held = [(p, s, t) for p, s, t in files[2:] if p is not None and s is not None]
+    bounded = [x for x in dumps if x[1] is not None and x[2] is not None]
+    want = sorted(((i, p, s, t if t is not None else u) for i, a, b, u in bounded for p, s, t in held if (a == 0 or s >= a) and s <= b), key=str)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = spark.range(5000).selectExpr("CAST(id AS STRING) AS path", "1000 + 80 * id AS subobs_id", "CAST(NULL AS BIGINT) AS trigger_id", "'CORRELATOR' AS mode")
+        _, dealt = shuffled(spark, lambda: len(requests.select_dump(many, d.where("request_id IN (1, 2, 13, 20)")).collect()))
+        assert 5000 <= dealt < 5500
+        assert requests.select_dump(f.limit(0), d).count() == requests.select_dump(f, d.limit(0)).count() == 0
+        for least, chunk in ((requests.SLICE_FILES, requests.CHUNK), (7, 2), (1 / 16, 3)):  # 1, 58 and all slices
+            monkeypatch.setattr(requests, "SLICE_FILES", least)
+            monkeypatch.setattr(requests, "CHUNK", chunk)
+            assert sorted((tuple(r) for r in requests.select_dump(f, d).collect()), key=str) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
