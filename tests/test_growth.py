@@ -169,7 +169,7 @@ def shuffled(spark, run):
 
 
 def test_dump_deals_each_file_once(spark, monkeypatch):
-    """Without a broadcast a file is dealt once; the same in many slices and chunks. Files without path or time, and windows without a bound, are in no result."""
+    """Without a broadcast a file is dealt once; the same in many slices, blocks and chunks. Files without path or time, and windows without a bound, are in no result."""
     rng = random.Random(4)
     files = [(f"{i:05}", 1000 + rng.randrange(2**20) if i % 50 else 5000, i if i % 3 == 0 else None) for i in range(400)] + [(None, 7000, None), (None, 7001, 3), ("x", None, None)]
     starts = [0, 1, 999, 5000, *(rng.randrange(2**20) for _ in range(6))]
@@ -186,9 +186,21 @@ def test_dump_deals_each_file_once(spark, monkeypatch):
         _, dealt = shuffled(spark, lambda: len(requests.select_dump(many, d.where("request_id IN (1, 2, 13, 20)")).collect()))
         assert 5000 <= dealt < 5500
         assert requests.select_dump(f.limit(0), d).count() == requests.select_dump(f, d.limit(0)).count() == 0
-        for least, chunk in ((requests.SLICE_FILES, requests.CHUNK), (7, 2), (1 / 16, 3)):  # 1, 58 and all slices
+        for least, block, chunk in ((requests.SLICE_FILES, requests.BLOCK, requests.CHUNK), (7, 3, 2), (1 / 16, 1, 3)):  # 1, 58 and all slices
             monkeypatch.setattr(requests, "SLICE_FILES", least)
+            monkeypatch.setattr(requests, "BLOCK", block)
             monkeypatch.setattr(requests, "CHUNK", chunk)
             assert sorted((tuple(r) for r in requests.select_dump(f, d).collect()), key=str) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def test_dump_written_in_small_columns(spark, tmp_path):
+    """Windows repeat within a page: a file of many windows costs a small part of their numbers. A file far from all others makes no slice wide."""
+    files = spark.range(2000).selectExpr("CAST(id AS STRING) AS path", "IF(id = 5, 0, 10000000 + 8 * id) AS subobs_id", "CAST(NULL AS BIGINT) AS trigger_id", "'CORRELATOR' AS mode")
+    dumps = spark.range(2003).selectExpr("id AS request_id", "IF(id % 2 = 0, 0, 9000000) AS start_gps", "20000000 AS end_gps", "id AS trigger_id")
+    out = requests.select_dump(files, dumps)
+    out.coalesce(1).write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1997 * 2003 + 1002
+    size = sum(x.stat().st_size for x in (tmp_path / "out").glob("*.parquet"))
+    assert size < 1.2 * 1997 * 2003  # 11 bits for each number of a window, twice
